@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from vitalsieve.functions import columns as fc
-from vitalsieve.operators import associations as assoc, cleaning, dedup, distributions as dist, profile
+from vitalsieve.operators import associations as assoc, cleaning, dedup, distributions as dist, features, metrics, profile, splits
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -362,3 +362,191 @@ def conflicts(spark, sf_dir):
 @query
 def duplicate_summary(spark, sf_dir):
     return dedup.duplicate_summary(table(spark, sf_dir, "lineitem"), ["l_partkey", "l_quantity"], "l_orderkey", "l_returnflag")
+
+
+# Splits
+
+
+@query
+def stratified_split(spark, sf_dir):
+    return splits.stratified_holdout(table(spark, sf_dir, "labels"), ["doc_id"], "quality").select("doc_id", "quality", "split")
+
+
+@query
+def stratified_split_orders(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return splits.stratified_holdout(orders, ["o_orderkey"], "o_orderstatus", seed=7)
+
+
+@query
+def stratified_folds(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    return splits.stratified_folds(orders, ["o_orderkey"], "o_orderstatus")
+
+
+@query
+def class_distribution(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_returnflag").withColumn(
+        "split", F.when(F.substring(F.md5(F.col("l_orderkey").cast("string")), 1, 1) < "4", "test").otherwise("train")
+    )
+    return rounded(assoc.class_distribution(lines, "split", "l_returnflag"))
+
+
+def _errors(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", "user_id", (F.col("event_type") == "error").cast("int").alias("label"))
+
+
+@query
+def group_folds(spark, sf_dir):
+    return splits.group_folds(_errors(spark, sf_dir), "user_id", "label")
+
+
+@query
+def group_split(spark, sf_dir):
+    return splits.group_holdout(_errors(spark, sf_dir), "user_id", "label")
+
+
+@query
+def groups_per_split(spark, sf_dir):
+    rows = splits.stratified_holdout(_errors(spark, sf_dir), ["event_id"], "label")
+    return dedup.groups_per_split(rows, "user_id")
+
+
+@query
+def leakage_check(spark, sf_dir):
+    rows = splits.stratified_holdout(_errors(spark, sf_dir), ["event_id"], "label")
+    return dedup.shared_groups(rows, "user_id")
+
+
+@query
+def split_report(spark, sf_dir):
+    rows = splits.group_holdout(_errors(spark, sf_dir), "user_id", "label")
+    return rounded(splits.split_report(rows, "split", "label", "user_id"))
+
+
+@query
+def replayed_split(spark, sf_dir):
+    manifest = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "test").otherwise("train").alias("split"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang")
+    test = splits.replay_split(docs, manifest, "doc_id", "test").withColumn("part", F.lit("test"))
+    return test.unionByName(splits.outside_split(docs, manifest, "doc_id", "train").withColumn("part", F.lit("not_train")))
+
+
+# Feature preparation
+
+
+def _gaps(spark, sf_dir):
+    return fc.zeros_to_null(table(spark, sf_dir, "lineitem"), ["l_discount", "l_tax"])
+
+
+@query
+def numeric_statistics(spark, sf_dir):
+    return rounded(features.numeric_statistics(_gaps(spark, sf_dir), MEASURES))
+
+
+@query
+def impute_scale_onehot(spark, sf_dir):
+    lines = _gaps(spark, sf_dir)
+    plan = [("l_quantity", "scale"), ("l_discount", "scale"), ("l_tax", "fill"), ("l_returnflag", "levels"), ("l_linenumber", "levels")]
+    model = features.TablePrep(plan).fit(lines)
+    return rounded(lines.select("l_orderkey", "l_partkey", "l_suppkey", *model.columns()))
+
+
+@query
+def category_levels(spark, sf_dir):
+    levels = features.category_levels(table(spark, sf_dir, "part"), ["p_brand", "p_type", "p_size"])
+    return levels.withColumn("n", F.col("n").cast("long"))
+
+
+@query
+def class_weights(spark, sf_dir):
+    return rounded(features.with_class_weights(table(spark, sf_dir, "labels"), "quality").select("doc_id", "quality", "weight"))
+
+
+# Metrics
+
+
+def _scored_lines(spark, sf_dir):
+    """Three scores over the line items: two with many values and ties, one with eleven values."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        (F.col("l_extendedprice") / 105000.0).alias("price"),
+        (F.col("l_quantity") / 50.0).alias("quantity"),
+        (1.0 - F.col("l_discount") * 10.0).alias("discount"),
+    )
+    long = lines.unpivot(["label"], ["price", "quantity", "discount"], "model", "score")
+    return long.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def confusion(spark, sf_dir):
+    return metrics.confusion(_scored_lines(spark, sf_dir), "label", "prediction", ["model"])
+
+
+@query
+def threshold_metrics(spark, sf_dir):
+    return rounded(metrics.threshold_metrics(_scored_lines(spark, sf_dir), "label", "prediction", ["model"]))
+
+
+@query
+def ranking_metrics(spark, sf_dir):
+    return rounded(metrics.ranking_metrics(_scored_lines(spark, sf_dir), "label", "score", ["model"]))
+
+
+def _scored_docs(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
+    return docs.join(table(spark, sf_dir, "labels"), "doc_id").select(
+        "lang", F.col("quality").alias("label"), (F.col("n_chars") / 10000.0).alias("score"), (F.col("n_chars") >= 1500).cast("int").alias("prediction")
+    )
+
+
+@query
+def roc_points(spark, sf_dir):
+    return rounded(metrics.roc_points(_scored_docs(spark, sf_dir), "label", "score"))
+
+
+@query
+def pr_points(spark, sf_dir):
+    return rounded(metrics.pr_points(_scored_docs(spark, sf_dir), "label", "score"))
+
+
+@query
+def all_metrics(spark, sf_dir):
+    return rounded(metrics.all_metrics(_scored_docs(spark, sf_dir), "label", "prediction", "score"))
+
+
+@query
+def class_report(spark, sf_dir):
+    return rounded(metrics.class_report(_scored_docs(spark, sf_dir), "label", "prediction"))
+
+
+def _fold_metrics(spark, sf_dir):
+    scored = _scored_lines_by_fold(spark, sf_dir)
+    return metrics.all_metrics(scored, "label", "prediction", "score", ["model", "fold"])
+
+
+def _scored_lines_by_fold(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(
+        F.col("l_linenumber").alias("fold"),
+        (F.col("l_returnflag") == "R").cast("int").alias("label"),
+        (F.col("l_extendedprice") / 105000.0).alias("price"),
+        (F.col("l_quantity") / 50.0).alias("quantity"),
+        (1.0 - F.col("l_discount") * 10.0).alias("discount"),
+    )
+    long = lines.unpivot(["fold", "label"], ["price", "quantity", "discount"], "model", "score")
+    return long.withColumn("prediction", (F.col("score") >= 0.5).cast("int"))
+
+
+@query
+def fold_summary(spark, sf_dir):
+    return rounded(metrics.fold_summary(_fold_metrics(spark, sf_dir)))
+
+
+@query
+def champion(spark, sf_dir):
+    return metrics.champion(metrics.fold_summary(_fold_metrics(spark, sf_dir))).select("model")
+
+
+@query
+def metric_defects(spark, sf_dir):
+    return metrics.metric_defects(_fold_metrics(spark, sf_dir))

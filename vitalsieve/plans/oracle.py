@@ -249,3 +249,163 @@ ORACLE["duplicate_summary"] = """
 SELECT count(*)::BIGINT AS n_groups, count(*) FILTER (WHERE n > 1)::BIGINT AS n_repeated_groups, sum(n - 1)::BIGINT AS n_duplicate_rows,
   count(*) FILTER (WHERE k > 1)::BIGINT AS n_conflicting_groups
 FROM (SELECT count(*) AS n, count(DISTINCT l_returnflag) AS k FROM lineitem GROUP BY l_partkey, l_quantity)"""
+
+
+# Splits: the naive form, one global rank per class
+
+
+def _holdout(source: str, key: str, label: str, seed: int) -> str:
+    """CTEs ending in ``split``: train sizes by largest remainder, then the rank inside the class."""
+    return f"""
+src AS ({source}),
+sizes AS (SELECT {label} AS s, count(*) AS n, sum(count(*)) OVER () AS total FROM src GROUP BY 1),
+shares AS (SELECT *, total - ceil(total * 0.2::DOUBLE) AS train, n * (total - ceil(total * 0.2::DOUBLE)) / total AS share FROM sizes),
+quota AS (SELECT s, floor(share) + CASE WHEN row_number() OVER (ORDER BY round(share - floor(share), 9) DESC, s) <= train - sum(floor(share)) OVER () THEN 1 ELSE 0 END AS k FROM shares),
+split AS (SELECT src.*, CASE WHEN row_number() OVER (PARTITION BY {label} ORDER BY md5('{seed}|' || {key})) <= k THEN 'train' ELSE 'test' END AS split
+  FROM src JOIN quota ON {label} = s)"""
+
+
+ORACLE["stratified_split"] = f"WITH {_holdout('SELECT doc_id, quality FROM labels', 'doc_id', 'quality', 42)} SELECT * FROM split"
+ORACLE["stratified_split_orders"] = f"WITH {_holdout('SELECT o_orderkey, o_orderstatus FROM orders', 'o_orderkey', 'o_orderstatus', 7)} SELECT * FROM split"
+
+
+def _folds(source: str, key: str, label: str, k: int = 5, seed: int = 42) -> str:
+    """CTEs ending in ``folds``: deal class-sorted positions to k hands, give each class's hash order those hand sizes."""
+    return f"""
+src AS ({source}),
+dealt AS (SELECT s, (pos - 1) % {k} AS fold, count(*) AS n FROM (SELECT {label} AS s, row_number() OVER (ORDER BY {label}) AS pos FROM src) GROUP BY ALL),
+upto AS (SELECT s, fold, sum(n) OVER (PARTITION BY s ORDER BY fold) AS hi, sum(n) OVER (PARTITION BY s ORDER BY fold) - n AS lo FROM dealt),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY {label} ORDER BY md5('{seed}|' || {key})) AS rn FROM src),
+folds AS (SELECT ranked.*, fold::INT AS fold FROM ranked JOIN upto ON {label} = s AND rn > lo AND rn <= hi)"""
+
+
+ORACLE["stratified_folds"] = f"""
+WITH {_folds('SELECT o_orderkey, o_orderstatus FROM orders', 'o_orderkey', 'o_orderstatus')} SELECT o_orderkey, o_orderstatus, fold FROM folds"""
+ORACLE["class_distribution"] = f"""
+SELECT split, l_returnflag AS label, count(*)::BIGINT AS n, {r('count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY split)')}::DOUBLE AS pct
+FROM (SELECT l_returnflag, CASE WHEN substr(md5(l_orderkey::VARCHAR), 1, 1) < '4' THEN 'test' ELSE 'train' END AS split FROM lineitem) GROUP BY split, l_returnflag"""
+_ERRORS = "SELECT event_id, user_id, (event_type = 'error')::INT AS label FROM events"
+_GROUPS = f"""SELECT user_id AS "group", count(*)::BIGINT AS n, sum(label)::BIGINT AS n_positive,
+  (CASE WHEN sum(label) * 2 >= count(*) THEN '1' ELSE '0' END) || '-' || lpad((999 - floor(log2(count(*)))::INT)::VARCHAR, 3, '0') AS size_class FROM ({_ERRORS}) GROUP BY 1"""
+_GROUP_FOLDS = _folds(_GROUPS, '"group"', "size_class")
+ORACLE["group_folds"] = f'WITH {_GROUP_FOLDS} SELECT "group", n, n_positive, fold FROM folds'
+_GROUP_SPLIT = f"""WITH {_GROUP_FOLDS}, rows AS (SELECT e.*, CASE WHEN fold = 0 THEN 'test' ELSE 'train' END AS split FROM ({_ERRORS}) e JOIN folds f ON e.user_id = f."group")"""
+ORACLE["group_split"] = f"{_GROUP_SPLIT} SELECT event_id, user_id, label, split FROM rows"
+ORACLE["split_report"] = f"""{_GROUP_SPLIT} SELECT split, count(*)::BIGINT AS n, sum(label)::BIGINT AS n_positive, count(DISTINCT user_id)::BIGINT AS n_groups,
+  (round(sum(label) * 100.0 / count(*), 2) + 0.0)::DOUBLE AS positive_pct FROM rows GROUP BY split"""
+ORACLE["groups_per_split"] = f"""
+WITH {_holdout(_ERRORS, 'event_id', 'label', 42)}, spread AS (SELECT user_id, count(DISTINCT split) AS k FROM split GROUP BY 1)
+SELECT split, count(*)::BIGINT AS n_rows, count(DISTINCT user_id)::BIGINT AS n_groups, count(DISTINCT user_id) FILTER (WHERE k > 1)::BIGINT AS n_shared_groups
+FROM split JOIN spread USING (user_id) GROUP BY split"""
+ORACLE["leakage_check"] = f"""
+WITH {_holdout(_ERRORS, 'event_id', 'label', 42)}
+SELECT user_id FROM split WHERE split = 'train' INTERSECT SELECT user_id FROM split WHERE split = 'test'"""
+ORACLE["replayed_split"] = """
+SELECT doc_id, lang, 'test' AS part FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
+UNION ALL SELECT doc_id, lang, 'not_train' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic IS DISTINCT FROM 1)"""
+
+# Feature preparation
+
+_FILLED = {"l_quantity": "l_quantity", "l_extendedprice": "l_extendedprice", "l_discount": "d", "l_tax": "t"}
+
+
+def _filled(name: str) -> str:
+    x = _FILLED[name]
+    return f"coalesce({x}, (SELECT quantile_cont({x}, 0.5) FROM {_GAPS}))"
+
+
+ORACLE["numeric_statistics"] = union(
+    f"SELECT '{m}' AS feature, {r(f'(SELECT quantile_cont({_FILLED[m]}, 0.5) FROM {_GAPS})')} AS median, {r('avg(x)')} AS mean, {r('stddev_pop(x)')} AS scale FROM (SELECT {_filled(m)} AS x FROM {_GAPS})"
+    for m in MEASURES
+)
+
+
+def _scaled(name: str) -> str:
+    x = _filled(name)
+    return f"({x} - (SELECT avg({x}) FROM {_GAPS})) / (SELECT stddev_pop({x}) FROM {_GAPS})"
+
+
+ORACLE["impute_scale_onehot"] = f"""
+SELECT l_orderkey, l_partkey, l_suppkey, {r(_scaled('l_quantity'))} AS l_quantity, {r(_scaled('l_discount'))} AS l_discount, {r(_filled('l_tax'))} AS l_tax,
+  {', '.join(f"(l_returnflag = '{v}')::INT::DOUBLE AS l_returnflag_{v}" for v in ('A', 'N', 'R'))},
+  {', '.join(f"(l_linenumber = {v})::INT::DOUBLE AS l_linenumber_{v}" for v in range(1, 8))}
+FROM {_GAPS}"""
+ORACLE["category_levels"] = union(
+    f"""SELECT '{c}' AS feature, {c}::VARCHAR AS level, count(*)::BIGINT AS n, row_number() OVER (ORDER BY count(*) DESC, {c}) = 1 AS is_mode FROM part GROUP BY {c}"""
+    for c in ("p_brand", "p_type", "p_size")
+)
+ORACLE["class_weights"] = f"""
+WITH c AS (SELECT quality, count(*) AS n FROM labels GROUP BY 1)
+SELECT doc_id, l.quality, {r('(SELECT sum(n) FROM c)::DOUBLE / ((SELECT count(*) FROM c) * c.n)')} AS weight FROM labels l JOIN c ON l.quality = c.quality"""
+
+# Metrics
+
+_SCORED = """
+SELECT l_linenumber AS fold, (l_returnflag = 'R')::INT AS label, 'price' AS model, l_extendedprice / 105000.0::DOUBLE AS score FROM lineitem
+UNION ALL SELECT l_linenumber, (l_returnflag = 'R')::INT, 'quantity', l_quantity / 50.0::DOUBLE FROM lineitem
+UNION ALL SELECT l_linenumber, (l_returnflag = 'R')::INT, 'discount', 1.0::DOUBLE - l_discount * 10.0::DOUBLE FROM lineitem"""
+_CELLS = """count(*) FILTER (WHERE label = 0 AND score < 0.5)::BIGINT AS tn, count(*) FILTER (WHERE label = 0 AND score >= 0.5)::BIGINT AS fp,
+  count(*) FILTER (WHERE label = 1 AND score < 0.5)::BIGINT AS fn, count(*) FILTER (WHERE label = 1 AND score >= 0.5)::BIGINT AS tp"""
+ORACLE["confusion"] = f"SELECT model, {_CELLS} FROM ({_SCORED}) GROUP BY model"
+
+
+def _ratio(a: str, b: str) -> str:
+    return f"coalesce(({a})::DOUBLE / nullif({b}, 0), 0)"
+
+
+def _threshold_columns(wrap=r) -> str:
+    recall, spec = _ratio("tp", "tp + fn"), _ratio("tn", "tn + fp")
+    return f"""{wrap(_ratio('tp + tn', 'tp + tn + fp + fn'))} AS accuracy, {wrap(_ratio('tp', 'tp + fp'))} AS precision, {wrap(recall)} AS recall,
+  {wrap(spec)} AS specificity, {wrap(f'({recall} + {spec}) / 2')} AS balanced_accuracy, {wrap(_ratio('tp * 2', 'tp * 2 + fp + fn'))} AS f1"""
+
+
+ORACLE["threshold_metrics"] = f"SELECT model, tn, fp, fn, tp, {_threshold_columns()} FROM (SELECT model, {_CELLS} FROM ({_SCORED}) GROUP BY model)"
+
+
+def _ranking(source: str, keys: str = "") -> str:
+    """CTEs ending in ``ranks`` (roc_auc, avg_precision, pr_trapezoid per key)."""
+    comma = f"{keys}, " if keys else ""
+    part = f"PARTITION BY {keys}" if keys else ""
+    group = f"GROUP BY {keys}" if keys else ""
+    return f"""
+tied AS (SELECT {comma}score, sum(label) AS pos, sum(1 - label) AS neg FROM ({source}) GROUP BY {comma}score),
+curve AS (SELECT *, sum(pos) OVER ({part} ORDER BY score DESC) AS tp, sum(neg) OVER ({part} ORDER BY score DESC) AS fp,
+  sum(pos) OVER ({part}) AS p, sum(neg) OVER ({part}) AS q FROM tied),
+ranks AS (SELECT {comma}sum(neg * (tp - pos + pos / 2.0::DOUBLE)) / (any_value(p) * any_value(q))::DOUBLE AS roc_auc,
+  sum(pos * tp / (tp + fp)::DOUBLE) / any_value(p) AS avg_precision,
+  sum(pos * (tp / (tp + fp)::DOUBLE + coalesce((tp - pos)::DOUBLE / nullif(tp - pos + fp - neg, 0), 1)) / 2) / any_value(p) AS pr_trapezoid
+  FROM curve {group})"""
+
+
+_RANKS = f"{r('roc_auc')} AS roc_auc, {r('avg_precision')} AS avg_precision, {r('pr_trapezoid')} AS pr_trapezoid"
+ORACLE["ranking_metrics"] = f"WITH {_ranking(_SCORED, 'model')} SELECT model, {_RANKS} FROM ranks"
+_DOCS = """SELECT d.lang, b.quality AS label, d.n_chars / 10000.0::DOUBLE AS score, (d.n_chars >= 1500)::INT AS prediction FROM documents d JOIN labels b ON d.doc_id = b.doc_id"""
+_DOC_CELLS = """count(*) FILTER (WHERE label = 0 AND prediction = 0)::BIGINT AS tn, count(*) FILTER (WHERE label = 0 AND prediction = 1)::BIGINT AS fp,
+  count(*) FILTER (WHERE label = 1 AND prediction = 0)::BIGINT AS fn, count(*) FILTER (WHERE label = 1 AND prediction = 1)::BIGINT AS tp"""
+ORACLE["roc_points"] = f"""
+WITH {_ranking(_DOCS)} SELECT {r('score')} AS threshold, {r('fp / q::DOUBLE')} AS fpr, {r('tp / p::DOUBLE')} AS tpr FROM curve
+UNION ALL SELECT 'inf'::DOUBLE, 0.0::DOUBLE, 0.0::DOUBLE"""
+ORACLE["pr_points"] = f"""
+WITH {_ranking(_DOCS)} SELECT {r('score')} AS threshold, {r('tp / (tp + fp)::DOUBLE')} AS precision, {r('tp / p::DOUBLE')} AS recall FROM curve
+UNION ALL SELECT NULL::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE"""
+ORACLE["all_metrics"] = f"""
+WITH {_ranking(_DOCS)}, cells AS (SELECT {_DOC_CELLS} FROM ({_DOCS}))
+SELECT tn, fp, fn, tp, {_threshold_columns()}, {_RANKS} FROM cells, ranks"""
+ORACLE["class_report"] = f"""
+WITH cells AS (SELECT {_DOC_CELLS} FROM ({_DOCS})),
+c AS (SELECT '0' AS class, {_ratio('tn', 'tn + fn')} AS precision, {_ratio('tn', 'tn + fp')} AS recall, {_ratio('tn * 2', 'tn * 2 + fn + fp')} AS f1, tn + fp AS support FROM cells
+  UNION ALL SELECT '1', {_ratio('tp', 'tp + fp')}, {_ratio('tp', 'tp + fn')}, {_ratio('tp * 2', 'tp * 2 + fp + fn')}, tp + fn FROM cells),
+rows AS (SELECT * FROM c
+  UNION ALL SELECT 'accuracy', {_ratio('tp + tn', 'tp + tn + fp + fn')}, {_ratio('tp + tn', 'tp + tn + fp + fn')}, {_ratio('tp + tn', 'tp + tn + fp + fn')}, tp + tn + fp + fn FROM cells
+  UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM c
+  UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support), sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM c)
+SELECT class, {r('precision')} AS precision, {r('recall')} AS recall, {r('f1')} AS f1, support::BIGINT AS support FROM rows"""
+_NAMES = ("accuracy", "balanced_accuracy", "precision", "recall", "specificity", "f1", "roc_auc", "avg_precision", "pr_trapezoid")
+_FOLD = f"""WITH {_ranking(_SCORED, 'model, fold')},
+cells AS (SELECT model, fold, {_CELLS} FROM ({_SCORED}) GROUP BY model, fold),
+m AS (SELECT model, fold, {_threshold_columns(lambda x: x)}, roc_auc, avg_precision, pr_trapezoid FROM cells JOIN ranks USING (model, fold)),
+summary AS (SELECT model, {', '.join(f'avg({n}) AS {n}_mean, stddev_pop({n}) AS {n}_std' for n in _NAMES)} FROM m GROUP BY model)"""
+ORACLE["fold_summary"] = f"{_FOLD} SELECT model, {', '.join(f'{r(n + s)} AS {n + s}' for n in _NAMES for s in ('_mean', '_std'))} FROM summary"
+ORACLE["champion"] = f"""{_FOLD} SELECT model FROM summary
+ORDER BY roc_auc_mean DESC, avg_precision_mean DESC, balanced_accuracy_mean DESC, specificity_mean DESC, model LIMIT 1"""
+ORACLE["metric_defects"] = f"""{_FOLD} {union(f"SELECT '{n}' AS metric, count(*) FILTER (WHERE isnan({n}) OR {n} < 0 OR {n} > 1)::BIGINT AS defects FROM m" for n in _NAMES)}"""
