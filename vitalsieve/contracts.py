@@ -48,6 +48,7 @@ class TableContract:
     keep_only_known_targets: bool = False
     nulls_allowed: bool = True
     rules: Sequence[FieldRule] = ()
+    grouped_requests: bool = False
     threshold: float = 0.5
     model_name: str = "Logistic Regression"
 
@@ -169,6 +170,7 @@ BREAST = TableContract(
     drop_duplicates=False,
     nulls_allowed=False,
     rules=tuple(FieldRule(f, allow_boolean=True) for f in BREAST_FEATURES),
+    grouped_requests=True,
 )
 
 SURVEY_FLAGS = (

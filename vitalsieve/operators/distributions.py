@@ -52,9 +52,8 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str], base: str = "valid", met
 
 def outlier_rows(df: DataFrame, column: str, method: str = "select") -> DataFrame:
     """Rows of the table whose value lies outside the fences of the column."""
-    bounds = iqr_bounds(df, [column], method=method)
-    low, high = bounds.select("lower").scalar(), bounds.select("upper").scalar()
-    return df.filter((col(column) < low) | (col(column) > high))
+    bounds = iqr_bounds(df, [column], method=method).select(F.struct("lower", "upper").alias("b")).scalar()
+    return df.filter((col(column) < bounds["lower"]) | (col(column) > bounds["upper"]))
 
 
 def box_by_class(df: DataFrame, columns: Sequence[str], by: str, method: str = "select") -> DataFrame:
@@ -87,9 +86,9 @@ def histogram(df: DataFrame, column: str, bins: int | None = None, by: str | Non
     Range and row count come from one aggregate used as scalar subqueries; then one grouped count.
     """
     value = col(column).cast("double")
-    stats = df.agg(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).alias("n"))
-    low, high = stats.select("lo").scalar(), stats.select("hi").scalar()
-    parts = F.lit(bins) if bins else (F.ceil(F.log2(stats.select(F.col("n").cast("double")).scalar())) + 1)
+    stats = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).cast("double").alias("n")).alias("s")).scalar()
+    low, high = stats["lo"], stats["hi"]
+    parts = F.lit(bins) if bins else (F.ceil(F.log2(stats["n"])) + 1)
     keyed = df.filter(value.isNotNull()).select(
         *([col(by)] if by else []),
         F.least(F.coalesce(F.floor(F.try_divide((value - low) * parts, high - low)), F.lit(0)), parts - 1).alias("bucket"),
@@ -116,11 +115,10 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int | No
     """
     value = col(column).cast("double")
     data = df.filter(value.isNotNull())
-    stats = data.agg(
+    stats = data.agg(F.struct(
         F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).cast("double").alias("n"), F.stddev_samp(value).alias("sd")
-    )
-    low, high = stats.select("lo").scalar(), stats.select("hi").scalar()
-    n, sd = stats.select("n").scalar(), stats.select("sd").scalar()
+    ).alias("s")).scalar()
+    low, high, n, sd = (stats[c] for c in ("lo", "hi", "n", "sd"))
     cell = value if bins is None else low + (F.floor((value - low) / (high - low) * (bins - 1) + 0.5) * (high - low) / (bins - 1))
     counted = data.groupBy(cell.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
     step = (high - low) / (points - 1)

@@ -136,8 +136,10 @@ def all_metrics(df: DataFrame, truth: str, prediction: str, score: str | None =
     if score is None:
         return base.withColumns({m: F.lit(None).cast("double") for m in ("roc_auc", "avg_precision", "pr_trapezoid")})
     ranks = ranking_metrics(df, truth, score, by)
+    names = ("roc_auc", "avg_precision", "pr_trapezoid")
     if not by:
-        return base.withColumns({m: ranks.select(m).scalar() for m in ("roc_auc", "avg_precision", "pr_trapezoid")})
+        row = ranks.select(F.struct(*names).alias("r")).scalar()
+        return base.withColumn("_r", row).withColumns({m: F.col("_r")[m] for m in names}).drop("_r")
     return base.join(ranks, list(by), "left")
 
 

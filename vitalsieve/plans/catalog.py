@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from vitalsieve import contracts
 from vitalsieve.functions import columns as fc
-from vitalsieve.operators import associations as assoc, cleaning, dedup, distributions as dist, features, metrics, profile, splits
+from vitalsieve.operators import (
+    associations as assoc, cleaning, dedup, distributions as dist, features, metrics, models, profile, scoring, splits, validation,
+)
+from vitalsieve.plans import requests, train
+from vitalsieve.session import checkpoint_dir, small_side
+from vitalsieve.sources import documents, tables
+from vitalsieve.streaming import scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -275,8 +283,6 @@ def label_map(spark, sf_dir):
 @query
 def dictionary_lookup(spark, sf_dir):
     nation = table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("c_nationkey"), "n_name")
-    from vitalsieve.session import small_side
-
     joined = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").join(small_side(nation), "c_nationkey", "left")
     return joined.withColumn("n_name", F.coalesce("n_name", F.lit("unknown")))
 
@@ -550,3 +556,150 @@ def champion(spark, sf_dir):
 @query
 def metric_defects(spark, sf_dir):
     return metrics.metric_defects(_fold_metrics(spark, sf_dir))
+
+
+# Scoring
+
+
+@query
+def linear_score(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer")
+    p = scoring.linear_probability({"c_acctbal": 0.0002, "c_nationkey": -0.05}, -0.25)
+    return customers.select("c_custkey", *[c.alias(n) for n, c in scoring.screening_columns(p, contracts.HEART).items() if n in ("prediction", "prediction_label", "probability", "risk_percentage")])
+
+
+@query
+def risk_tiers(spark, sf_dir):
+    events = table(spark, sf_dir, "events").withColumn("v", F.nullif("value", F.lit(1.0)))
+    p = F.when(F.col("event_type") != "error", scoring.linear_probability({"v": 0.1}, -1.0))
+    return events.groupBy(scoring.risk_tier(p).alias("tier"), scoring.screening_signal(p).alias("signal")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def vector_score(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    weights = F.transform(F.sequence(F.lit(1), F.lit(64)), lambda i: (i % 5).cast("double") - 2.0)
+    return vectors.select("vec_id", F.round(scoring.dot_probability(F.col("embedding").cast("array<double>"), weights, 0.25), 6).alias("probability"))
+
+
+def _requests(spark, sf_dir):
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    return table(spark, sf_dir, "events").select("event_id", F.expr(requests.BODY.format(k=k, text="STRING")).alias("body"))
+
+
+def _scorers():
+    return {"lung_cancer": scoring.Scorer(contracts.LUNG, weights=requests.WEIGHTS, intercept=requests.INTERCEPT)}
+
+
+@query
+def validate_requests(spark, sf_dir):
+    checked = validation.validate_requests(_requests(spark, sf_dir), "body", {"lung_cancer": contracts.LUNG})
+    return checked.select("event_id", "status", "error_type", "message", F.coalesce(F.size("errors"), F.lit(0)).alias("n_errors"))
+
+
+@query
+def answer_requests(spark, sf_dir):
+    answers = scoring.respond(_requests(spark, sf_dir), "body", _scorers(), ["event_id"])
+    return answers.select("event_id", "status", "disease", "mode", "prediction", "prediction_label", "probability", "risk_percentage", "status_class")
+
+
+@query
+def request_outcomes(spark, sf_dir):
+    return scoring.outcome_counts(scoring.respond(_requests(spark, sf_dir), "body", _scorers()))
+
+
+@query
+def quarantine(spark, sf_dir):
+    checked = validation.validate_requests(_requests(spark, sf_dir), "body", {"lung_cancer": contracts.LUNG})
+    return validation.quarantine(checked)[1].select("event_id", "message")
+
+
+@query
+def redacted_paths(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", validation.redacted(F.concat(F.lit("failed at "), F.col("url"))).alias("message"))
+
+
+@query
+def stream_score(spark, sf_dir):
+    """The requests again, as a stream of files drained into an accepted and a rejected table."""
+    schema = table(spark, sf_dir, "events").schema
+    rows = stream.read_table_stream(spark, f"{sf_dir}/events.parq*", schema)
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    bodies = rows.select("event_id", F.expr(requests.BODY.format(k=k, text="STRING")).alias("body"))
+    home = f"{checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    run = stream.score_stream(bodies, "body", _scorers(), f"{home}/accepted", f"{home}/rejected", f"{home}/state", ["event_id"])
+    run.awaitTermination()
+    answers = spark.read.parquet(f"{home}/accepted").unionByName(spark.read.parquet(f"{home}/rejected"))
+    return answers.select("event_id", "status", "disease", "mode", "prediction", "prediction_label", "probability", "risk_percentage", "status_class")
+
+
+# Sources
+
+
+@query
+def fingerprint(spark, sf_dir):
+    return tables.fingerprint(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang", "n_chars"])
+
+
+@query
+def input_schema(spark, sf_dir):
+    return profile.input_schema(table(spark, sf_dir, "lineitem").drop("l_shipdate"))
+
+
+@query
+def cleaning_audit(spark, sf_dir):
+    before = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.md5("text").alias("text"))
+    after = dedup.drop_duplicate_rows(fc.tokens_to_null(before, ["fr"]), ["text"], "doc_id")
+    return rounded(cleaning.cleaning_audit(before, after, contracts.TableContract("docs", "lang", {}, row_id="doc_id")))
+
+
+@query
+def comparison_rows(spark, sf_dir):
+    return documents.comparison_rows(metrics.fold_summary(_fold_metrics(spark, sf_dir)), ["roc_auc", "f1"])
+
+
+@query
+def feature_dictionary(spark, sf_dir):
+    entries = [
+        {"feature": "l_quantity", "logical_type": "number", "role": "predictor", "action": "none", "reason": "units"},
+        {"feature": "l_discount", "logical_type": "number", "role": "predictor", "action": "zero to missing", "reason": "rate"},
+        {"feature": "l_orderkey", "logical_type": "id", "role": "identifier", "action": "drop", "reason": "key"},
+    ]
+    measured = profile.missing_values(_gaps(spark, sf_dir), ["l_quantity", "l_discount", "l_orderkey"])
+    return rounded(profile.feature_dictionary(measured, entries))
+
+
+# Models
+
+
+def _documents(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
+    words = F.size(F.split("text", r"\s+"))
+    return docs.select(
+        "doc_id", F.col("n_chars").cast("double").alias("n_chars"), words.cast("double").alias("n_words"),
+        (F.size(F.split("text", "\n"))).cast("double").alias("n_lines"),
+        (F.col("n_chars") / words).alias("mean_word"), "lang", F.col("quality").cast("int").alias("label"),
+    )
+
+
+_DOC_PLAN = [("n_chars", "scale"), ("n_words", "scale"), ("n_lines", "scale"), ("mean_word", "scale"), ("lang", "levels")]
+
+
+@query
+def train_compare(spark, sf_dir):
+    """Four families cross-validated on document features: mean metrics per family."""
+    families = {
+        "logistic": models.Family("logistic", models.logistic, fixed={"balanced": True}),
+        "linear_svm": models.Family("linear_svm", models.support_vector, fixed={"kernel": "linear", "calibrated": False, "balanced": True}),
+        "forest": models.Family("forest", models.forest, fixed={"trees": 20, "depth": 5, "balanced": True}),
+        "boosted": models.Family("boosted", models.boosted, fixed={"trees": 10}),
+    }
+    rows = train.with_folds(_documents(spark, sf_dir), "doc_id", 3)
+    return rounded(train.compare_models(rows, families, lambda: features.TablePrep(_DOC_PLAN), 3, parallelism=4))
+
+
+@query
+def model_coefficients(spark, sf_dir):
+    rows = _documents(spark, sf_dir)
+    model = models.pipeline(features.TablePrep(_DOC_PLAN), models.logistic(C=1.0)).fit(rows)
+    return models.coefficients(model, model.stages[0].feature_names(), spark)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from vitalsieve.plans.requests import BODY, INTERCEPT, WEIGHTS
+
 ORACLE: dict[str, str] = {}
 
 MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -409,3 +411,118 @@ ORACLE["fold_summary"] = f"{_FOLD} SELECT model, {', '.join(f'{r(n + s)} AS {n +
 ORACLE["champion"] = f"""{_FOLD} SELECT model FROM summary
 ORDER BY roc_auc_mean DESC, avg_precision_mean DESC, balanced_accuracy_mean DESC, specificity_mean DESC, model LIMIT 1"""
 ORACLE["metric_defects"] = f"""{_FOLD} {union(f"SELECT '{n}' AS metric, count(*) FILTER (WHERE isnan({n}) OR {n} < 0 OR {n} > 1)::BIGINT AS defects FROM m" for n in _NAMES)}"""
+
+
+# Scoring
+
+_P = "1.0::DOUBLE / (1.0 + exp(-(-0.25::DOUBLE + 0.0002::DOUBLE * c_acctbal + -0.05::DOUBLE * c_nationkey)))"
+ORACLE["linear_score"] = f"""
+SELECT c_custkey, (p > 0.5)::INT AS prediction, CASE WHEN p > 0.5 THEN 'positive' ELSE 'negative' END AS prediction_label,
+  round(p, 4) AS probability, round(p * 100.0::DOUBLE, 2) AS risk_percentage FROM (SELECT c_custkey, {_P} AS p FROM customer)"""
+ORACLE["risk_tiers"] = """
+WITH s AS (SELECT CASE WHEN event_type <> 'error' THEN 1.0::DOUBLE / (1.0 + exp(-(-1.0::DOUBLE + 0.1::DOUBLE * nullif(value, 1.0)))) END AS p FROM events)
+SELECT CASE WHEN p IS NULL THEN 'unknown' WHEN p < 0.3 THEN 'low' WHEN p < 0.6 THEN 'moderate' ELSE 'high' END AS tier,
+  CASE WHEN p >= 0.5 THEN 'elevated_screening_signal' ELSE 'lower_screening_signal' END AS signal, count(*)::BIGINT AS n FROM s GROUP BY ALL"""
+ORACLE["vector_score"] = """
+SELECT vec_id, round(1.0::DOUBLE / (1.0 + exp(-(0.25::DOUBLE + list_sum(list_transform(range(1, 65), lambda i: embedding[i]::DOUBLE * ((i % 5) - 2)))))), 6) + 0.0 AS probability FROM embeddings"""
+
+_K = "CAST(json_extract_string(props, '$.k') AS INT)"
+_FLAG_NAMES = [n for n in WEIGHTS if n not in ("gender", "age")]
+
+
+def _flag_message(f: str) -> str:
+    kind, text = f"json_type(d, '$.{f}')", f"json_extract_string(d, '$.{f}')"
+    tail = "Expected 0, 1, YES, or NO."
+    return f"""CASE WHEN {kind} = 'NULL' THEN 'Feature ''{f}'' cannot be None.'
+  WHEN {kind} = 'BOOLEAN' THEN 'Invalid value for {f}: ' || CASE {text} WHEN 'true' THEN 'True' ELSE 'False' END || '. Boolean values (True/False) are not accepted. {tail}'
+  WHEN {kind} = 'VARCHAR' AND upper(trim({text})) NOT IN ('YES', 'NO', '0', '1') THEN 'Invalid value for {f}: ''' || {text} || '''. {tail}'
+  WHEN {kind} NOT IN ('VARCHAR', 'BOOLEAN', 'NULL') AND {text} NOT IN ('0', '1') THEN 'Invalid value for {f}: ' || {text} || '. {tail}' END"""
+
+
+_GENDER = """CASE WHEN json_type(d, '$.gender') = 'NULL' THEN 'Feature ''gender'' cannot be None.'
+  WHEN json_type(d, '$.gender') = 'BOOLEAN' THEN 'Invalid value for gender: ' || CASE json_extract_string(d, '$.gender') WHEN 'true' THEN 'True' ELSE 'False' END || '. Boolean values are not accepted.'
+  WHEN json_type(d, '$.gender') = 'VARCHAR' AND upper(trim(json_extract_string(d, '$.gender'))) NOT IN ('MALE', 'FEMALE', '0', '1')
+    THEN 'Invalid value for gender: ''' || json_extract_string(d, '$.gender') || '''. Expected ''MALE'' or ''FEMALE''.'
+  WHEN json_type(d, '$.gender') <> 'VARCHAR' AND json_extract_string(d, '$.gender') NOT IN ('0', '1')
+    THEN 'Invalid numeric value for gender: ' || json_extract_string(d, '$.gender') || '. Expected 0 (FEMALE) or 1 (MALE).' END"""
+_AGE = """CASE WHEN json_type(d, '$.age') = 'NULL' THEN 'Feature ''age'' cannot be None.'
+  WHEN json_type(d, '$.age') = 'BOOLEAN' THEN 'Invalid value for age: ' || CASE json_extract_string(d, '$.age') WHEN 'true' THEN 'True' ELSE 'False' END || '. Boolean values are not accepted.'
+  WHEN TRY_CAST(json_extract_string(d, '$.age') AS DOUBLE) IS NULL THEN 'Invalid non-numeric value for age: ''' || json_extract_string(d, '$.age') || '''.'
+  WHEN TRY_CAST(json_extract_string(d, '$.age') AS DOUBLE) <= 0 THEN 'Age must be positive (greater than 0). Received: ' || json_extract_string(d, '$.age')
+  WHEN TRY_CAST(json_extract_string(d, '$.age') AS DOUBLE) > 120 THEN 'Age exceeds realistic human limit (120). Received: ' || json_extract_string(d, '$.age') END"""
+_MESSAGES = [_GENDER, _AGE, *[_flag_message(f) for f in _FLAG_NAMES]]
+_EXPECTED = "[" + ", ".join(f"'{f}'" for f in WEIGHTS) + "]"
+
+
+def _code(f: str) -> str:
+    if f == "age":
+        return "TRY_CAST(json_extract_string(d, '$.age') AS DOUBLE)"
+    return f"CASE WHEN upper(trim(json_extract_string(d, '$.{f}'))) IN ('MALE', 'YES', '1') THEN 1.0 ELSE 0.0 END::DOUBLE"
+
+
+_CHECKED = f"""
+WITH b AS (SELECT event_id, {BODY.format(k=_K, text='VARCHAR')} AS body FROM events),
+j AS (SELECT *, json_valid(body) AS ok, CASE WHEN json_valid(body) THEN body ELSE '{{}}' END AS t FROM b),
+x AS (SELECT *, json_keys(t) AS top, coalesce(json_keys(t, '$.data'), []) AS inside, json_type(t, '$.disease') AS dk, json_extract_string(t, '$.disease') AS dt,
+  json_type(t, '$.data') AS tk, json_type(t, '$.mode') AS mk, json_extract_string(t, '$.mode') AS mt,
+  CASE WHEN json_type(t, '$.data') = 'OBJECT' THEN json_extract(t, '$.data') ELSE '{{}}'::JSON END AS d FROM j),
+e AS (SELECT *, CASE
+  WHEN trim(body) = '' THEN 'Request body cannot be empty.'
+  WHEN NOT ok THEN 'Malformed JSON in request body.'
+  WHEN json_type(t) <> 'OBJECT' THEN 'Request body must contain a valid JSON object.'
+  WHEN len(list_distinct(inside)) < len(inside) THEN 'Duplicate JSON field: age'
+  WHEN len(list_distinct(top)) < len(top) THEN 'Duplicate JSON field: disease'
+  WHEN NOT list_contains(top, 'disease') THEN 'Missing required field ''disease''.'
+  WHEN NOT list_contains(top, 'data') THEN 'Missing required field ''data''.'
+  WHEN dk = 'NULL' THEN 'Field ''disease'' is required and cannot be null.'
+  WHEN dk <> 'VARCHAR' OR trim(dt) = '' THEN 'Invalid disease identifier: ''' || dt || '''. Must be a non-empty string.'
+  WHEN lower(trim(dt)) <> 'lung_cancer' THEN 'Unsupported disease ''' || dt || '''. Supported diseases: [''lung_cancer''].'
+  WHEN tk = 'NULL' THEN 'Field ''data'' is required and cannot be null.'
+  WHEN tk <> 'OBJECT' THEN 'Field ''data'' must be a valid JSON object. Received str.'
+  WHEN len(inside) = 0 THEN 'Field ''data'' cannot be an empty object.'
+  WHEN mk = 'VARCHAR' AND lower(trim(mt)) NOT IN ('user', 'clinical') THEN 'Invalid mode ''' || mt || '''. Supported modes: [''user'', ''clinical''].' END AS envelope FROM x),
+f AS (SELECT *, CASE
+  WHEN envelope IS NOT NULL THEN NULL
+  WHEN list_contains(inside, 'weight') THEN 'Unexpected feature encountered: weight'
+  WHEN NOT list_contains(inside, 'coughing') THEN 'Missing required feature: coughing' END AS shape,
+  [{', '.join(_MESSAGES)}] AS found FROM e),
+c AS (SELECT *, CASE WHEN envelope IS NULL AND shape IS NULL THEN list_filter(found, lambda m: m IS NOT NULL) ELSE [] END AS errors FROM f),
+checked AS (SELECT *, coalesce(envelope, shape, errors[1]) AS message,
+  CASE WHEN trim(body) = '' OR NOT ok OR json_type(t) <> 'OBJECT' THEN 'invalid_request' WHEN coalesce(envelope, shape, errors[1]) IS NOT NULL THEN 'validation_error' END AS error_type FROM c),
+scored AS (SELECT *, CASE WHEN message IS NULL THEN 1.0::DOUBLE / (1.0 + exp(-({INTERCEPT}::DOUBLE + {' + '.join(f'{w}::DOUBLE * {_code(f)}' for f, w in WEIGHTS.items())}))) END AS p FROM checked)"""
+ORACLE["validate_requests"] = f"""{_CHECKED}
+SELECT event_id, CASE WHEN message IS NULL THEN 'success' ELSE 'error' END AS status, error_type, message, len(errors)::INT AS n_errors FROM checked"""
+ORACLE["answer_requests"] = f"""{_CHECKED}
+SELECT event_id, CASE WHEN message IS NULL THEN 'success' ELSE 'error' END AS status,
+  CASE WHEN dk = 'VARCHAR' AND lower(trim(dt)) = 'lung_cancer' AND coalesce(message, '') <> 'Duplicate JSON field: disease' AND coalesce(message, '') <> 'Duplicate JSON field: age' THEN 'lung_cancer' END AS disease,
+  CASE WHEN envelope IS NULL THEN CASE WHEN mk = 'VARCHAR' THEN lower(trim(mt)) ELSE 'user' END END AS mode,
+  (p > 0.5)::INT AS prediction, CASE WHEN p > 0.5 THEN 'YES' WHEN p IS NOT NULL THEN 'NO' END AS prediction_label,
+  round(p, 4) AS probability, round(p * 100.0::DOUBLE, 2) AS risk_percentage, CASE WHEN message IS NULL THEN 200 ELSE 400 END AS status_class FROM scored"""
+ORACLE["stream_score"] = ORACLE["answer_requests"]
+ORACLE["request_outcomes"] = f"""{_CHECKED}
+SELECT CASE WHEN message IS NULL THEN 200 ELSE 400 END AS status_class, error_type, count(*)::BIGINT AS n FROM checked GROUP BY ALL"""
+ORACLE["quarantine"] = f"{_CHECKED} SELECT event_id, message FROM checked WHERE message IS NOT NULL"
+ORACLE["redacted_paths"] = r"""
+SELECT page_id, regexp_replace(regexp_replace('failed at ' || url, '[A-Za-z]:\\[^ \t\n\r]+', '[redacted_path]', 'g'), '/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+', '[redacted_path]', 'g') AS message FROM pages"""
+
+# Sources
+
+ORACLE["fingerprint"] = """
+SELECT count(*)::BIGINT AS n_rows, sum(h)::BIGINT AS checksum, bit_xor(h)::BIGINT AS xor
+FROM (SELECT ('0x' || substr(md5(doc_id || '|' || text || '|' || lang || '|' || n_chars), 1, 8))::BIGINT AS h FROM documents)"""
+ORACLE["input_schema"] = """
+SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS dtype
+FROM (DESCRIBE lineitem) WHERE column_name <> 'l_shipdate'"""
+_AFTER = "(SELECT * FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text))"
+ORACLE["cleaning_audit"] = union(
+    f"""SELECT '{c}' AS feature, (SELECT count(*) FROM documents)::BIGINT AS rows_before, (SELECT count(*) FILTER (WHERE {c} IS NULL) FROM documents)::BIGINT AS missing_before,
+  count(*)::BIGINT AS rows_after, count(*) FILTER (WHERE {c} IS NULL OR {c} = 'fr')::BIGINT AS missing_after,
+  (round(count(*) * 100.0 / (SELECT count(*) FROM documents), 2))::DOUBLE AS preserved_pct FROM {_AFTER}"""
+    for c in ("lang", "source", "text")
+)
+ORACLE["comparison_rows"] = f"""{_FOLD} SELECT model, format('| {{}} | {{:.4f}} ± {{:.4f}} | {{:.4f}} ± {{:.4f}} |', model, roc_auc_mean, roc_auc_std, f1_mean, f1_std) AS line FROM summary"""
+ORACLE["feature_dictionary"] = f"""
+SELECT f.*, f.role <> 'predictor' AS is_excluded, m.missing, m.missing_pct FROM (
+  SELECT 'l_quantity' AS feature, 'number' AS logical_type, 'predictor' AS role, 'none' AS cleaning_action, 'units' AS reason
+  UNION ALL SELECT 'l_discount', 'number', 'predictor', 'zero to missing', 'rate' UNION ALL SELECT 'l_orderkey', 'id', 'identifier', 'drop', 'key') f
+JOIN ({union(f"SELECT '{n}' AS feature, count(*) FILTER (WHERE {c} IS NULL)::BIGINT AS missing, {r(f'count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*)')}::DOUBLE AS missing_pct FROM {_GAPS}" for n, c in (('l_quantity', 'l_quantity'), ('l_discount', 'd'), ('l_orderkey', 'l_orderkey')))}) m USING (feature)"""
