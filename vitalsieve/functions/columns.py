@@ -33,6 +33,16 @@ def columns_of_type(df: DataFrame, kind: str) -> list[str]:
     return numeric if kind == "numeric" else [c for c in df.columns if c not in numeric]
 
 
+def computed_once(df: DataFrame, **values: Column) -> DataFrame:
+    """Add columns that are evaluated once per row, however often later expressions and filters refer to them.
+
+    The one-element ``explode`` keeps the optimizer from copying a large expression into each of its users.
+    """
+    packed = F.struct(*[v.alias(n) for n, v in values.items()])
+    held = df.select(*[col(c) for c in df.columns if c not in values], F.explode(F.array(packed)).alias("_once"))
+    return held.select(*[col(c) for c in held.columns if c != "_once"], *[F.col("_once")[n].alias(n) for n in values])
+
+
 def strip_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 

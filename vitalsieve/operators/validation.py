@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitalsieve.contracts import BREAST_GROUPS, FieldRule, TableContract
-from vitalsieve.functions.columns import col
+from vitalsieve.functions.columns import col, computed_once
 
 # Service name, modes, message texts and the error types of each outcome class.
 
@@ -53,78 +53,116 @@ TEXT = {
     "flag_number": "Invalid value for {f}: %s. Expected 0, 1, YES, or NO.",
 }
 
+# Text of a number; Java's suffixes and hexadecimal forms are not numbers here.
+_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+_SPECIAL = r"(?i)^[+-]?(nan|inf|infinity)$"
+
+
+def _kind(value: Column) -> Column:
+    """VOID, BOOLEAN, STRING, OBJECT, ARRAY, BIGINT or another number type; NULL for an absent field."""
+    return F.substring_index(F.substring_index(F.schema_of_variant(value), "<", 1), "(", 1)
+
+
 def _viewed(value: Column) -> Column:
-    """A variant as (kind, text). Kinds: VOID, BOOLEAN, STRING, OBJECT, ARRAY, BIGINT and other number types."""
-    return F.struct(F.regexp_extract(F.schema_of_variant(value), "^[A-Z]+", 0).alias("kind"), value.cast("string").alias("text"))
+    return F.struct(_kind(value).alias("kind"), value.cast("string").alias("text"))
 
 
-def _rules(rules: Sequence[FieldRule]) -> Column:
-    """The rules as one array literal, so that the checks below are written once for all fields."""
+def _parsed(text: Column) -> Column:
+    trimmed = F.trim(text)
+    special = F.when(F.lower(trimmed).contains("nan"), float("nan")).when(trimmed.startswith("-"), float("-inf")).otherwise(float("inf"))
+    return F.when(trimmed.rlike(_NUMBER), trimmed.try_cast("double")).when(trimmed.rlike(_SPECIAL), special)
 
-    def entry(r: FieldRule) -> Column:
-        coded = r.codes is not None
-        style = r.style if r.style in ("age", "gender", "flag") else "plain"
 
-        def say(key: str) -> Column:
-            text = TEXT.get(key)
-            return F.lit(None if text is None else text.replace("{f}", r.name).replace("{limit}", str(int(r.at_most or 0)))).cast("string")
-
-        codes = {str(k).upper(): float(v) for k, v in (r.codes or {}).items()}
-        table = F.create_map(*[x for k, v in codes.items() for x in (F.lit(k), F.lit(v))]) if codes else F.lit(None).cast("map<string,double>")
-        limit = lambda x: F.lit(x).cast("double")
-        return F.struct(
-            F.lit(r.name).alias("feature"), F.lit(coded).alias("coded"), F.lit(r.allow_boolean).alias("allow_boolean"),
-            F.lit(style != "gender").alias("tells_nan"), table.alias("codes"), limit(r.above).alias("above"), limit(r.at_most).alias("at_most"),
-            say("null").alias("t_null"), say(f"{style}_bool").alias("t_bool"), say(f"{style}_text").alias("t_text"),
-            say(f"{style}_number").alias("t_number"), say("gender_other" if style == "gender" else f"{style}_number").alias("t_other"),
-            say("nan").alias("t_nan"), say("infinite").alias("t_infinite"), say("age_low").alias("t_low"), say("age_high").alias("t_high"),
-        )
+class _Rules:
+    """The rules as literal arrays, one per property, so that one lambda judges every field by its position."""
 
-    return F.array(*[entry(r) for r in rules])
+    def __init__(self, rules: Sequence[FieldRule]):
+        def texts(key) -> Column:
+            filled = []
+            for r in rules:
+                style = r.style if r.style in ("age", "gender", "flag") else "plain"
+                text = TEXT.get(key(style))
+                filled.append(F.lit(None if text is None else text.replace("{f}", r.name).replace("{limit}", str(int(r.at_most or 0)))))
+            return F.array(*filled).cast("array<string>")
 
+        def codes(r: FieldRule) -> Column:
+            pairs = [F.lit(x) for k, v in (r.codes or {}).items() for x in (str(k).upper(), float(v))]
+            return F.create_map(*pairs) if pairs else F.from_json(F.lit("{}"), "map<string,double>")
 
-def _field(item: Column) -> Column:
-    """Rule, kind, printed text and number of one field."""
-    kind, text = item["seen"]["kind"], item["seen"]["text"]
-    coded, codes = item["rule"]["coded"], item["rule"]["codes"]
-    plain = F.trim(text).try_cast("double")
-    number = (
-        F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
-        .when(coded & (kind == "STRING"), codes[F.upper(F.trim(text))])
-        .when(coded, F.when(F.array_contains(F.map_values(codes), plain), plain))
-        .when(~kind.isin("OBJECT", "ARRAY"), plain)
-    )
-    shown = F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
-    return F.struct(item["rule"].alias("rule"), kind.alias("kind"), shown.alias("text"), number.alias("number"))
-
-
-def _verdict(f: Column) -> Column:
-    """(feature, message, number): the message of the first broken rule, NULL for a valid field."""
-    rule, kind, text, number = f["rule"], f["kind"], f["text"], f["number"]
-    nan = F.coalesce(F.isnan(number), F.lit(False)) | (rule["coded"] & (text == "NaN"))
-    endless = (F.abs(number) == float("inf")) | (rule["coded"] & text.isin("Infinity", "-Infinity"))
-
-    def say(key: str) -> Column:
-        return F.replace(rule[key], F.lit("%s"), text)
-
-    message = (
-        F.when(kind == "VOID", rule["t_null"])
-        .when((kind == "BOOLEAN") & ~rule["allow_boolean"], say("t_bool"))
-        .when(nan & rule["tells_nan"], rule["t_nan"])
-        .when(endless & rule["tells_nan"], rule["t_infinite"])
-        .when(number.isNull() & (~rule["coded"] | (kind == "STRING")), say("t_text"))
-        .when(number.isNull() & kind.isin("OBJECT", "ARRAY"), say("t_other"))
-        .when(number.isNull(), say("t_number"))
-        .when(number <= rule["above"], say("t_low"))
-        .when(number > rule["at_most"], say("t_high"))
-    )
-    return F.struct(rule["feature"].alias("feature"), message.alias("message"), number.alias("number"))
+        def values(r: FieldRule) -> Column:
+            return F.array(*[F.lit(v) for v in sorted({float(v) for v in (r.codes or {}).values()})]).cast("array<double>")
+
+        lits = lambda items, kind: F.array(*[F.lit(x) for x in items]).cast(f"array<{kind}>")
+        self.columns = {
+            "feature": lits([r.name for r in rules], "string"),
+            "coded": lits([r.codes is not None for r in rules], "boolean"),
+            "allow_boolean": lits([r.allow_boolean for r in rules], "boolean"),
+            "tells_nan": lits([r.style != "gender" for r in rules], "boolean"),
+            "codes": F.array(*[codes(r) for r in rules]),
+            "values": F.array(*[values(r) for r in rules]),
+            "above": lits([r.above for r in rules], "double"),
+            "at_most": lits([r.at_most for r in rules], "double"),
+            "t_null": texts(lambda s: "null"), "t_bool": texts(lambda s: f"{s}_bool"), "t_text": texts(lambda s: f"{s}_text"),
+            "t_number": texts(lambda s: f"{s}_number"), "t_other": texts(lambda s: "gender_other" if s == "gender" else f"{s}_number"),
+            "t_nan": texts(lambda s: "nan"), "t_infinite": texts(lambda s: "infinite"),
+            "t_low": texts(lambda s: "age_low"), "t_high": texts(lambda s: "age_high"),
+        }
+
+    def at(self, i: Column) -> dict[str, Column]:
+        return {n: F.get(c, i) for n, c in self.columns.items()}
+
+
+def plain_numbers(data: Column, rules: Sequence[FieldRule]) -> Column:
+    """Numbers of a request whose fields are all of the usual valid forms; an element is NULL where a closer look is due."""
+    table = _Rules(rules)
+
+    def number(text: Column, i: Column) -> Column:
+        rule = table.at(i)
+        value = F.when(rule["coded"], rule["codes"][F.upper(F.trim(text))]).otherwise(_parsed(text))
+        fine = (F.abs(value) < float("inf")) & F.coalesce(value > rule["above"], F.lit(True)) & F.coalesce(value <= rule["at_most"], F.lit(True))
+        return F.when(fine, value)
+
+    return F.transform(F.array(*[F.try_element_at(data, F.lit(r.name)).cast("string") for r in rules]), number)
 
 
 def judged_fields(data: Column, rules: Sequence[FieldRule]) -> Column:
     """(feature, message, number) of every field of a map<string,variant>, in contract order."""
-    seen = F.transform(_rules(rules), lambda r: F.struct(r.alias("rule"), _viewed(F.try_element_at(data, r["feature"])).alias("seen")))
-    return F.transform(F.transform(seen, _field), _verdict)
+    table = _Rules(rules)
+
+    def seen(view: Column, i: Column) -> Column:
+        rule, kind, text = table.at(i), view["kind"], view["text"]
+        number = (
+            F.when(kind == "BOOLEAN", F.when(text == "true", 1.0).otherwise(0.0))
+            .when(rule["coded"] & (kind == "STRING"), rule["codes"][F.upper(F.trim(text))])
+            .when(rule["coded"], F.when(F.array_contains(rule["values"], _parsed(text)), _parsed(text)))
+            .when(~kind.isin("OBJECT", "ARRAY"), _parsed(text))
+        )
+        shown = F.when(kind == "BOOLEAN", F.initcap(text)).otherwise(text)
+        return F.struct(kind.alias("kind"), shown.alias("text"), number.alias("number"))
+
+    def verdict(f: Column, i: Column) -> Column:
+        rule, kind, text, number = table.at(i), f["kind"], f["text"], f["number"]
+        nan = F.coalesce(F.isnan(number), F.lit(False)) | (rule["coded"] & (text == "NaN"))
+        endless = (F.abs(number) == float("inf")) | (rule["coded"] & text.isin("Infinity", "-Infinity"))
+
+        def say(key: str) -> Column:
+            return F.replace(rule[key], F.lit("%s"), text)
+
+        message = (
+            F.when(kind == "VOID", rule["t_null"])
+            .when((kind == "BOOLEAN") & ~rule["allow_boolean"], say("t_bool"))
+            .when(nan & rule["tells_nan"], rule["t_nan"])
+            .when(endless & rule["tells_nan"], rule["t_infinite"])
+            .when(number.isNull() & (~rule["coded"] | (kind == "STRING")), say("t_text"))
+            .when(number.isNull() & kind.isin("OBJECT", "ARRAY"), say("t_other"))
+            .when(number.isNull(), say("t_number"))
+            .when(number <= rule["above"], say("t_low"))
+            .when(number > rule["at_most"], say("t_high"))
+        )
+        return F.struct(rule["feature"].alias("feature"), message.alias("message"), number.alias("number"))
+
+    views = F.array(*[_viewed(F.try_element_at(data, F.lit(r.name))) for r in rules])
+    return F.transform(F.transform(views, seen), verdict)
 
 
 def completeness_error(data: Column, rules: Sequence[FieldRule]) -> Column:
@@ -135,34 +173,49 @@ def completeness_error(data: Column, rules: Sequence[FieldRule]) -> Column:
     return F.coalesce(F.concat(F.lit(TEXT["extra"].replace("%s", "")), extra), F.concat(F.lit(TEXT["missing"].replace("%s", "")), missing))
 
 
-def _judged(data: Column, contract: TableContract) -> Column:
-    """(shape, fields) of a request map; NULL for a NULL map."""
-    return F.when(
-        data.isNotNull(),
-        F.struct(completeness_error(data, contract.rules).alias("shape"), judged_fields(data, contract.rules).alias("fields")),
-    )
+def _with_verdict(df: DataFrame, payloads: Sequence[tuple[Column, Column, TableContract]]) -> DataFrame:
+    """Judge each request once, by the contract whose condition holds; add ``message``, ``errors``, ``clean``, ``status``.
 
-
-def _with_verdict(df: DataFrame, verdict: str) -> DataFrame:
-    """Spread a (shape, fields) column into ``message``, ``errors`` and ``clean``."""
-    v = F.col(verdict)
-    errors = F.transform(
-        F.filter(v["fields"], lambda x: x["message"].isNotNull()), lambda x: F.struct(x["feature"].alias("feature"), x["message"].alias("message"))
+    Requests whose fields are all plainly valid, the usual case, are recognised from their texts. Only the others are
+    taken apart by type to word their messages.
+    """
+    names, data = F.lit(None).cast("array<string>"), F.lit(None).cast("map<string,variant>")
+    for when, payload, contract in payloads:
+        data = F.when(when, payload).otherwise(data)
+        names = F.when(when, F.array(*[F.lit(r.name) for r in contract.rules])).otherwise(names)
+    held = computed_once(df, _data=data, _names=names)
+    request = F.col("_data")
+
+    shape, plain = F.lit(None).cast("string"), F.lit(None).cast("array<double>")
+    for when, _, contract in payloads:
+        shape = F.when(when, completeness_error(request, contract.rules)).otherwise(shape)
+        plain = F.when(when, plain_numbers(request, contract.rules)).otherwise(plain)
+    held = computed_once(held, _shape=F.when(request.isNotNull(), shape), _plain=F.when(request.isNotNull(), plain))
+    doubtful = F.col("_shape").isNull() & F.exists("_plain", lambda x: x.isNull())
+    fields = F.lit(None).cast("array<struct<feature:string,message:string,number:double>>")
+    for when, _, contract in payloads:
+        fields = F.when(when & doubtful, judged_fields(request, contract.rules)).otherwise(fields)
+    held = computed_once(held, _fields=fields)
+
+    broken = F.transform(
+        F.filter("_fields", lambda x: x["message"].isNotNull()), lambda x: F.struct(x["feature"].alias("feature"), x["message"].alias("message"))
     )
-    numbers = F.map_from_entries(F.transform(v["fields"], lambda x: F.struct(x["feature"], x["number"])))
+    complete = request.isNotNull() & F.col("_shape").isNull()
+    none = F.array().cast("array<struct<feature:string,message:string>>")
+    held = computed_once(held, errors=F.when(complete, F.coalesce(broken, none)))
+    held = computed_once(held, message=F.coalesce("message", "_shape", F.get("errors", F.lit(0))["message"]))
+    fine = F.col("message").isNull()
+    numbers = F.coalesce(F.transform("_fields", lambda x: x["number"]), F.col("_plain"))
     return (
-        df.withColumn("errors", F.when(v["shape"].isNull(), errors))
-        .withColumn("message", F.coalesce("message", v["shape"], F.get("errors", F.lit(0))["message"]))
-        .withColumn("clean", F.when(F.col("message").isNull(), numbers))
-        .withColumn("status", F.when(F.col("message").isNull(), "success").otherwise("error"))
-        .drop(verdict)
+        held.withColumn("clean", F.when(fine, F.map_from_arrays("_names", numbers)))
+        .withColumn("status", F.when(fine, "success").otherwise("error"))
+        .drop("_data", "_names", "_shape", "_plain", "_fields")
     )
 
 
 def validate_fields(df: DataFrame, data: str, contract: TableContract) -> DataFrame:
     """Add ``message`` (NULL if valid), ``errors``, ``clean`` (map of numbers), ``status`` for a map<string,variant> column."""
-    started = df.withColumn("message", F.lit(None).cast("string")).withColumn("_verdict", _judged(col(data), contract))
-    return _with_verdict(started, "_verdict")
+    return _with_verdict(df.withColumn("message", F.lit(None).cast("string")), [(F.lit(True), col(data), contract)])
 
 
 def grouped_payload(data: Column, groups: Sequence[str]) -> Column:
@@ -188,35 +241,39 @@ def grouped_payload(data: Column, groups: Sequence[str]) -> Column:
 
 def _first_duplicate(keys: Column) -> Column:
     later = F.filter(keys, lambda k, i: F.array_position(keys, k) <= i)
-    return F.get(later, F.lit(0))
+    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.get(later, F.lit(0)))
 
 
 def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
     """Check request bodies. Adds ``disease``, ``mode``, ``data``, ``error_type`` and ``message`` (NULL when well-formed)."""
     text = col(body)
     parsed = F.from_json(text, "map<string,variant>")
-    inner_keys = F.json_object_keys(F.get_json_object(text, "$.data"))
     listed = "[" + ", ".join(f"'{d}'" for d in sorted(diseases)) + "]"
     known = F.array(*[F.lit(d) for d in diseases])
-    read = df.withColumn("_top", parsed).withColumns({
-        "_keys": F.coalesce(F.map_keys("_top"), F.json_object_keys(text)),
-        "_json": F.try_parse_json(text).isNotNull(),
-        "_single": F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).eqNullSafe(F.lit(1)),
-        "_inner": inner_keys,
-        "_disease": _viewed(F.try_element_at("_top", F.lit("disease"))),
-        "_data": _viewed(F.try_element_at("_top", F.lit("data"))),
-        "_mode": _viewed(F.try_element_at("_top", F.lit("mode"))),
-    })
-    disease, data, mode = F.col("_disease"), F.col("_data"), F.col("_mode")
-    read = read.withColumns({
-        "_dup": F.coalesce(_first_duplicate(F.col("_inner")), _first_duplicate(F.col("_keys"))),
-        "_folded": F.lower(F.trim(disease["text"])),
-        "_entries": F.when(data["kind"] == "OBJECT", F.try_variant_get(F.try_element_at("_top", F.lit("data")), "$", "map<string,variant>")),
-        "_chosen": F.when(mode["kind"] == "STRING", F.lower(F.trim(mode["text"]))).otherwise(F.lit("user")),
-    })
+    read = computed_once(df, _top=parsed)
+    top_data = F.try_element_at("_top", F.lit("data"))
+    inner_keys = F.json_object_keys(F.get_json_object(text, "$.data"))
+    read = computed_once(
+        read,
+        _keys=F.coalesce(F.map_keys("_top"), F.json_object_keys(text)),
+        _inner=F.when(F.col("_top").isNull(), inner_keys),
+        _single=F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).eqNullSafe(F.lit(1)),
+        _disease=_viewed(F.try_element_at("_top", F.lit("disease"))),
+        _entries=F.try_variant_get(top_data, "$", "map<string,variant>"),
+        _mode=_viewed(F.try_element_at("_top", F.lit("mode"))),
+    )
+    disease, mode = F.col("_disease"), F.col("_mode")
+    read = computed_once(
+        read,
+        _dup=F.coalesce(_first_duplicate(F.col("_inner")), _first_duplicate(F.col("_keys"))),
+        _folded=F.lower(F.trim(disease["text"])),
+        _kind=F.when(F.col("_entries").isNotNull(), "OBJECT").otherwise(_kind(top_data)),
+        _chosen=F.when(mode["kind"] == "STRING", F.lower(F.trim(mode["text"]))).otherwise(F.lit("user")),
+    )
+    kind = F.col("_kind")
+    is_json = F.try_parse_json(text).isNotNull()
     type_name = (
-        F.when(data["kind"] == "STRING", "str").when(data["kind"] == "ARRAY", "list").when(data["kind"] == "BOOLEAN", "bool")
-        .when(data["kind"] == "BIGINT", "int").otherwise("float")
+        F.when(kind == "STRING", "str").when(kind == "ARRAY", "list").when(kind == "BOOLEAN", "bool").when(kind == "BIGINT", "int").otherwise("float")
     )
     shown = F.when(disease["kind"] == "BOOLEAN", F.initcap(disease["text"])).otherwise(disease["text"])
     keys, dup, request, field = F.col("_keys"), F.col("_dup"), "invalid_request", "validation_error"
@@ -226,8 +283,8 @@ def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
 
     checks = [
         (F.coalesce(F.trim(text), F.lit("")) == "", request, said("empty")),
-        (keys.isNull() & (F.col("_json") | F.json_array_length(text).isNotNull()), request, said("not_object")),
-        (keys.isNull() | (F.col("_json") & ~F.col("_single")), request, said("malformed")),
+        (keys.isNull() & (is_json | F.json_array_length(text).isNotNull()), request, said("not_object")),
+        (keys.isNull() | (~F.col("_single") & is_json), request, said("malformed")),
         (dup.isNotNull(), field, said("duplicate", dup)),
         (F.col("_top").isNull(), field, said("duplicate", F.lit("(nested)"))),
         (~F.array_contains(keys, "disease"), field, said("no_disease")),
@@ -235,17 +292,17 @@ def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
         (disease["kind"] == "VOID", field, said("null_disease")),
         ((disease["kind"] != "STRING") | (F.col("_folded") == ""), field, said("bad_disease", shown)),
         (~F.array_contains(known, F.col("_folded")), field, said("unknown_disease", disease["text"], F.lit(listed))),
-        (data["kind"] == "VOID", field, said("null_data")),
-        (data["kind"] != "OBJECT", field, said("data_type", type_name)),
+        (kind == "VOID", field, said("null_data")),
+        (kind != "OBJECT", field, said("data_type", type_name)),
         (F.size("_entries") == 0, field, said("empty_data")),
         (~F.col("_chosen").isin(*MODES), field, said("bad_mode", mode["text"])),
     ]
     fault = F.lit(None).cast("struct<type:string,message:string>")
-    for failed, kind, message in reversed(checks):
-        fault = F.when(failed, F.struct(F.lit(kind).alias("type"), message.alias("message"))).otherwise(fault)
-    judged = read.withColumn("_fault", fault)
+    for failed, error, message in reversed(checks):
+        fault = F.when(failed, F.struct(F.lit(error).alias("type"), message.alias("message"))).otherwise(fault)
+    judged = computed_once(read, _fault=fault)
     fine = F.col("_fault").isNull()
-    temps = ["_top", "_keys", "_json", "_single", "_inner", "_disease", "_data", "_mode", "_dup", "_folded", "_entries", "_chosen", "_fault"]
+    temps = ["_top", "_keys", "_single", "_inner", "_disease", "_mode", "_dup", "_folded", "_entries", "_kind", "_chosen", "_fault"]
     return judged.withColumns({
         "error_type": F.col("_fault")["type"],
         "message": F.col("_fault")["message"],
@@ -258,11 +315,11 @@ def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
 def validate_requests(df: DataFrame, body: str, contracts: Mapping[str, TableContract]) -> DataFrame:
     """Envelope and field validation for several diseases. Adds disease, mode, status, error_type, message, errors, clean."""
     out = envelope(df, body, list(contracts))
-    verdict = F.lit(None)
+    payloads = []
     for name, contract in contracts.items():
         payload = grouped_payload(F.col("data"), list(BREAST_GROUPS)) if contract.grouped_requests else F.col("data")
-        verdict = F.when(F.col("disease") == name, _judged(payload, contract)).otherwise(verdict)
-    final = _with_verdict(out.withColumn("_verdict", verdict), "_verdict").drop("data")
+        payloads.append((F.col("disease") == name, payload, contract))
+    final = _with_verdict(out, payloads).drop("data")
     return final.withColumn("error_type", F.when(F.col("message").isNotNull(), F.coalesce("error_type", F.lit("validation_error"))))
 
 

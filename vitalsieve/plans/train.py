@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
@@ -28,36 +28,42 @@ def with_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, group: str |
     return stratified_folds(df, [key], "label", k, seed)
 
 
-def cross_validate(df: DataFrame, candidates: Mapping[str, Stages], k: int = 5, parallelism: int = 2) -> DataFrame:
-    """Metrics per (model, fold). Each candidate is a whole pipeline, so preparation is fitted inside the fold.
+def cross_validate(
+    df: DataFrame, prep: Callable[[], TablePrep], candidates: Mapping[str, Stages], k: int = 5, parallelism: int = 4
+) -> DataFrame:
+    """Metrics per (model, fold).
 
-    Fits run side by side as separate jobs; all held-out scores are then measured together in two aggregations.
+    The preparation is fitted on the training rows of each fold, once for all candidates, and the prepared rows are
+    kept for their fits, which run side by side. All held-out scores are then measured together in two aggregations.
     """
     rows = df.persist()
     rows.count()
+    parts = []
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        for fold in range(k):
+            fitted = prep().fit(rows.filter(F.col("fold") != fold))
+            train = fitted.transform(rows.filter(F.col("fold") != fold)).persist()
+            test = fitted.transform(rows.filter(F.col("fold") == fold))
 
-    def one(job: tuple[str, Stages, int]) -> DataFrame:
-        name, stages, fold = job
-        model = Pipeline(stages=stages()).fit(rows.filter(F.col("fold") != fold))
-        out = scored(model, rows.filter(F.col("fold") == fold))
-        return out.withColumns({"model": F.lit(name), "fold": F.lit(fold)})
+            def one(name: str) -> DataFrame:
+                model = Pipeline(stages=candidates[name]()).fit(train)
+                return scored(model, test).withColumns({"model": F.lit(name), "fold": F.lit(fold)})
 
-    jobs = [(name, stages, fold) for name, stages in candidates.items() for fold in range(k)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        parts = list(pool.map(one, jobs))
+            parts += list(pool.map(one, candidates))
+            train.unpersist()
     held_out = checkpointed(reduce(DataFrame.unionByName, parts))
     rows.unpersist()
     return all_metrics(held_out, "label", "prediction", "score", ["model", "fold"])
 
 
-def compare_models(df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], k: int = 5, parallelism: int = 2) -> DataFrame:
+def compare_models(df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], k: int = 5, parallelism: int = 4) -> DataFrame:
     """Mean and deviation of every metric per family, with the family's fixed settings."""
-    candidates = {name: (lambda f=f: [prep(), *f.stages()]) for name, f in families.items()}
-    return fold_summary(cross_validate(df, candidates, k, parallelism))
+    candidates = {name: f.stages for name, f in families.items()}
+    return fold_summary(cross_validate(df, prep, candidates, k, parallelism))
 
 
 def tune(
-    df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], metric: str = "roc_auc", k: int = 5, parallelism: int = 2
+    df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], metric: str = "roc_auc", k: int = 5, parallelism: int = 4
 ) -> DataFrame:
     """Search every family's grid: one row per family with its best setting and all its mean metrics.
 
@@ -66,15 +72,14 @@ def tune(
     candidates, names = {}, {}
     for name, family in families.items():
         for params in family.settings() or [{}]:
-            label = f"{name} {json.dumps(params, sort_keys=True)}"
-            candidates[label] = lambda f=family, p=params: [prep(), *f.stages(**p)]
-            names[label] = (name, json.dumps(params, sort_keys=True))
-    summary = fold_summary(cross_validate(df, candidates, k, parallelism))
+            text = json.dumps(params, sort_keys=True)
+            candidates[f"{name} {text}"] = partial(family.stages, **params)
+            names[f"{name} {text}"] = (name, text)
+    summary = fold_summary(cross_validate(df, prep, candidates, k, parallelism))
     lookup = df.sparkSession.createDataFrame([(key, *v) for key, v in names.items()], "model string, family string, best_parameters string")
     ranked = summary.join(F.broadcast(lookup), "model")
-    score = F.col(f"{metric}_mean")
     best = ranked.groupBy("family").agg(
-        F.max_by(F.struct(*[F.col(c) for c in ranked.columns if c != "family"]), F.struct(score, F.col("model"))).alias("r")
+        F.max_by(F.struct(*[F.col(c) for c in ranked.columns if c != "family"]), F.struct(F.col(f"{metric}_mean"), F.col("model"))).alias("r")
     )
     return best.select("family", "r.*").drop("model").withColumnRenamed("family", "model")
 
@@ -98,7 +103,7 @@ def evaluate_candidates(train: DataFrame, test: DataFrame, candidates: Mapping[s
 
 def train_best(
     train: DataFrame, test: DataFrame, contract: TableContract, families: Mapping[str, Family], k: int = 5, seed: int = 42,
-    metric: str = "roc_auc", staged: int | None = None, parallelism: int = 2, method: str = "select", group: str | None = None,
+    metric: str = "roc_auc", staged: int | None = None, parallelism: int = 4, method: str = "select", group: str | None = None,
 ) -> Trained:
     """Tune on the training rows, pick the champion, refit it on all of them, evaluate once on the held-out rows.
 
