@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 # Above the largest |floor(per_octave * log2(x))| of any double, at 65,536 steps per octave.
-_SHIFT = 1 << 27
+_SHIFT = 1 << 28
 
 
 def order_bucket(value: Column, per_octave: int) -> Column:
@@ -15,7 +15,9 @@ def order_bucket(value: Column, per_octave: int) -> Column:
     positive ones, and zero has its own bucket.
     """
     magnitude = F.floor(F.log2(F.abs(value)) * F.lit(float(per_octave))) + F.lit(_SHIFT)
-    return F.when(value == 0, F.lit(0).cast("long")).otherwise(F.signum(value).cast("long") * magnitude)
+    sign = F.signum(value).cast("long")
+    endless = F.abs(value) == float("inf")
+    return F.when(value == 0, F.lit(0).cast("long")).when(endless, sign * F.lit(2 * _SHIFT)).otherwise(sign * magnitude)
 
 
 def linear_bucket(value: Column, low: Column, high: Column, parts: int) -> Column:

@@ -54,7 +54,7 @@ class InverseLogistic(_Penalised):
         inner = LogisticRegression(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), regParam=self._penalty(dataset),
             elasticNetParam=1.0 if self.getOrDefault("penalty") == "l1" else 0.0, standardization=False,
-            maxIter=self.getOrDefault("maxIter"), tol=1e-9, family="binomial",
+            maxIter=self.getOrDefault("maxIter"), tol=1e-8, family="binomial",
         )
         return self._weighted(inner).fit(dataset)
 
@@ -62,7 +62,7 @@ class InverseLogistic(_Penalised):
 class InverseLinearSvm(_Penalised):
     """Linear support vector machine with ``C``. Gives margins; wrap in ``SigmoidCalibrated`` for probabilities."""
 
-    def __init__(self, C: float = 1.0, weightCol: str | None = None, maxIter: int = 200):
+    def __init__(self, C: float = 1.0, weightCol: str | None = None, maxIter: int = 100):
         super().__init__()
         self._set(C=float(C), maxIter=maxIter)
         if weightCol:
@@ -71,7 +71,7 @@ class InverseLinearSvm(_Penalised):
     def _fit(self, dataset: DataFrame):
         inner = LinearSVC(
             featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(), regParam=self._penalty(dataset),
-            standardization=False, maxIter=self.getOrDefault("maxIter"), tol=1e-7,
+            standardization=False, maxIter=self.getOrDefault("maxIter"), tol=1e-6,
         )
         return self._weighted(inner).fit(dataset)
 
@@ -209,11 +209,11 @@ def logistic(C: float = 1.0, penalty: str = "l2", balanced: bool = False) -> lis
 
 def support_vector(
     C: float = 1.0, kernel: str = "rbf", gamma: str | float = "scale", balanced: bool = False, calibrated: bool = True,
-    size: int = 256, seed: int = 42, key: str = "row_id",
+    size: int = 256, seed: int = 42, key: str = "row_id", iterations: int = 100,
 ) -> list:
     """Linear margin classifier, on random cosine features for the ``rbf`` kernel (an approximation of that kernel)."""
     first, weight = _balanced(balanced)
-    svm = InverseLinearSvm(C, weight)
+    svm = InverseLinearSvm(C, weight, iterations)
     if kernel == "rbf":
         first = [*first, FourierFeatures(gamma, size, seed)]
         svm._set(featuresCol="kernel_features")

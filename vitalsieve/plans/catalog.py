@@ -690,7 +690,7 @@ def train_compare(spark, sf_dir):
     """Four families cross-validated on document features: mean metrics per family."""
     families = {
         "logistic": models.Family("logistic", models.logistic, fixed={"balanced": True}),
-        "linear_svm": models.Family("linear_svm", models.support_vector, fixed={"kernel": "linear", "calibrated": False, "balanced": True}),
+        "linear_svm": models.Family("linear_svm", models.support_vector, fixed={"kernel": "linear", "calibrated": False, "balanced": True, "iterations": 20}),
         "forest": models.Family("forest", models.forest, fixed={"trees": 20, "depth": 5, "balanced": True}),
         "boosted": models.Family("boosted", models.boosted, fixed={"trees": 10}),
     }

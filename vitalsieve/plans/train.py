@@ -20,6 +20,9 @@ from vitalsieve.session import checkpointed
 
 Stages = Callable[[], list]
 
+# Iterative fits start a job per step. Below this many rows in a partition, starting tasks costs more than running them.
+ROWS_PER_PARTITION = 20_000
+
 
 def with_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, group: str | None = None) -> DataFrame:
     """Add ``fold``; with a group, no group is cut."""
@@ -37,13 +40,13 @@ def cross_validate(
     kept for their fits, which run side by side. All held-out scores are then measured together in two aggregations.
     """
     rows = df.persist()
-    rows.count()
+    partitions = 1 + rows.count() // ROWS_PER_PARTITION
     parts = []
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         for fold in range(k):
             fitted = prep().fit(rows.filter(F.col("fold") != fold))
-            train = fitted.transform(rows.filter(F.col("fold") != fold)).persist()
-            test = fitted.transform(rows.filter(F.col("fold") == fold))
+            train = fitted.transform(rows.filter(F.col("fold") != fold)).coalesce(partitions).persist()
+            test = fitted.transform(rows.filter(F.col("fold") == fold)).coalesce(partitions)
 
             def one(name: str) -> DataFrame:
                 model = Pipeline(stages=candidates[name]()).fit(train)
