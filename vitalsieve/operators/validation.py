@@ -165,15 +165,23 @@ def judged_fields(data: Column, rules: Sequence[FieldRule]) -> Column:
     return F.transform(F.transform(views, seen), verdict)
 
 
-def completeness_error(data: Column, rules: Sequence[FieldRule]) -> Column:
-    """Unexpected fields first, in request order, then missing fields in contract order."""
+def completeness_error(data: Column, rules: Sequence[FieldRule], sent: Column | None = None) -> Column:
+    """Unexpected fields first, then missing fields in contract order.
+
+    Parsed objects list their fields by name; ``sent`` gives the names in request order, for the first unexpected one.
+    """
     expected = F.array(*[F.lit(r.name) for r in rules])
-    extra = F.get(F.array_except(F.map_keys(data), expected), F.lit(0))
+    extras = F.array_except(F.map_keys(data), expected)
+    extra = F.get(extras, F.lit(0))
+    if sent is not None:
+        extra = F.when(F.size(extras) > 1, F.coalesce(F.get(F.array_intersect(sent, extras), F.lit(0)), extra)).otherwise(extra)
     missing = F.get(F.array_except(expected, F.map_keys(data)), F.lit(0))
     return F.coalesce(F.concat(F.lit(TEXT["extra"].replace("%s", "")), extra), F.concat(F.lit(TEXT["missing"].replace("%s", "")), missing))
 
 
-def _with_verdict(df: DataFrame, payloads: Sequence[tuple[Column, Column, TableContract]]) -> DataFrame:
+def _with_verdict(
+    df: DataFrame, payloads: Sequence[tuple[Column, Column, TableContract]], sent: Column | None = None
+) -> DataFrame:
     """Judge each request once, by the contract whose condition holds; add ``message``, ``errors``, ``clean``, ``status``.
 
     Requests whose fields are all plainly valid, the usual case, are recognised from their texts. Only the others are
@@ -188,7 +196,7 @@ def _with_verdict(df: DataFrame, payloads: Sequence[tuple[Column, Column, TableC
 
     shape, plain = F.lit(None).cast("string"), F.lit(None).cast("array<double>")
     for when, _, contract in payloads:
-        shape = F.when(when, completeness_error(request, contract.rules)).otherwise(shape)
+        shape = F.when(when, completeness_error(request, contract.rules, sent)).otherwise(shape)
         plain = F.when(when, plain_numbers(request, contract.rules)).otherwise(plain)
     held = computed_once(held, _shape=F.when(request.isNotNull(), shape), _plain=F.when(request.isNotNull(), plain))
     doubtful = F.col("_shape").isNull() & F.exists("_plain", lambda x: x.isNull())
@@ -319,7 +327,8 @@ def validate_requests(df: DataFrame, body: str, contracts: Mapping[str, TableCon
     for name, contract in contracts.items():
         payload = grouped_payload(F.col("data"), list(BREAST_GROUPS)) if contract.grouped_requests else F.col("data")
         payloads.append((F.col("disease") == name, payload, contract))
-    final = _with_verdict(out, payloads).drop("data")
+    sent = F.json_object_keys(F.get_json_object(col(body), "$.data"))
+    final = _with_verdict(out, payloads, sent).drop("data")
     return final.withColumn("error_type", F.when(F.col("message").isNotNull(), F.coalesce("error_type", F.lit("validation_error"))))
 
 

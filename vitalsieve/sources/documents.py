@@ -33,7 +33,7 @@ def read_manifest(spark: SparkSession, path: str) -> DataFrame:
         F.struct(F.lit("train").alias("split"), F.col("train_indices_raw_csv_0_indexed").alias("ids")),
         F.struct(F.lit("test").alias("split"), F.col("test_indices_raw_csv_0_indexed").alias("ids")),
     )
-    return doc.select(F.inline(parts)).select(F.explode("ids").cast("long").alias("row_id"), "split")
+    return doc.select(F.inline(parts)).select(F.explode(F.col("ids").cast("array<bigint>")).alias("row_id"), "split")
 
 
 def read_request_schema(spark: SparkSession, path: str, form: str = "list") -> DataFrame:
@@ -48,7 +48,7 @@ def read_request_schema(spark: SparkSession, path: str, form: str = "list") -> D
 
 def read_class_map(spark: SparkSession, path: str) -> DataFrame:
     """(code, label) from a document whose keys are class codes."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "map<string,string>")).alias("code", "label"))
 
 
