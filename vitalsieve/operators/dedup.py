@@ -37,7 +37,7 @@ def with_group_id(df: DataFrame, content: Sequence[str], out: str = "group_id")
 
 
 def duplicate_groups(df: DataFrame, content: Sequence[str], row_id: str, label: str | None = None) -> DataFrame:
-    """One row per feature vector: first row id, size, and how many labels it carries.
+    """One row per feature vector: first row id, size, how many labels it carries, distinct (vector, label) rows.
 
     Counted per (vector, label) first, so one vector in a third of the rows stays small.
     """
@@ -46,7 +46,7 @@ def duplicate_groups(df: DataFrame, content: Sequence[str], row_id: str, label:
     part = keyed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(col(row_id)).alias("first"))
     labels = F.count(F.lit(1)) if label is None else F.count(col(label))
     return part.groupBy("_g").agg(
-        F.min("first").alias("first_row"), F.sum("n").alias("n_rows"), labels.alias("n_labels")
+        F.min("first").alias("first_row"), F.sum("n").alias("n_rows"), labels.alias("n_labels"), F.count(F.lit(1)).alias("n_distinct")
     ).withColumnRenamed("_g", "group_id")
 
 
@@ -56,11 +56,12 @@ def conflicting_groups(df: DataFrame, content: Sequence[str], row_id: str, label
 
 
 def duplicate_summary(df: DataFrame, content: Sequence[str], row_id: str, label: str) -> DataFrame:
-    """One row: groups, duplicated groups, duplicate rows, conflicting groups."""
+    """One row: groups, repeated groups, repeats of a vector, repeats of a vector with its label, conflicting groups."""
     return duplicate_groups(df, content, row_id, label).agg(
         F.count(F.lit(1)).alias("n_groups"),
         F.count_if(F.col("n_rows") > 1).alias("n_repeated_groups"),
-        F.sum(F.col("n_rows") - 1).alias("n_duplicate_rows"),
+        F.sum(F.col("n_rows") - 1).alias("n_duplicate_vectors"),
+        F.sum(F.col("n_rows") - F.col("n_distinct")).alias("n_duplicate_rows"),
         F.count_if(F.col("n_labels") > 1).alias("n_conflicting_groups"),
     )
 

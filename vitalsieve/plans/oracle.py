@@ -248,7 +248,7 @@ ORACLE["conflicts"] = """
 SELECT min(event_id) AS first_row, count(*)::BIGINT AS n_rows, count(DISTINCT event_type)::BIGINT AS n_labels
 FROM events GROUP BY user_id, props HAVING count(DISTINCT event_type) > 1"""
 ORACLE["duplicate_summary"] = """
-SELECT count(*)::BIGINT AS n_groups, count(*) FILTER (WHERE n > 1)::BIGINT AS n_repeated_groups, sum(n - 1)::BIGINT AS n_duplicate_rows,
+SELECT count(*)::BIGINT AS n_groups, count(*) FILTER (WHERE n > 1)::BIGINT AS n_repeated_groups, sum(n - 1)::BIGINT AS n_duplicate_vectors, sum(n - k)::BIGINT AS n_duplicate_rows,
   count(*) FILTER (WHERE k > 1)::BIGINT AS n_conflicting_groups
 FROM (SELECT count(*) AS n, count(DISTINCT l_returnflag) AS k FROM lineitem GROUP BY l_partkey, l_quantity)"""
 
