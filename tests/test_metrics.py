@@ -64,3 +64,17 @@ def test_champion_breaks_ties(spark):
 def test_metric_defects(spark):
     df = spark.createDataFrame([(0.5, float("nan")), (1.5, 0.2)], "accuracy double, f1 double")
     assert {r.metric: r.defects for r in metrics.metric_defects(df, ["accuracy", "f1"]).collect()} == {"accuracy": 1, "f1": 1}
+
+
+def test_crowded_buckets_are_cut(spark, monkeypatch):
+    """Scores packed into a few buckets give the same curve as plain running sums."""
+    monkeypatch.setattr(metrics, "_CROWDED", 5)
+    monkeypatch.setattr(metrics, "_PIECES", 50)
+    rows = [(i % 3 % 2, 0.5 + i * 1e-12) for i in range(400)] + [(1, 0.5)] * 200 + [(0, -0.25), (1, 1e-9)]
+    df = spark.createDataFrame(rows, "y int, s double")
+    curve = {r.score: (r.tp, r.fp) for r in metrics.score_curve(df, "y", "s").collect()}
+    tp = fp = 0
+    for score in sorted({s for _, s in rows}, reverse=True):
+        tp += sum(y for y, s in rows if s == score)
+        fp += sum(1 - y for y, s in rows if s == score)
+        assert curve[score] == (tp, fp)

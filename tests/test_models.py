@@ -160,3 +160,14 @@ def test_grids_have_the_documented_sizes():
     assert len(models.breast_families()["Support Vector Machine"].settings()) == 13
     assert "XGBoost" in models.general_families(boosted_preset=True) and "XGBoost" not in models.general_families()
     assert math.prod([len(models.staged_families())]) == 4
+
+
+def test_workflow_writes_every_artifact(spark, raw, tmp_path):
+    from vitalsieve.plans.workflow import run_table
+
+    run = run_table(raw, CONTRACT, {"forest": FAMILIES["forest"]}, str(tmp_path / "out"), k=2, method="hash")
+    for part in ("model", "split", "split_report", "statistics", "comparison", "profile", "evaluation", "schema", "runs"):
+        assert (tmp_path / "out" / part).exists(), part
+    record = spark.read.parquet(str(tmp_path / "out" / "runs")).first()
+    assert record.model == run.trained.name and record.counts["test_rows"] == 48
+    assert spark.read.parquet(str(tmp_path / "out" / "split")).count() == 240

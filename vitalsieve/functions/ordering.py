@@ -20,10 +20,11 @@ def order_bucket(value: Column, per_octave: int) -> Column:
     return F.when(value == 0, F.lit(0).cast("long")).when(endless, sign * F.lit(2 * _SHIFT)).otherwise(sign * magnitude)
 
 
-def linear_bucket(value: Column, low: Column, high: Column, parts: int) -> Column:
-    """Bucket 0..parts-1 of a value in [low, high]; the maximum falls in the last bucket."""
-    share = F.try_divide(value - low, high - low)
-    return F.coalesce(F.least(F.floor(share * F.lit(float(parts))), F.lit(parts - 1).cast("long")), F.lit(0).cast("long"))
+def linear_bucket(value: Column, low: Column, high: Column, parts: int | Column) -> Column:
+    """Bucket 0..parts-1 of a value in [low, high]; the maximum falls in the last bucket. NULL without ``parts``."""
+    count = (parts if isinstance(parts, Column) else F.lit(parts)).cast("long")
+    share = F.coalesce(F.try_divide(value - low, high - low), F.lit(0.0))
+    return F.when(count.isNotNull(), F.least(F.floor(share * count), count - 1))
 
 
 def keyed_hash(seed: int, *key: Column) -> Column:

@@ -52,7 +52,7 @@ def category_levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     best = counts.groupBy("feature").agg(
         F.min(F.struct((-F.col("n")).alias("n"), order.alias("o"), F.col("level"))).alias("best")
     )
-    return counts.join(best, "feature").select("feature", "level", "n", (F.col("level") == F.col("best.level")).alias("is_mode"))
+    return counts.join(F.broadcast(best), "feature").select("feature", "level", "n", (F.col("level") == F.col("best.level")).alias("is_mode"))
 
 
 def class_weights(df: DataFrame, label: str) -> DataFrame:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from vitalsieve.functions.columns import col, quoted
-from vitalsieve.functions.ordering import order_bucket
+from vitalsieve.functions.ordering import linear_bucket, order_bucket
 
 _PER_OCTAVE = 65_536
+_CROWDED = 50_000  # distinct scores in a bucket from which it may be cut further
+_PIECES = 10_000  # no piece need hold more than this fraction of all distinct scores
 
 METRICS = ("accuracy", "balanced_accuracy", "precision", "recall", "specificity", "f1", "roc_auc", "avg_precision", "pr_trapezoid")
 
@@ -47,37 +50,39 @@ def score_curve(df: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -
     """One row per distinct score: (by..., score, pos, neg, tp, fp, n_pos, n_neg), tp and fp counted from the top score.
 
     Ties are counted together before anything is ordered. Running sums are formed inside score buckets; a small
-    table of bucket totals gives each bucket its start, so no task orders all scores.
+    table of bucket totals gives each bucket its start, so no task orders all scores. Buckets with more than a
+    ten-thousandth of all distinct scores, of which there are at most ten thousand, are cut further.
     """
     keys = list(by)
-    y = col(truth)
     named = [col(k).alias(f"_b{i}") for i, k in enumerate(keys)]
     ids = [f"_b{i}" for i in range(len(keys))]
     tied = (
         df.filter(col(score).isNotNull())
-        .select(*named, col(score).cast("double").alias("score"), y.alias("_y"))
+        .select(*named, col(score).cast("double").alias("score"), col(truth).alias("_y"))
         .groupBy(*ids, "score")
         .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
         .withColumn("bucket", order_bucket(F.col("score"), _PER_OCTAVE))
     )
-    totals = tied.groupBy(*ids, "bucket").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
+    spans = tied.groupBy(*ids, "bucket").agg(F.count(F.lit(1)).alias("d"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+    limit = F.greatest(F.lit(_CROWDED), spans.agg(F.sum("d") / _PIECES).scalar())
+    crowded = spans.filter(F.col("d") > limit).withColumn("parts", F.ceil(F.col("d") / limit))
+    tied = _matched(tied, F.broadcast(crowded), [*ids, "bucket"], "left").withColumn(
+        "piece", F.coalesce(linear_bucket(F.col("score"), F.col("lo"), F.col("hi"), F.col("parts")), F.lit(0).cast("long"))
+    ).select(*ids, "score", "pos", "neg", "bucket", "piece")
+
+    totals = tied.groupBy(*ids, "bucket", "piece").agg(F.sum("pos").alias("p"), F.sum("neg").alias("q"))
     whole = W.partitionBy(*ids) if ids else W.partitionBy(F.lit(1))
-    above = whole.orderBy(F.desc("bucket")).rowsBetween(W.unboundedPreceding, -1)
+    above = whole.orderBy(F.desc("bucket"), F.desc("piece")).rowsBetween(W.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     starts = totals.select(
-        *[F.col(c).alias(f"s{c}") for c in ids],
-        F.col("bucket").alias("s_bucket"),
+        *ids, "bucket", "piece",
         F.coalesce(F.sum("p").over(above), zero).alias("p_start"),
         F.coalesce(F.sum("q").over(above), zero).alias("q_start"),
         F.sum("p").over(whole).alias("n_pos"),
         F.sum("q").over(whole).alias("n_neg"),
     )
-    same = F.col("bucket") == F.col("s_bucket")
-    for c in ids:
-        same = same & F.col(c).eqNullSafe(F.col(f"s{c}"))
-    inside = W.partitionBy(*ids, "bucket").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
-    joined = tied.join(starts, same)
-    return joined.select(
+    inside = W.partitionBy(*ids, "bucket", "piece").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
+    return _matched(tied, starts, [*ids, "bucket", "piece"], "inner").select(
         *[F.col(a).alias(k) for a, k in zip(ids, keys)],
         "score", "pos", "neg",
         (F.col("p_start") + F.sum("pos").over(inside)).alias("tp"),
@@ -86,6 +91,13 @@ def score_curve(df: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -
     )
 
 
+def _matched(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """Join on equal keys, NULL equal to NULL, keeping one copy of the keys."""
+    other = right.withColumnsRenamed({c: f"_r{c}" for c in on})
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in on])
+    return left.join(other, same, how).drop(*[f"_r{c}" for c in on])
+
+
 def ranking_metrics(df: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """ROC area, average precision (step sum) and trapezoid PR area, ties counted as half; NULL without both classes."""
     pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))

@@ -61,8 +61,11 @@ def screening_columns(probability: Column, contract: TableContract) -> dict[str,
     }
 
 
-def score_table(df: DataFrame, model: PipelineModel, keep: Sequence[str] = ()) -> DataFrame:
+def score_table(df: DataFrame, model: PipelineModel, keep: Sequence[str] = (), features: Sequence[str] = ()) -> DataFrame:
     """Score rows that already follow the contract: (keep..., prediction, probability, risk_category)."""
+    missing = [f for f in features if f not in df.columns]
+    if missing:
+        raise ValueError(f"Missing required features: {missing}")
     out = model.transform(df)
     p = positive_score(out)
     return out.select(

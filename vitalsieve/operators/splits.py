@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from vitalsieve.functions.columns import col, quoted
 from vitalsieve.functions.ordering import keyed_hash
-from vitalsieve.operators.dedup import shared_groups
+from vitalsieve.operators.dedup import shared_groups, with_group_id
 from vitalsieve.session import checkpointed, small_side
 
 _PREFIX = 4  # hex digits: 65,536 slices of each class
@@ -61,8 +61,10 @@ def _cut_points(df: DataFrame, key: Sequence[str], strata: Column, seed: int, ta
         .select("s", F.col("slice").alias("sl"), "part", (F.col("k") - F.col("before")).alias("k"))
     )
     edge = rows.join(hit, F.col("stratum").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("sl")) & (F.col("k") > 0))
-    rank = F.row_number().over(W.partitionBy("stratum", "part").orderBy("h"))
-    found = edge.withColumn("rn", rank).filter(F.col("rn") == F.col("k")).select("stratum", "part", F.col("h").alias("cut"))
+    copies = edge.groupBy("stratum", "part", "k", "h").agg(F.count(F.lit(1)).alias("cnt"))
+    upto = F.sum("cnt").over(W.partitionBy("stratum", "part").orderBy("h").rowsBetween(W.unboundedPreceding, 0))
+    reached = copies.withColumn("upto", upto).filter((F.col("upto") >= F.col("k")) & (F.col("upto") - F.col("cnt") < F.col("k")))
+    found = reached.select("stratum", "part", F.col("h").alias("cut"))
     empty = hit.filter("k <= 0").select(F.col("s").alias("stratum"), "part", F.lit("").alias("cut"))
     return found.unionByName(empty)
 
@@ -185,6 +187,15 @@ def require_clean_features(features: Sequence[str], target: str, identifiers: Se
         raise SplitError(f"Target or identifier among the features: {bad}")
 
 
+def conflict_allocation(df: DataFrame, content: Sequence[str], label: str, split: str) -> DataFrame:
+    """(allocation, n_vectors): in which part the feature vectors with several labels lie; ``both`` if cut."""
+    parts = with_group_id(df, content, "_g").groupBy("_g").agg(
+        F.min(col(label)).alias("a"), F.max(col(label)).alias("b"), F.min(col(split)).alias("s"), F.max(col(split)).alias("t")
+    )
+    where = F.when(F.col("s") == F.col("t"), F.col("s")).otherwise(F.lit("both"))
+    return parts.filter("a <> b").groupBy(where.alias("allocation")).agg(F.count(F.lit(1)).alias("n_vectors"))
+
+
 def split_report(df: DataFrame, split: str, label: str, group: str | None = None) -> DataFrame:
     """(split, n, n_positive, positive_pct, n_groups) per part."""
     base = df.groupBy(quoted(split)).agg(

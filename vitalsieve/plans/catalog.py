@@ -430,6 +430,23 @@ def split_report(spark, sf_dir):
     return rounded(splits.split_report(rows, "split", "label", "user_id"))
 
 
+@query
+def conflict_allocation(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "props", (F.col("event_type") == "error").cast("int").alias("label"))
+    whole = splits.group_holdout(events, "user_id", "label")
+    cut = splits.stratified_holdout(events, ["event_id"], "label")
+    return splits.conflict_allocation(whole, ["user_id", "props"], "label", "split").withColumn("kind", F.lit("whole")).unionByName(
+        splits.conflict_allocation(cut, ["user_id", "props"], "label", "split").withColumn("kind", F.lit("cut"))
+    )
+
+
+@query
+def row_identity(spark, sf_dir):
+    """Rows and distinct ids of a table that repeats its rows."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", "l_linenumber")
+    return tables.with_row_id(lines, chunk=1000).agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct("row_id").alias("n_ids"))
+
+
 @query
 def replayed_split(spark, sf_dir):
     manifest = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("toxic") == 1, "test").otherwise("train").alias("split"))

@@ -302,6 +302,12 @@ FROM split JOIN spread USING (user_id) GROUP BY split"""
 ORACLE["leakage_check"] = f"""
 WITH {_holdout(_ERRORS, 'event_id', 'label', 42)}
 SELECT user_id FROM split WHERE split = 'train' INTERSECT SELECT user_id FROM split WHERE split = 'test'"""
+_EVENT_ROWS = "SELECT event_id, user_id, props, (event_type = 'error')::INT AS label FROM events"
+_ALLOCATED = """SELECT CASE WHEN min(split) = max(split) THEN min(split) ELSE 'both' END AS allocation FROM {rows} GROUP BY user_id, props HAVING min(label) <> max(label)"""
+ORACLE["conflict_allocation"] = f"""
+SELECT allocation, count(*)::BIGINT AS n_vectors, 'whole' AS kind FROM ({_GROUP_SPLIT} {_ALLOCATED.format(rows='(SELECT r.*, e.props FROM rows r JOIN events e ON r.event_id = e.event_id)')}) GROUP BY 1
+UNION ALL SELECT allocation, count(*)::BIGINT, 'cut' FROM (WITH {_holdout(_EVENT_ROWS, 'event_id', 'label', 42)} {_ALLOCATED.format(rows='split')}) GROUP BY 1"""
+ORACLE["row_identity"] = "SELECT count(*)::BIGINT AS n_rows, count(*)::BIGINT AS n_ids FROM lineitem"
 ORACLE["replayed_split"] = """
 SELECT doc_id, lang, 'test' AS part FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1)
 UNION ALL SELECT doc_id, lang, 'not_train' FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic IS DISTINCT FROM 1)"""

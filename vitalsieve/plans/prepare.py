@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
@@ -10,7 +11,7 @@ from vitalsieve.contracts import TableContract
 from vitalsieve.operators.cleaning import check_cleaned, clean
 from vitalsieve.operators.features import TablePrep, TablePrepModel
 from vitalsieve.operators.splits import (
-    group_holdout, require_both_classes, require_clean_features, require_no_leakage, split_report, stratified_holdout,
+    conflict_allocation, group_holdout, require_both_classes, require_clean_features, require_no_leakage, split_report, stratified_holdout,
 )
 from vitalsieve.operators.dedup import duplicate_summary, with_group_id
 from vitalsieve.session import checkpointed
@@ -22,6 +23,7 @@ class Prepared:
     prep: TablePrepModel
     report: DataFrame
     duplicates: DataFrame
+    conflicts: DataFrame
 
     @property
     def train(self) -> DataFrame:
@@ -34,14 +36,16 @@ class Prepared:
 
 def prepare(
     raw: DataFrame, contract: TableContract, group: str | None = None, group_duplicates: bool = False, test_size: float = 0.2,
-    seed: int = 42, method: str = "select",
+    seed: int = 42, method: str = "select", engineer: Callable[[DataFrame], DataFrame] = lambda d: d,
 ) -> Prepared:
     """Clean, split without leaking, fit the preparation on the training rows, report.
 
+    ``engineer`` may derive columns from the cleaned table; by default it changes nothing.
+
     ``group`` keeps the rows of a group together; ``group_duplicates`` does so for rows with equal features. The split
     rows are checkpointed once, as every later fit reads them.
     """
-    rows = clean(raw, contract)
+    rows = engineer(clean(raw, contract))
     group = group or contract.group
     if group_duplicates:
         rows, group = with_group_id(rows, contract.features), "group_id"
@@ -57,5 +61,6 @@ def prepare(
     require_no_leakage(rows, "split", group, contract.row_id)
     prep = TablePrep.for_contract(contract, method).fit(rows.filter(F.col("split") == "train"))
     return Prepared(
-        rows, prep, split_report(rows, "split", "label", group), duplicate_summary(rows, contract.features, contract.row_id, "label")
+        rows, prep, split_report(rows, "split", "label", group), duplicate_summary(rows, contract.features, contract.row_id, "label"),
+        conflict_allocation(rows, contract.features, "label", "split"),
     )

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from vitalsieve.contracts import TableContract
-from vitalsieve.functions.columns import col, content_hash, nan_to_null
+from vitalsieve.functions.columns import col, content_hash, nan_to_null, normalise_headers, quoted, strip_headers
 from vitalsieve.operators.cleaning import check_table
 
 
@@ -24,8 +24,6 @@ def read_table(spark: SparkSession, path: str, format: str = "parquet", schema:
 
 def read_contract_table(spark: SparkSession, path: str, contract: TableContract, format: str = "parquet", **options) -> DataFrame:
     """Read a table and check it against its contract before anything uses it."""
-    from vitalsieve.functions.columns import normalise_headers, strip_headers
-
     raw = strip_headers(read_table(spark, path, format, **options))
     check_table(normalise_headers(raw) if contract.normalise else raw, contract)
     return raw
@@ -41,16 +39,23 @@ def write_table(df: DataFrame, path: str, format: str = "parquet", partition_by:
     writer.save(path)
 
 
-def with_row_id(df: DataFrame, out: str = "row_id") -> DataFrame:
-    """Stable row id from content for tables without a key: equal rows are numbered among themselves.
+def with_row_id(df: DataFrame, out: str = "row_id", chunk: int = 1_000_000) -> DataFrame:
+    """Row id from content for tables without a key: hash of the row and a number among its equals.
 
-    It depends on values only, never on partitioning. Rows repeated very often should be given a key upstream.
+    It depends on values only, never on partitioning. Equal rows are counted, not collected, and written out again in
+    chunks of bounded size, so a row repeated very often spreads over many tasks.
     """
-    from pyspark.sql import Window as W
-
-    hashed = df.withColumn("_h", content_hash([col(c) for c in df.columns]))
-    ordinal = F.row_number().over(W.partitionBy("_h").orderBy("_h"))
-    return hashed.withColumn(out, F.concat_ws("-", "_h", ordinal.cast("string"))).drop("_h")
+    names = df.columns
+    n, start = F.col("_n"), F.col("_c") * chunk
+    return (
+        df.groupBy(*map(quoted, names)).agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_h", content_hash([col(c) for c in names]))
+        .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
+        .repartition("_h", "_c")
+        .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.least(n - start, F.lit(chunk)))))
+        .withColumn(out, F.concat_ws("-", "_h", (start + F.col("_i")).cast("string")))
+        .select(*map(quoted, names), quoted(out))
+    )
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
