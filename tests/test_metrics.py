@@ -78,3 +78,8 @@ def test_crowded_buckets_are_cut(spark, monkeypatch):
         tp += sum(y for y, s in rows if s == score)
         fp += sum(1 - y for y, s in rows if s == score)
         assert curve[score] == (tp, fp)
+
+
+def test_missing_group_key_is_a_group(spark):
+    df = spark.createDataFrame([(None, 0, 0.1), (None, 1, 0.9), ("a", 1, 0.1), ("a", 0, 0.9)], "model string, y int, s double")
+    assert {r.model: r.roc_auc for r in metrics.ranking_metrics(df, "y", "s", ["model"]).collect()} == {None: 1.0, "a": 0.0}

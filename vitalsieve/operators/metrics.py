@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -54,19 +53,20 @@ def score_curve(df: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -
     ten-thousandth of all distinct scores, of which there are at most ten thousand, are cut further.
     """
     keys = list(by)
-    named = [col(k).alias(f"_b{i}") for i, k in enumerate(keys)]
-    ids = [f"_b{i}" for i in range(len(keys))]
+    ids = ["_k"] if keys else []
+    kept = [F.struct(*[col(k).alias(k) for k in keys]).alias("_k")] if keys else []
     tied = (
         df.filter(col(score).isNotNull())
-        .select(*named, col(score).cast("double").alias("score"), col(truth).alias("_y"))
+        .select(*kept, col(score).cast("double").alias("score"), col(truth).alias("_y"))
         .groupBy(*ids, "score")
-        .agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
-        .withColumn("bucket", order_bucket(F.col("score"), _PER_OCTAVE))
+        .agg(F.sum((F.col("_y") == 1).cast("long")).alias("pos"), F.sum((F.col("_y") == 0).cast("long")).alias("neg"))
+        .withColumn("bucket", F.coalesce(order_bucket(F.col("score"), _PER_OCTAVE), F.lit(0).cast("long")))
     )
-    spans = tied.groupBy(*ids, "bucket").agg(F.count(F.lit(1)).alias("d"), F.min("score").alias("lo"), F.max("score").alias("hi"))
+    # Every use of the tied counts below reads all its columns, so that one shuffle serves them all.
+    spans = tied.groupBy(*ids, "bucket").agg(F.count(F.col("pos") + F.col("neg")).alias("d"), F.min("score").alias("lo"), F.max("score").alias("hi"))
     limit = F.greatest(F.lit(_CROWDED), spans.agg(F.sum("d") / _PIECES).scalar())
     crowded = spans.filter(F.col("d") > limit).withColumn("parts", F.ceil(F.col("d") / limit))
-    tied = _matched(tied, F.broadcast(crowded), [*ids, "bucket"], "left").withColumn(
+    tied = tied.join(F.broadcast(crowded), [*ids, "bucket"], "left").withColumn(
         "piece", F.coalesce(linear_bucket(F.col("score"), F.col("lo"), F.col("hi"), F.col("parts")), F.lit(0).cast("long"))
     ).select(*ids, "score", "pos", "neg", "bucket", "piece")
 
@@ -82,8 +82,8 @@ def score_curve(df: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -
         F.sum("q").over(whole).alias("n_neg"),
     )
     inside = W.partitionBy(*ids, "bucket", "piece").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
-    return _matched(tied, starts, [*ids, "bucket", "piece"], "inner").select(
-        *[F.col(a).alias(k) for a, k in zip(ids, keys)],
+    return tied.join(starts, [*ids, "bucket", "piece"]).select(
+        *[F.col("_k")[k].alias(k) for k in keys],
         "score", "pos", "neg",
         (F.col("p_start") + F.sum("pos").over(inside)).alias("tp"),
         (F.col("q_start") + F.sum("neg").over(inside)).alias("fp"),
@@ -91,13 +91,6 @@ def score_curve(df: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -
     )
 
 
-def _matched(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """Join on equal keys, NULL equal to NULL, keeping one copy of the keys."""
-    other = right.withColumnsRenamed({c: f"_r{c}" for c in on})
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r{c}")) for c in on])
-    return left.join(other, same, how).drop(*[f"_r{c}" for c in on])
-
-
 def ranking_metrics(df: DataFrame, truth: str, score: str, by: Sequence[str] = ()) -> DataFrame:
     """ROC area, average precision (step sum) and trapezoid PR area, ties counted as half; NULL without both classes."""
     pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
