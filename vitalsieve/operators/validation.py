@@ -14,9 +14,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitalsieve.contracts import BREAST_GROUPS, FieldRule, TableContract
 from vitalsieve.functions.columns import col, computed_once
 
-# Service name, modes, message texts and the error types of each outcome class.
+# Modes, message texts and the error types of each outcome class.
 
-SERVICE = "cancer-prediction"
 MODES = ("user", "clinical")
 UNAVAILABLE_ERRORS = ("service_error", "service_unavailable", "artifact_error")
 
