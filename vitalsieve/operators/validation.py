@@ -86,7 +86,7 @@ class _Rules:
 
         def codes(r: FieldRule) -> Column:
             pairs = [F.lit(x) for k, v in (r.codes or {}).items() for x in (str(k).upper(), float(v))]
-            return F.create_map(*pairs) if pairs else F.from_json(F.lit("{}"), "map<string,double>")
+            return F.create_map(*pairs).cast("map<string,double>")
 
         def values(r: FieldRule) -> Column:
             return F.array(*[F.lit(v) for v in sorted({float(v) for v in (r.codes or {}).values()})]).cast("array<double>")
