@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalsieve.llm import chat, cnn, exact, forest, mixing, packing, rules, tokens, toxicity
+from vitalsieve.llm import chat, cnn, exact, forest, mixing, packing, repeats, rules, tokens, toxicity
 from vitalsieve.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -30,6 +30,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judged(table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digests(table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -51,7 +55,7 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_chat_formatting, op2_mixing, op3_toxicity, op4_quality_rules, op6_token_counts, op7_exact_dedup,
+    op1_chat_formatting, op2_mixing, op3_toxicity, op4_quality_rules, op5_suffix_dedup, op6_token_counts, op7_exact_dedup,
     op8_quality_classifier, op9_packing, op10_near_dedup,
 )}
 
