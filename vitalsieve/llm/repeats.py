@@ -25,7 +25,7 @@ LENGTH, GRAM = 50, 20
 #: Bytes of text for each shard, rows of a block, bits of each of the two maps that are broadcast, at most (16 MB each).
 SHARD_BYTES, BLOCK_ROWS, MAP_BITS = 1 << 24, 512, 1 << 27
 #: Bytes whose anchors are taken at once, and bytes of passages that one transform holds.
-_PART, _TRANSFORM = 1 << 20, 1 << 20
+_PART, _TRANSFORM = 1 << 16, 1 << 18
 #: Between passages; no UTF-8 text has this byte.
 _END = 0xFF
 _NO_ID = (1 << 63) - 1
@@ -35,20 +35,21 @@ _POWERS = Powers()
 
 @dataclass
 class Runs:
-    """Runs of strings with one anchor: text, first and last string's place in it, hash of the anchor, hash of the passage."""
+    """Runs of strings with one anchor: text, first and last string's place in it, hash of the anchor, hash of the passage, the anchor's place."""
 
     doc: np.ndarray
     first: np.ndarray
     last: np.ndarray
     anchor: np.ndarray
     passage: np.ndarray
+    place: np.ndarray
 
 
 def _runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Runs in ``data``, some texts behind one another that end at ``ends``: (text, first, last, anchor, passage), places in ``data``."""
+    """Runs in ``data``, some texts behind one another that end at ``ends``: (text, first, last, anchor, passage, place), places in ``data``."""
     none = np.zeros(0, np.int64)
     if len(data) < length:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none
     up, down = _POWERS.upto(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[data] * up[:-1], out=total[1:])
@@ -65,12 +66,12 @@ def _runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[n
     inside = at + length <= ends[np.minimum(text, len(ends) - 1)]
     at, text, anchor = at[inside], text[inside], (low[inside] & place).astype(np.int64)
     if not len(at):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none
     new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (text[1:] != text[:-1])]))
     first, last = at[new], at[np.concatenate([new[1:] - 1, [len(at) - 1]])]
     shape = ((last - first).astype(np.uint64) << np.uint64(8)) + (anchor[new] - first).astype(np.uint64)
     passage = mixed((total[last + length] - total[first]) * down[first] + mixed(shape + np.uint64(1)))
-    return text[new], first, last, grams[anchor[new]], passage
+    return text[new], first, last, grams[anchor[new]], passage, anchor[new]
 
 
 def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Runs:
@@ -80,10 +81,10 @@ def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Runs:
 
     def flush() -> None:
         ends = np.cumsum([len(t) for _, _, t in pending])
-        text, first, last, anchor, passage = _runs(np.frombuffer(b"".join(t for _, _, t in pending), np.uint8), ends, length, gram)
+        text, first, last, anchor, passage, place = _runs(np.frombuffer(b"".join(t for _, _, t in pending), np.uint8), ends, length, gram)
         shift = np.array([s - (e - len(t)) for (_, s, t), e in zip(pending, ends, strict=True)], np.int64)
         which = np.array([d for d, _, _ in pending], np.int64)
-        found.append((which[text], first + shift[text], last + shift[text], anchor, passage))
+        found.append((which[text], first + shift[text], last + shift[text], anchor, passage, place + shift[text]))
         pending.clear()
 
     size = 0
@@ -98,21 +99,25 @@ def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Runs:
     if pending:
         flush()
     if not found:
-        return Runs(*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2)
+        return Runs(*[np.zeros(0, np.int64)] * 3, *[np.zeros(0, np.uint64)] * 2, np.zeros(0, np.int64))
     return Runs(*[np.concatenate(x) for x in zip(*found, strict=True)])
 
 
 def suffixes(text: np.ndarray, upto: int) -> np.ndarray:
     """Places of ``text`` sorted by the ``upto`` bytes from there, by doubling."""
     n = len(text)
-    rank = text.astype(np.int64) + 1
-    wide = 1
-    order = np.argsort(rank, kind="stable")
+    rank = np.zeros(n, np.int64)
+    for i in range(4):  # the first four bytes as one number
+        rank[: max(0, n - i)] += (text[i:].astype(np.int64) + 1) * 257 ** (3 - i)
+    wide = 4
+    order = np.argsort(rank)
+    ranked = rank[order]
+    rank[order] = np.cumsum(np.concatenate([[1], ranked[1:] != ranked[:-1]]))
     while wide < upto:
         behind = np.zeros(n, np.int64)
         behind[: max(0, n - wide)] = rank[wide:]
-        key = rank * (n + 257) + behind
-        order = np.argsort(key, kind="stable")
+        key = rank * (n + 1) + behind
+        order = np.argsort(key)
         ranked = key[order]
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(np.concatenate([[1], ranked[1:] != ranked[:-1]]))
@@ -307,11 +312,13 @@ def _by_strings(passages: list[bytes], ids: np.ndarray, length: int) -> tuple[np
     Passages with equal strings have equal anchors, so they are dealt to transforms of bounded size by the gram they share. A single anchor
     with more than that is one transform.
     """
-    anchors = [_anchor_of(p, length) for p in passages]
-    order = sorted(range(len(passages)), key=anchors.__getitem__)
+    r = runs_of(passages, length)  # a passage is one run
+    anchors = r.anchor.tolist()
+    near = _akin(passages, r.place, length)
+    order = sorted(np.flatnonzero(near).tolist(), key=anchors.__getitem__)
     out: list[tuple[int, int, int, int]] = []
     group, size = [], 0
-    for place, i in enumerate(order):
+    for i in order:
         if size > _TRANSFORM and anchors[i] != anchors[group[-1]]:
             out += _transformed(group, passages, ids, length)
             group, size = [], 0
@@ -319,12 +326,31 @@ def _by_strings(passages: list[bytes], ids: np.ndarray, length: int) -> tuple[np
         size += len(passages[i]) + 1
     if group:
         out += _transformed(group, passages, ids, length)
-    table = np.array(sorted(out), np.int64).reshape(-1, 4)
+    alone = np.flatnonzero(~near)
+    whole = np.column_stack([alone, np.zeros(len(alone), np.int64), np.array([len(passages[i]) - length for i in alone], np.int64), ids[alone]])
+    table = np.concatenate([np.array(out, np.int64).reshape(-1, 4), whole])
+    table = table[np.argsort(table[:, 0], kind="stable")]
     return table[:, 1], table[:, 2], table[:, 3], table[:, 0]
 
 
-def _anchor_of(passage: bytes, length: int) -> int:
-    return int(runs_of([passage], length).anchor[0])
+def _akin(passages: list[bytes], place: np.ndarray, length: int) -> np.ndarray:
+    """Passages that may share a string with another: a common string holds the gram and at least half of the other bytes on one side of
+    it, so two passages without an equal half on either side have none in common."""
+    sizes = np.array([len(p) for p in passages])
+    data = np.frombuffer(b"".join(passages), np.uint8)
+    starts = np.cumsum(sizes) - sizes
+    up, down = Powers().upto(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * up[:-1], out=total[1:])
+    half = (length - GRAM) // 2
+    near = np.zeros(len(passages), bool)
+    for low, high in ((place - half, place + GRAM), (place, place + GRAM + half)):
+        some = np.flatnonzero((low >= 0) & (high <= sizes))
+        a, b = starts[some] + low[some], starts[some] + high[some]
+        key = (total[b] - total[a]) * down[a]
+        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+        near[some] |= count[which] > 1
+    return near
 
 
 def _transformed(group: list[int], passages: list[bytes], ids: np.ndarray, length: int) -> list[tuple[int, int, int, int]]:
@@ -335,21 +361,22 @@ def _transformed(group: list[int], passages: list[bytes], ids: np.ndarray, lengt
     return out
 
 
-def _cleaned(text: bytes, spans: list[tuple[int, int]]) -> tuple[int, int, bytes]:
-    """(removed bytes, maximal removed runs, what is left) for spans in order of their start."""
-    removed = count = at = 0
-    kept: list[bytes] = []
-    for start, end in spans:
-        if end <= at:
-            continue
-        if start > at or not count:
-            kept.append(text[at:start])
-            count += 1
-            at = start
-        removed += end - at
-        at = end
-    kept.append(text[at:])
-    return removed, count, b"".join(kept)
+def _removed(known: np.ndarray, texts: list[bytes], keys: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, start, end) of the maximal runs that go, in order, by the answers sorted by passage."""
+    r = runs_of(texts, length)
+    low, high = np.searchsorted(known["passage"], r.passage, side="left"), np.searchsorted(known["passage"], r.passage, side="right")
+    run = np.repeat(np.arange(len(low)), high - low)
+    answer = known[np.arange(len(run)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[run]]
+    doc, first = r.doc[run], r.first[run]
+    less = answer["id"] < keys[doc]
+    doc, start, end = doc[less], (first + answer["first"])[less], (first + answer["last"])[less] + length
+    base = np.cumsum([0] + [len(t) + 1 for t in texts])  # texts side by side with a gap, so that no run reaches into the next
+    order = np.lexsort((start, doc))
+    doc, start, end = doc[order], start[order] + base[doc[order]], end[order] + base[doc[order]]
+    reach = np.maximum.accumulate(end) if len(end) else end
+    new = np.flatnonzero(np.concatenate([[True], start[1:] > reach[:-1]])) if len(end) else np.zeros(0, np.int64)
+    doc, start, end = doc[new], start[new], reach[np.append(new[1:] - 1, len(end) - 1)] if len(new) else end
+    return doc, start - base[doc], end - base[doc]
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -369,22 +396,16 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def clean(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.concatenate([np.frombuffer(x.as_buffer(), _ANSWER) for x in right.column("data")]) if len(right) else np.zeros(0, _ANSWER)
         known = known[np.argsort(known["passage"], kind="stable")]
-        counts, spans, kept = [[], [], []], [], []
+        counts, kept = [[], [], []], []
         texts, keys = left.column("text").to_pylist(), left.column("key").to_numpy()
-        own: list[list[tuple[int, int]]] = [[] for _ in texts]
-        if len(known):
-            r = runs_of(texts, length)
-            low, high = np.searchsorted(known["passage"], r.passage, side="left"), np.searchsorted(known["passage"], r.passage, side="right")
-            for i in np.flatnonzero(high > low):
-                d = int(r.doc[i])
-                for a in known[low[i] : high[i]]:
-                    if a["id"] < keys[d]:
-                        own[d].append((int(r.first[i]) + int(a["first"]), int(r.first[i]) + int(a["last"]) + length))
-        for text, spans in zip(texts, own, strict=True):
-            removed, n, rest = _cleaned(text, sorted(spans))
-            for column, x in zip(counts, (len(text), removed, n), strict=True):
+        doc, start, end = _removed(known, texts, keys, length)
+        cut = np.searchsorted(doc, np.arange(len(texts) + 1))
+        for i, text in enumerate(texts):
+            spans = [(int(a), int(b)) for a, b in zip(start[cut[i] : cut[i + 1]], end[cut[i] : cut[i + 1]], strict=True)]
+            edges = [0, *(x for span in spans for x in span), len(text)]
+            kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
+            for column, x in zip(counts, (len(text), len(text) - len(kept[-1]), len(spans)), strict=True):
                 column.append(x)
-            kept.append(rest)
         return pa.table({"key": left.column("key"), **{n: pa.array(c, pa.int64()) for n, c in zip(("n_bytes", "n_removed", "n_spans"), counts, strict=True)}, "kept": pa.array(kept, pa.binary())})
 
     left = _blocks(placed).groupBy("file", "block")
