@@ -159,18 +159,19 @@ def equal_strings(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     return order, np.flatnonzero(known[:n])
 
 
-def smallest_holders(passages: list[bytes], ids: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each passage and each string of ``length`` bytes in it, the smallest id of all passages that hold the string."""
+def smallest_holders(passages: list[bytes], ids: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, place, id) for each string of ``length`` bytes, in order: the smallest id of all passages that hold the string."""
     sizes = np.array([len(p) for p in passages])
     text = np.frombuffer(bytes([_END]).join([*passages, b""]), np.uint8)
     starts = np.cumsum(sizes + 1) - sizes - 1
     owner = np.repeat(np.arange(len(passages)), sizes + 1)
     order, cuts = equal_strings(text, length)
-    whole = np.arange(len(text)) - starts[owner] + length <= sizes[owner]
+    place = np.arange(len(text)) - starts[owner]
+    whole = place + length <= sizes[owner]
     value = np.where(whole[order], ids[owner[order]], _NO_ID)
     least = np.empty(len(text), np.int64)
     least[order] = np.repeat(np.minimum.reduceat(value, cuts), np.diff(np.append(cuts, len(text))))
-    return [least[s : s + n - length + 1] for s, n in zip(starts, sizes, strict=True)]
+    return owner[whole], place[whole], least[whole]
 
 
 def _key(doc_id: Column) -> Column:
@@ -316,19 +317,19 @@ def _by_strings(passages: list[bytes], ids: np.ndarray, length: int) -> tuple[np
     anchors = r.anchor.tolist()
     near = _akin(passages, r.place, length)
     order = sorted(np.flatnonzero(near).tolist(), key=anchors.__getitem__)
-    out: list[tuple[int, int, int, int]] = []
+    out: list[np.ndarray] = []
     group, size = [], 0
     for i in order:
         if size > _TRANSFORM and anchors[i] != anchors[group[-1]]:
-            out += _transformed(group, passages, ids, length)
+            out.append(_transformed(group, passages, ids, length))
             group, size = [], 0
         group.append(i)
         size += len(passages[i]) + 1
     if group:
-        out += _transformed(group, passages, ids, length)
+        out.append(_transformed(group, passages, ids, length))
     alone = np.flatnonzero(~near)
-    whole = np.column_stack([alone, np.zeros(len(alone), np.int64), np.array([len(passages[i]) - length for i in alone], np.int64), ids[alone]])
-    table = np.concatenate([np.array(out, np.int64).reshape(-1, 4), whole])
+    out.append(np.column_stack([alone, np.zeros(len(alone), np.int64), np.array([len(passages[i]) - length for i in alone], np.int64), ids[alone]]))
+    table = np.concatenate(out)
     table = table[np.argsort(table[:, 0], kind="stable")]
     return table[:, 1], table[:, 2], table[:, 3], table[:, 0]
 
@@ -353,12 +354,12 @@ def _akin(passages: list[bytes], place: np.ndarray, length: int) -> np.ndarray:
     return near
 
 
-def _transformed(group: list[int], passages: list[bytes], ids: np.ndarray, length: int) -> list[tuple[int, int, int, int]]:
-    out = []
-    for i, least in zip(group, smallest_holders([passages[i] for i in group], ids[group], length), strict=True):
-        cut = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-        out += [(i, int(a), int(b) - 1, int(least[a])) for a, b in zip(cut, np.append(cut[1:], len(least)), strict=True)]
-    return out
+def _transformed(group: list[int], passages: list[bytes], ids: np.ndarray, length: int) -> np.ndarray:
+    """Rows (passage, first, last, id) of one transform."""
+    owner, place, least = smallest_holders([passages[i] for i in group], ids[group], length)
+    head = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (least[1:] != least[:-1])]))
+    tail = np.append(head[1:], len(owner)) - 1
+    return np.column_stack([np.array(group)[owner[head]], place[head], place[tail], least[head]])
 
 
 def _removed(known: np.ndarray, texts: list[bytes], keys: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
