@@ -7,6 +7,8 @@ table of frequent words, and what the worker has met since.
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Iterable, Iterator
 from itertools import chain, filterfalse
 
@@ -23,6 +25,14 @@ REMEMBERED = 1_000_000
 MAX_TOKENS = 2048
 
 
+#: Letters whose case and composition need no library, single digits, and runs of marks; an apostrophe may start a contraction.
+_PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9!-&(-/:-@\[-`{-~]+")
+_PIECE = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: How byte-level vocabularies write each byte: printable Latin-1 as itself, the others from U+0100 on.
+_PRINTED = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_SHOWN = {b: chr(b) for b in _PRINTED} | {b: chr(0x100 + i) for i, b in enumerate(sorted(set(range(256)) - set(_PRINTED)))}
+
+
 def _encoded(tokenizer: Tokenizer, words: list[bytes]) -> Iterator[list[int]]:
     texts = [w.decode("utf-8", "replace") for w in words]
     return (e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
@@ -47,6 +57,7 @@ class WordTable(dict):
 
     def __init__(self, tokenizer: Tokenizer, make, first: dict = {}, most: int = REMEMBERED):
         super().__init__(first)
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         self.tokenizer, self.make, self.first, self.most = tokenizer, make, first, most
 
     def all(self, words: list[bytes]) -> list:
@@ -61,19 +72,26 @@ class WordTable(dict):
         return list(map(self.__getitem__, words))
 
     def _learn(self, new: set[bytes]) -> None:
-        marked = [w for w in new if w[-1] in b",." and w[-2:-1].isalnum()]  # letter or digit, then one mark: two pieces
-        new.difference_update(marked)
-        new.update(w[:-1] for w in marked)
-        new.update(w[-1:] for w in marked)
-        new = set(filterfalse(self.__contains__, new))
-        plain = [w for w in new if w.isalpha() and w.islower()]  # ASCII letters: nothing to normalise or to cut
+        """Words of plain letters, digits and marks are cut as the tokenizer cuts them, so that each of their pieces is merged once; other
+        words go through the whole tokenizer."""
+        cut, hard = {}, []
+        for w in new:
+            text = w.decode("utf-8", "replace")
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                cut[w] = [x.encode() for x in _PIECE.findall(text.lower())]
+            else:
+                hard.append(w)
+        pieces = set(filterfalse(self.__contains__, chain.from_iterable(cut.values())))
         make, tokenize = self.make, self.tokenizer.model.tokenize
-        for w in plain:
-            self[w] = make([t.id for t in tokenize(w.decode())])
-        hard = list(new.difference(plain))
+        for x in pieces:
+            self[x] = make([t.id for t in tokenize("".join(map(_SHOWN.__getitem__, x)))])
         self.update(zip(hard, map(make, _encoded(self.tokenizer, hard)), strict=True))
-        for w in marked:
-            self[w] = self[w[:-1]] + self[w[-1:]]
+        for w, parts in cut.items():
+            if len(parts) > 1 or w not in self:
+                entry = self[parts[0]]
+                for x in parts[1:]:
+                    entry = entry + self[x]
+                self[w] = entry
 
 
 def words_of(text: bytes) -> list[bytes]:
