@@ -32,6 +32,7 @@ def remembered(spark: SparkSession, digests: DataFrame, path: str) -> DataFrame:
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")  # else each store reserves megabytes for its log
     state, updates = shared_path(spark, "dedup-state"), shared_path(spark, "dedup-updates")
     keeper = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "locator")
     stream = session.readStream.schema(digests.schema).option("maxFilesPerTrigger", FILES_PER_BATCH).parquet(path)
