@@ -23,7 +23,7 @@ from vitalsieve.llm.shingles import Powers, mixed
 
 LENGTH, GRAM = 50, 20
 #: Bytes of text for each shard, rows of a block, bits of each of the two maps that are broadcast, at most (16 MB each).
-SHARD_BYTES, BLOCK_ROWS, MAP_BITS = 1 << 24, 512, 1 << 27
+SHARD_BYTES, BLOCK_ROWS, MAP_BITS = 1 << 22, 512, 1 << 27
 #: Bytes whose anchors are taken at once, and bytes of passages that one transform holds.
 _PART, _TRANSFORM = 1 << 16, 1 << 18
 #: Between passages; no UTF-8 text has this byte.
@@ -71,7 +71,8 @@ def _runs(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[n
     first, last = at[new], at[np.concatenate([new[1:] - 1, [len(at) - 1]])]
     shape = ((last - first).astype(np.uint64) << np.uint64(8)) + (anchor[new] - first).astype(np.uint64)
     passage = mixed((total[last + length] - total[first]) * down[first] + mixed(shape + np.uint64(1)))
-    return text[new], first, last, grams[anchor[new]], passage, anchor[new]
+    # A smallest hash is a small number: spread it again, or the first shards get most of the anchors.
+    return text[new], first, last, mixed(grams[anchor[new]] + np.uint64(1)), passage, anchor[new]
 
 
 def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Runs:
@@ -134,25 +135,26 @@ def equal_strings(text: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray
     ``length``. What has no value then has at least ``length`` bytes in common.
     """
     n = len(text)
-    order = suffixes(text, length)
-    place = np.empty(n, np.int64)
-    place[order] = np.arange(n)
-    before = (order - 1) % n
-    byte, back = text[before].astype(np.int64), place[before]
+    order = suffixes(text, length).astype(np.int32)
+    place = np.empty(n, np.int32)
+    place[order] = np.arange(n, dtype=np.int32)
+    before = order - 1  # the place before the first is the last
+    byte, back = text[before], place[before]
+    del place, before
     known = np.zeros(n + 1, bool)
     known[[0, n]] = True
-    low, high = np.array([0]), np.array([n])
+    low, high = np.zeros(1, np.int64), np.full(1, n)
     for _ in range(length):
         if not len(low):
             break
         sizes = high - low
-        which = np.repeat(np.arange(len(low)), sizes)
-        rows = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + low[which]
-        key = which * 256 + byte[rows]
+        rows = np.arange(sizes.sum(), dtype=np.int32) + np.repeat((low - np.cumsum(sizes) + sizes).astype(np.int32), sizes)
+        key = np.repeat(np.arange(len(low), dtype=np.int64) << 8, sizes) | byte[rows]
         by = np.argsort(key, kind="stable")
-        cut = np.flatnonzero(np.concatenate([[True], key[by][1:] != key[by][:-1]]))
+        key = key[by]
+        cut = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
         reached = back[rows[by]]
-        first, end = np.minimum.reduceat(reached, cut), np.maximum.reduceat(reached, cut) + 1
+        first, end = np.minimum.reduceat(reached, cut).astype(np.int64), np.maximum.reduceat(reached, cut).astype(np.int64) + 1
         new = ~known[end] | ((end == n) & (first > 0) & ~known[first])
         known[end] = True
         low, high = first[new], end[new]
@@ -193,8 +195,8 @@ def _maps(docs: DataFrame, shards: int, bits: int, length: int) -> tuple[bytes,
     shift = np.uint64(64 - shards.bit_length() + 1)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            r = runs_of(batch.column(0).to_pylist(), length)
+        for part in (batch.slice(i, 2 * BLOCK_ROWS) for batch in batches for i in range(0, batch.num_rows, 2 * BLOCK_ROWS)):
+            r = runs_of(part.column(0).to_pylist(), length)
             shard = (r.anchor >> shift).astype(np.int64) if shards > 1 else np.zeros(len(r.anchor), np.int64)
             entry = (r.anchor << np.uint64(shards.bit_length() - 1) >> np.uint64(32) << np.uint64(32)) | (r.passage >> np.uint64(32))
             order = np.lexsort((r.doc, entry, shard))
@@ -340,7 +342,7 @@ def _akin(passages: list[bytes], place: np.ndarray, length: int) -> np.ndarray:
     sizes = np.array([len(p) for p in passages])
     data = np.frombuffer(b"".join(passages), np.uint8)
     starts = np.cumsum(sizes) - sizes
-    up, down = Powers().upto(len(data) + 1)
+    up, down = _POWERS.upto(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[data] * up[:-1], out=total[1:])
     half = (length - GRAM) // 2
