@@ -12,6 +12,7 @@ from vitalsieve.session import checkpoint_dir
 #: A word is a maximal run of anything but these six ASCII characters; ``bytes.split()`` cuts at the same ones.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
+_ASIDE = "_column_named_locator"
 
 
 def shared_path(spark: SparkSession, label: str) -> str:
@@ -32,7 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def located(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``locator``: the file and the row in it. Frames that do not come straight from files are written first."""
+    """``docs`` with ``locator``: the file and the row in it. Frames that do not come straight from files are written first.
+
+    A column of that name is set aside until ``restored``.
+    """
+    docs = docs.withColumnRenamed("locator", _ASIDE)
     place = F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     try:
         return docs.select(*docs.columns, place.alias("locator"))
@@ -40,6 +45,11 @@ def located(docs: DataFrame) -> DataFrame:
         return written(docs, "located").select(*docs.columns, place.alias("locator"))
 
 
+def restored(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` of a located frame with the columns it had before."""
+    return rows.select(*[F.col(_ASIDE).alias(c) if c == "locator" else F.col(c) for c in columns])
+
+
 def body(text: str = "text") -> Column:
     """The whole text; NULL counts as empty."""
     return F.coalesce(F.col(text), F.lit(""))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vitalsieve.llm.common import body, located, shared_path, written
+from vitalsieve.llm.common import body, located, restored, shared_path, written
 
 #: Files of digests that one micro-batch takes in; an interrupted run goes on after the last one.
 FILES_PER_BATCH = 100_000
@@ -77,7 +77,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     The smallest doc_id of equal texts stays. Of repeated rows with that id, the first by file and place stays; a NULL id stays only
     where no row has an id, and keep_id is then NULL. NULL and empty texts are equal.
     """
-    rows, groups = groups_of(located(docs))
+    rows, groups = groups_of(located(docs.select("doc_id", "text")))
     return rows.join(groups, "digest").select(
         "doc_id", F.col("keeper.doc_id").alias("keep_id"), F.col("copies").alias("group_size"),
         (F.col("locator") == F.col("keeper.locator")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"))
@@ -88,4 +88,4 @@ def without_copies(docs: DataFrame) -> DataFrame:
     placed = located(docs)
     rows, groups = groups_of(placed)
     gone = rows.join(groups.filter("copies > 1"), "digest").filter(F.col("locator") != F.col("keeper.locator")).select("locator")
-    return placed.join(gone, "locator", "left_anti").select(*docs.columns)
+    return restored(placed.join(gone, "locator", "left_anti"), docs.columns)

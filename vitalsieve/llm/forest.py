@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from vitalsieve.llm.common import located, utf8, written
+from vitalsieve.llm.common import located, restored, utf8, written
 from vitalsieve.llm.graph import components
 from vitalsieve.llm.shingles import MinHash, Powers, shingle_sets
 
@@ -208,7 +208,7 @@ def near_groups(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) ->
     nothing and stand for themselves. component_id is NULL only where no row of the component has an id; such rows aren't kept
     here. Rows that repeat an id each have their own set.
     """
-    rows = _grouped(located(docs.select("doc_id", "text")) if "locator" in docs.columns else located(docs), width, percent)
+    rows = _grouped(located(docs.select("doc_id", "text")), width, percent)
     kept = F.coalesce(F.col("doc_id") == F.col("keeper.doc_id"), F.lit(False))
     return rows.select("doc_id", "n_shingles", F.col("keeper.doc_id").alias("component_id"), kept.alias("kept"))
 
@@ -217,4 +217,4 @@ def without_near_copies(docs: DataFrame, width: int = WIDTH, percent: int = PERC
     """The rows of ``docs`` that stay, one of each component, with all their columns."""
     placed = located(docs)
     gone = _grouped(placed, width, percent).filter(F.col("locator") != F.col("keeper.locator")).select("locator")
-    return placed.join(gone, "locator", "left_anti").select(*docs.columns)
+    return restored(placed.join(gone, "locator", "left_anti"), docs.columns)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vitalsieve.llm.common import located, n_words, written
+from vitalsieve.llm.common import located, n_words, restored, written
 
 #: Weights by position of the source, repeating, and the mix's size as a share of all words.
 WEIGHTS = (3, 1, 2)
@@ -113,7 +113,7 @@ def schedule(docs: DataFrame, share: float = SHARE, block_words: int = BLOCK_WOR
 
 def mixed(docs: DataFrame, share: float = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, size, source, source_size, target, taken) for every row of ``docs``: the words that the mix takes of it."""
-    places, goals, pieces = schedule(docs, share, block_words)
+    places, goals, pieces = schedule(docs.select("doc_id", "text", "source"), share, block_words)
     rows = _taken(places, pieces).join(goals, "src")
     source = F.when(F.col("src") != "~", F.substring("src", 2, 1 << 30))
     return rows.select("doc_id", "size", source.alias("source"), "source_size", "target", "taken")
@@ -130,6 +130,7 @@ def remixed(docs: DataFrame, share: float = SHARE, block_words: int = BLOCK_WORD
     """The rows of ``docs``, each as often as the mix takes it, rounded to whole documents; so rows without words are not taken."""
     placed = located(docs)
     places, _, pieces = schedule(placed, share, block_words)
-    times = _taken(places, pieces).filter("size > 0").select("locator", F.round(F.col("taken") / F.col("size")).cast("int").alias("times"))
-    rows = placed.join(times.filter("times > 0"), "locator")
-    return rows.withColumn("times", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    name = "times" + "_" * max(len(c) for c in placed.columns)  # a name that no column has
+    times = _taken(places, pieces).filter("size > 0").select("locator", F.round(F.col("taken") / F.col("size")).cast("int").alias(name))
+    rows = placed.join(times.filter(F.col(name) > 0), "locator")
+    return restored(rows.withColumn(name, F.explode(F.sequence(F.lit(1), F.col(name)))), docs.columns)

@@ -197,6 +197,8 @@ def _maps(docs: DataFrame, shards: int, bits: int, length: int) -> tuple[bytes,
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in (batch.slice(i, 2 * BLOCK_ROWS) for batch in batches for i in range(0, batch.num_rows, 2 * BLOCK_ROWS)):
             r = runs_of(part.column(0).to_pylist(), length)
+            if not len(r.doc):
+                continue
             shard = (r.anchor >> shift).astype(np.int64) if shards > 1 else np.zeros(len(r.anchor), np.int64)
             entry = (r.anchor << np.uint64(shards.bit_length() - 1) >> np.uint64(32) << np.uint64(32)) | (r.passage >> np.uint64(32))
             order = np.lexsort((r.doc, entry, shard))
@@ -389,7 +391,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     NULL texts are empty; a NULL id is larger than any other and equal to another NULL. Rows that share an id take nothing from each other. Strings
     are judged on the input. Texts of fewer than ``length`` bytes stay as they are.
     """
-    placed = located(docs)
+    placed = located(docs.select("doc_id", "text"))
     total = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = 1 << max(0, (total // SHARD_BYTES).bit_length())
     bits = min(MAP_BITS, max(1 << 16, 1 << int(total).bit_length()))

@@ -94,7 +94,7 @@ def judged(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE
     The host is the source; NULL is a host of its own. NULL and empty texts have no words, so they fail the base rule. Repeated rows are
     judged each and count once for their lines.
     """
-    rows = written(measured(located(docs)), "measured")
+    rows = written(measured(located(docs.select("doc_id", "text", "source"))), "measured")
     gone = (
         rows.select("locator", "host", F.explode("lines").alias("l")).select("locator", "host", "l.line", "l.words")
         .join(frequent_lines(rows, line_docs, line_share), ["host", "line"]).groupBy("locator").agg(F.sum("words").alias("removed_words"))

@@ -73,10 +73,10 @@ def shingle_sets(texts: list[bytes], width: int, powers: Powers) -> Iterator[np.
             if last - first >= width:
                 yield np.unique(run[first : last - width + 1])
             elif last > first:
-                short = np.uint64(0)
-                for h in hashes[first:last]:
-                    short = np.multiply(short + h, _STEP)
-                yield mixed(np.array([short + np.uint64(last - first)], np.uint64))
+                short = np.zeros(1, np.uint64)
+                for i in range(first, last):
+                    short = (short + hashes[i]) * _STEP
+                yield mixed(short + np.uint64(last - first))
             else:
                 yield np.zeros(0, np.uint64)
         at = upto
