@@ -28,5 +28,11 @@ def linear_bucket(value: Column, low: Column, high: Column, parts: int | Column)
 
 
 def keyed_hash(seed: int, *key: Column) -> Column:
-    """Stable pseudo-random order of rows: the same row and seed give the same text on every run and partitioning."""
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[k.cast("string") for k in key]))
+    """Stable pseudo-random order of rows: the same row and seed give the same text on every run and partitioning.
+
+    A key of several columns is written with the length of each value and a mark for NULL, so different keys stay apart.
+    """
+    parts = [k.cast("string") for k in key]
+    if len(parts) > 1:
+        parts = [F.coalesce(F.concat(F.length(p).cast("string"), F.lit(":"), p), F.lit("-")) for p in parts]
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))

@@ -91,5 +91,5 @@ def flag_rate_gap(df: DataFrame, flags: Sequence[str], target: str, positive: ob
 def class_distribution(df: DataFrame, split: str, label: str) -> DataFrame:
     """(split, label, n, pct of the split)."""
     counts = df.groupBy(col(split).alias("split"), col(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    totals = counts.groupBy("split").agg(F.sum("n").alias("total"))
-    return counts.join(totals, "split").select("split", "label", "n", percent(F.col("n"), F.col("total")).alias("pct"))
+    totals = counts.groupBy(F.col("split").alias("_of")).agg(F.sum("n").alias("total"))
+    return counts.join(totals, F.col("split").eqNullSafe(F.col("_of"))).select("split", "label", "n", percent(F.col("n"), F.col("total")).alias("pct"))

@@ -96,8 +96,8 @@ def histogram(df: DataFrame, column: str, bins: int | None = None, by: str | Non
     keys = [quoted(by)] if by else []
     counts = keyed.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("n"))
     if by:
-        totals = counts.groupBy(*keys).agg(F.sum("n").alias("total"))
-        counts = counts.join(totals, by)
+        totals = counts.groupBy(col(by).alias("_of")).agg(F.sum("n").alias("total"))
+        counts = counts.join(totals, col(by).eqNullSafe(F.col("_of"))).drop("_of")
     else:
         counts = counts.withColumn("total", counts.agg(F.sum("n")).scalar())
     width = (high - low) / parts
@@ -111,7 +111,8 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int | No
     """Gaussian kernel density at ``points`` equally spaced values between the minimum and the maximum.
 
     The bandwidth is the sample deviation times n^(-1/5). Equal values are counted first; ``bins`` also rounds values
-    to that many equal-width cells, which bounds the work per grid point by ``bins`` at any number of rows.
+    to that many equal-width cells, which bounds the work per grid point by ``bins`` at any number of rows. A constant column has no
+    density: NULL.
     """
     value = col(column).cast("double")
     data = df.filter(value.isNotNull())
@@ -119,17 +120,17 @@ def kernel_density(df: DataFrame, column: str, points: int = 200, bins: int | No
         F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).cast("double").alias("n"), F.stddev_samp(value).alias("sd")
     ).alias("s")).scalar()
     low, high, n, sd = (stats[c] for c in ("lo", "hi", "n", "sd"))
-    cell = value if bins is None else low + (F.floor((value - low) / (high - low) * (bins - 1) + 0.5) * (high - low) / (bins - 1))
+    cell = value if bins is None else low + (F.coalesce(F.floor(F.try_divide(value - low, high - low) * (bins - 1) + 0.5), F.lit(0)) * (high - low) / (bins - 1))
     counted = data.groupBy(cell.alias("v")).agg(F.count(F.lit(1)).alias("cnt"))
     step = (high - low) / (points - 1)
     width = sd * F.pow(n, F.lit(-0.2))
     spread = counted.select("v", "cnt", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("i"))
-    z = (low + F.col("i") * step - F.col("v")) / width
+    z = F.try_divide(low + F.col("i") * step - F.col("v"), width)
     mass = F.sum(F.col("cnt") * F.exp(-0.5 * z * z))
     return (
         spread.groupBy("i")
         .agg(mass.alias("mass"))
-        .select("i", (low + F.col("i") * step).alias("x"), (F.col("mass") / (n * width * math.sqrt(2.0 * math.pi))).alias("density"))
+        .select("i", (low + F.col("i") * step).alias("x"), F.try_divide(F.col("mass"), n * width * math.sqrt(2.0 * math.pi)).alias("density"))
     )
 
 

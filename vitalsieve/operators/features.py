@@ -186,6 +186,8 @@ class BalancedWeights(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     def _fit(self, dataset: DataFrame) -> "BalancedWeightsModel":
         rows = class_weights(dataset, self.getOrDefault("labelCol")).limit(MAX_LEVELS + 1).collect()
+        if len(rows) > MAX_LEVELS:
+            raise ValueError(f"more than {MAX_LEVELS} labels: join the weights with with_class_weights instead")
         table = {str(float(r.label)): r.weight for r in rows}
         return BalancedWeightsModel(self.getOrDefault("labelCol"), self.getOrDefault("weightCol"), json.dumps(table))
 

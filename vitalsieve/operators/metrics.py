@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -145,7 +147,10 @@ def all_metrics(df: DataFrame, truth: str, prediction: str, score: str | None =
     if not by:
         row = ranks.select(F.struct(*names).alias("r")).scalar()
         return base.withColumn("_r", row).withColumns({m: F.col("_r")[m] for m in names}).drop("_r")
-    return base.join(ranks, list(by), "left")
+    keys = {k: f"_of{i}" for i, k in enumerate(by)}
+    ranks = ranks.withColumnsRenamed(keys)
+    same = [col(k).eqNullSafe(F.col(own)) for k, own in keys.items()]
+    return base.join(ranks, reduce(and_, same), "left").drop(*keys.values())
 
 
 def class_report(df: DataFrame, truth: str, prediction: str) -> DataFrame:

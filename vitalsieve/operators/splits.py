@@ -202,6 +202,6 @@ def split_report(df: DataFrame, split: str, label: str, group: str | None = None
         F.count(F.lit(1)).alias("n"), F.sum((col(label) == 1).cast("long")).alias("n_positive")
     )
     if group:
-        pairs = df.select(quoted(split), quoted(group)).distinct().groupBy(quoted(split)).agg(F.count(F.lit(1)).alias("n_groups"))
-        base = base.join(pairs, split)
+        pairs = df.select(col(split).alias("_of"), quoted(group)).distinct().groupBy("_of").agg(F.count(F.lit(1)).alias("n_groups"))
+        base = base.join(pairs, col(split).eqNullSafe(F.col("_of"))).drop("_of")
     return base.withColumn("positive_pct", F.round(F.try_divide(F.col("n_positive") * 100.0, F.col("n")), 2))

@@ -655,7 +655,7 @@ def stream_score(spark, sf_dir):
 
 @query
 def fingerprint(spark, sf_dir):
-    return tables.fingerprint(table(spark, sf_dir, "documents"), ["doc_id", "text", "lang", "n_chars"])
+    return tables.fingerprint(table(spark, sf_dir, "documents"))
 
 
 @query

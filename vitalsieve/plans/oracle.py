@@ -509,13 +509,15 @@ ORACLE["request_outcomes"] = f"""{_CHECKED}
 SELECT CASE WHEN message IS NULL THEN 200 ELSE 400 END AS status_class, error_type, count(*)::BIGINT AS n FROM checked GROUP BY ALL"""
 ORACLE["quarantine"] = f"{_CHECKED} SELECT event_id, message FROM checked WHERE message IS NOT NULL"
 ORACLE["redacted_paths"] = r"""
-SELECT page_id, regexp_replace(regexp_replace('failed at ' || url, '[A-Za-z]:\\[^ \t\n\r]+', '[redacted_path]', 'g'), '/[A-Za-z0-9_.-]+/[A-Za-z0-9_.-]+', '[redacted_path]', 'g') AS message FROM pages"""
+SELECT page_id, regexp_replace('failed at ' || url, '\b[A-Za-z]:[\\/]\S+|(?:/[\w.-]+){2,}', '[redacted_path]', 'g') AS message FROM pages"""
 
 # Sources
 
 ORACLE["fingerprint"] = """
-SELECT count(*)::BIGINT AS n_rows, sum(h)::BIGINT AS checksum, bit_xor(h)::BIGINT AS xor
-FROM (SELECT ('0x' || substr(md5(doc_id || '|' || text || '|' || lang || '|' || n_chars), 1, 8))::BIGINT AS h FROM documents)"""
+SELECT count(*)::BIGINT AS n_rows, sum(h)::DECIMAL(38, 0) AS checksum, bit_xor(h)::BIGINT AS xor
+FROM (SELECT ('0x' || substr(md5(concat_ws('|', """ + ", ".join(
+    f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "text", "lang", "source", "n_chars")
+) + """)), 1, 14))::BIGINT AS h FROM documents)"""
 ORACLE["input_schema"] = """
 SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS dtype
 FROM (DESCRIBE lineitem) WHERE column_name <> 'l_shipdate'"""

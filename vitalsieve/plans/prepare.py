@@ -47,10 +47,10 @@ def prepare(
     """
     rows = engineer(clean(raw, contract))
     group = group or contract.group
+    if not contract.nulls_allowed:
+        check_cleaned(rows, contract)
     if group_duplicates:
         rows, group = with_group_id(rows, contract.features), "group_id"
-    elif not contract.nulls_allowed:
-        check_cleaned(rows, contract)
     if group:
         rows = group_holdout(rows, group, "label", 1, test_size, seed)
     else:

@@ -59,12 +59,17 @@ def with_row_id(df: DataFrame, out: str = "row_id", chunk: int = 1_000_000) -> D
 
 
 def fingerprint(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """One row (n_rows, checksum, xor): equal for equal content in any row order. One pass, sums of 32-bit hash parts."""
+    """One row (n_rows, checksum, xor): equal for equal content in any row order. One pass, sums of 56-bit hash parts.
+
+    Values are hashed with their lengths and a mark for NULL, so text cannot imitate a boundary or a missing value. The checksum is a decimal,
+    which cannot overflow.
+    """
     names = list(columns or df.columns)
-    text = F.concat_ws("|", *[F.coalesce(col(c).cast("string"), F.lit("<null>")) for c in names])
-    head = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+    value = [col(c).cast("string") for c in names]
+    text = F.concat_ws("|", *[F.coalesce(F.concat(F.length(v).cast("string"), F.lit(":"), v), F.lit("-")) for v in value])
+    head = F.conv(F.substring(F.md5(text), 1, 14), 16, 10).cast("long")
     return df.select(head.alias("h")).agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum("h").alias("checksum"), F.bit_xor("h").alias("xor")
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("h").cast("decimal(20,0)")).cast("decimal(38,0)").alias("checksum"), F.bit_xor("h").alias("xor")
     )
 
 
