@@ -149,7 +149,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
 def _joined(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
     """(id, root) of the nodes that are linked to others, by confirmed links.
 
-    Only components count, so links are confirmed in rounds: each component takes up its closest candidates outside, 1, then 4, 16 and so on of
+    Only components count, so links are confirmed in rounds: each component takes up its closest candidates outside, 4, then 16, 64 and so on of
     them, the links found are contracted, and candidates inside one component are settled. It ends when every candidate is either
     confirmed, refuted or inside a component.
     """
@@ -160,7 +160,7 @@ def _joined(nodes: DataFrame, docs: DataFrame, width: int, percent: int) -> Data
     near = open_pairs.select(F.col("a").alias("id")).union(open_pairs.select("b")).distinct()
     sets = written(_sets(docs, nodes.join(near, "id"), width), "sets")
     open_pairs = open_pairs.select("a", "b", "agree", F.col("a").alias("ra"), F.col("b").alias("rb"))
-    picks_each = 1
+    picks_each = 4
     while True:
         best = F.max(F.struct("agree", "a", "b")).alias("best")
         salted = open_pairs.withColumn("salt", F.pmod(F.xxhash64("a", "b"), F.lit(picks_each)))
