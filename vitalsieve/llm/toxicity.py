@@ -6,7 +6,7 @@ import math
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import ahocorasick
@@ -20,14 +20,16 @@ from vitalsieve.llm.common import body, held_out, training_rows
 PER_CLASS = 12_000
 #: Entries of the lexicon and exception phrases, at most; both are broadcast.
 MOST_ENTRIES, MOST_PHRASES = 4096, 1024
+#: Terms that a task sums up before it hands their counts on.
+SUMMED = 100_000
 #: A term enters if it is LIFT times (as a log) more frequent in toxic documents, with EVIDENCE (G statistic) behind it.
 LIFT, EVIDENCE = 2.0, 25.0
 STEM = range(4, 9)
 
 # Letters of other scripts that look like Latin ones, and digits and signs written for letters.
-HOMOGLYPHS = dict(zip("авеԁһіјкморԛѕтυхуцԝαεικνορτχ", "abedhijkmopqstuxyuwaeiknoptx", strict=False)) | {
-    "а": "a", "в": "b", "е": "e", "ԁ": "d", "һ": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "о": "o", "р": "p", "с": "c", "ѕ": "s", "т": "t", "х": "x", "у": "y",
-    "ԝ": "w", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i",
+HOMOGLYPHS = {
+    "а": "a", "в": "b", "е": "e", "ԁ": "d", "һ": "h", "і": "i", "ј": "j", "к": "k", "м": "m", "о": "o", "р": "p", "ԛ": "q", "с": "c", "ѕ": "s", "т": "t", "х": "x",
+    "у": "y", "ц": "u", "ԝ": "w", "α": "a", "ε": "e", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ı": "i",
 }
 DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s", "!": "i"}
 
@@ -99,16 +101,25 @@ def features(machine: ahocorasick.Automaton, folded: str) -> tuple[float, float]
     return math.log1p(total), math.log1p(100 * total / (words + 50))
 
 
-def _counted(rows: DataFrame, of) -> DataFrame:
-    """(term, bad, fine): documents with each term by class. Terms are summed per batch before they are shuffled."""
+def _counted(rows: DataFrame, terms_of: Callable[[], Callable[[str], set[str]]]) -> DataFrame:
+    """(term, bad, fine): documents with each term by class. Up to SUMMED terms are summed in a task before they are shuffled.
+
+    Each task calls ``terms_of`` once for the function that cuts a folded text into terms."""
+
+    def handed(seen: tuple[Counter, Counter]) -> pa.RecordBatch:
+        names = list(seen[0].keys() | seen[1].keys())
+        counts = [pa.array([part[x] for x in names], pa.int64()) for part in reversed(seen)]
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], ["term", "bad", "fine"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, seen = terms_of(), (Counter(), Counter())
         for batch in batches:
-            seen = Counter(), Counter()
-            for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                seen[label].update(of(fold(text)))
-            names = list(seen[0].keys() | seen[1].keys())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *(pa.array([seen[k][x] for x in names], pa.int64()) for k in (1, 0))], ["term", "bad", "fine"])
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                seen[label].update(of(fold(text.as_py())))
+                if len(seen[0]) + len(seen[1]) > SUMMED:
+                    yield handed(seen)
+                    seen = Counter(), Counter()
+        yield handed(seen)
 
     return rows.select("text", "label").mapInArrow(count, "term string, bad long, fine long").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("fine").alias("fine"))
 
@@ -133,7 +144,7 @@ def _supported(rows: DataFrame, weights: dict[str, float]) -> dict[str, float]:
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine, n = shared.value.matcher(), len(order)
         for batch in batches:
-            lists = [sorted({n - int(w) for _, _, w in hits(machine, fold(text))}) for text in batch.column(0).to_pylist()]
+            lists = [sorted({n - int(w) for _, _, w in hits(machine, fold(text))}) for text in (x.as_py() for x in batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array(lists, pa.list_(pa.int32()))], ["entries"])
 
     votes = [0.0] * len(order)
@@ -168,7 +179,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Lex
     n_bad, n_fine = size.get(1, 0), size.get(0, 0)
     if not n_bad or not n_fine:
         return Lexicon({}, (), (-0.01, 0.0, 0.0))
-    strong = _judged(_counted(rows, terms).filter("bad >= 4"), n_bad, n_fine).filter((F.col("lift") > LIFT) & (F.col("evidence") > EVIDENCE))
+    strong = _judged(_counted(rows, lambda: terms).filter("bad >= 4"), n_bad, n_fine).filter((F.col("lift") > LIFT) & (F.col("evidence") > EVIDENCE))
     weights: dict[str, float] = {}
     for r in strong.orderBy(F.desc("evidence"), F.length("term"), "term").limit(MOST_ENTRIES).collect():
         if not any(r["term"][:k] in weights for k in range(2, len(r["term"]))):  # a kept stem speaks for its words
@@ -176,16 +187,20 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Lex
     weights = _supported(rows, weights)
     spared = rows.sparkSession.sparkContext.broadcast(Lexicon(weights, (), ()))
 
-    def around(folded: str) -> set[str]:
+    def around() -> Callable[[str], set[str]]:
         """Entries with the word before or behind them."""
         machine = spared.value.matcher()
-        out = set()
-        for start, end, _ in hits(machine, folded):
-            stop = folded.find(" ", start + 1)
-            before, behind = folded.rfind(" ", 0, start) if start else -1, folded.find(" ", stop + 1)
-            out |= {folded[before : stop + 1]} if before >= 0 else set()
-            out |= {folded[start : behind + 1]} if behind >= 0 else set()
-        return out
+
+        def of(folded: str) -> set[str]:
+            out = set()
+            for start, end, _ in hits(machine, folded):
+                stop = folded.find(" ", start + 1)
+                before, behind = folded.rfind(" ", 0, start) if start else -1, folded.find(" ", stop + 1)
+                out |= {folded[before : stop + 1]} if before >= 0 else set()
+                out |= {folded[start : behind + 1]} if behind >= 0 else set()
+            return out
+
+        return of
 
     harmless = _counted(rows, around).filter((F.col("fine") >= 5) & ((F.col("bad") + 0.5) / (n_bad + 1) < (F.col("fine") + 0.5) / (n_fine + 1))) if weights else None
     phrases = tuple(r["term"] for r in harmless.orderBy(F.desc("fine"), "term").limit(MOST_PHRASES).collect()) if weights else ()
@@ -202,7 +217,7 @@ def _features(rows: DataFrame, lexicon: Lexicon, label: str) -> list[tuple[tuple
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shared.value.matcher()
         for batch in batches:
-            found = [features(machine, fold(text)) for text in batch.column(0).to_pylist()]
+            found = [features(machine, fold(text)) for text in (x.as_py() for x in batch.column(0))]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), batch.column(1)], ["a", "b", "label"])
 
     return [((r["a"], r["b"]), r["label"]) for r in rows.select("text", F.col(label).alias("label")).mapInArrow(measure, "a double, b double, label int").collect()]
