@@ -19,9 +19,9 @@ from tokenizers import Tokenizer
 
 from vitalsieve.llm.common import utf8
 
-#: Entries of the broadcast table (under 4 MB), and words a worker remembers beside it before it starts anew (about 200 MB).
+#: Entries of the broadcast table (under 4 MB), and words a worker remembers beside it before it starts anew (about 50 MB).
 FREQUENT = 65_536
-REMEMBERED = 1_000_000
+REMEMBERED = 250_000
 MAX_TOKENS = 2048
 
 
