@@ -68,51 +68,132 @@ def _agreement(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return ((x & 15) == 0).sum(axis=1) + ((x >> 4) == 0).sum(axis=1)
 
 
-def _pairs(keys: np.ndarray, sketch: np.ndarray, ids: np.ndarray, old: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Candidates among rows in sorted order, of which the first ``old`` were seen with the rows before."""
-    n = len(ids)
+def _votes(sketch: np.ndarray) -> np.ndarray:
+    """How often each of the 16 values comes at each of the 64 places, flat."""
+    four = np.concatenate([sketch & 15, sketch >> 4], axis=1)
+    return np.bincount((four + np.arange(MINIMA, dtype=np.int64) * 16).ravel(), minlength=16 * MINIMA)
+
+
+def _centre(votes: np.ndarray) -> np.ndarray:
+    """The sketch of the commonest values."""
+    four = votes.reshape(MINIMA, 16).argmax(axis=1).astype(np.uint8)
+    return four[: MINIMA // 2] | four[MINIMA // 2 :] << 4
+
+
+def _sketches(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, MINIMA // 2)
+
+
+def _pairs(keys: np.ndarray, sketch: np.ndarray, old: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Candidates among neighbours in sorted order, of which the first ``old`` were seen with the rows before."""
+    n = len(keys)
     for step in range(1, min(NEAR, n - 1) + 1):
         i = np.arange(max(0, old - step), n - step)
         i = i[(keys[i, :5] == keys[i + step, :5]).all(axis=1)]
         yield i, i + step, _agreement(sketch[i], sketch[i + step])
-    for depth in MIDDLES:
-        end = 1 + 4 * depth
-        cuts = np.flatnonzero((keys[1:, :end] != keys[:-1, :end]).any(axis=1)) + 1
-        for first, last in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [n]]), strict=True):
-            if last - first > NEAR + 1:
-                region = sketch[first:last]
-                bits = np.unpackbits(region, axis=1)
-                common = np.packbits(bits.mean(axis=0) >= 0.5)
-                middle = first + int(np.argmax(_agreement(region, common[None, :])))
-                rest = np.arange(first, last)
-                rest = rest[rest != middle]
-                yield np.full(len(rest), middle), rest, _agreement(sketch[rest], sketch[[middle]])
+
+
+def _regions(keys: np.ndarray, old: int, depth: int) -> Iterator[tuple[int, int, bool]]:
+    """(first, end, whole) of the regions of ``depth`` among the rows from ``old`` on that are crowded, or that may go on in another batch and so are
+    not whole."""
+    end = 1 + 4 * depth
+    n = len(keys)
+    cuts = np.flatnonzero((keys[old + 1 :, :end] != keys[old:-1, :end]).any(axis=1)) + old + 1
+    first, last = np.concatenate([[old], cuts]), np.concatenate([cuts, [n]])
+    whole = last < n
+    whole[0] &= old > 0 and (keys[old - 1, :end] != keys[old, :end]).any()
+    for k in np.flatnonzero(~whole | (last - first > NEAR + 1)):
+        yield int(first[k]), int(last[k]), bool(whole[k])
+
+
+def _spread(found: DataFrame) -> DataFrame:
+    """(a, b, agree): every member of the regions that lie in several batches with the region's middle, which is chosen over the whole region."""
+
+    def sum_up(group: pa.Table) -> pa.Table:
+        votes = sum(np.frombuffer(x.as_buffer(), np.int64) for x in group.column("votes"))
+        return pa.table({"region": group.column("region")[:1], "centre": pa.array([_centre(votes).tobytes()], pa.binary())})
+
+    def nearest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            region, ids = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            agree = _agreement(_sketches(batch.column(2)), _sketches(batch.column(3)))
+            order = np.lexsort((ids, agree, region))
+            best = order[np.flatnonzero(np.append(region[order][1:] != region[order][:-1], True))] if len(order) else order
+            yield pa.RecordBatch.from_arrays([pa.array(region[best]), pa.array(agree[best].astype(np.int32)), pa.array(ids[best]), batch.column(2).take(pa.array(best))], ["region", "agree", "id", "sketch"])
+
+    def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            agree = _agreement(_sketches(batch.column(1)), _sketches(batch.column(3)))
+            ok = (agree >= AGREE) & (a != b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[ok]), pa.array(np.maximum(a, b)[ok]), pa.array(agree[ok].astype(np.int32))], ["a", "b", "agree"])
+
+    members = found.filter("sketch IS NOT NULL").select("region", F.col("a").alias("id"), "sketch")
+    centres = found.filter("votes IS NOT NULL").select("region", "votes").groupBy("region").applyInArrow(sum_up, "region long, centre binary")
+    bests = members.join(centres, "region").select("region", "id", "sketch", "centre").mapInArrow(nearest, "region long, agree int, id long, sketch binary")
+    middles = bests.groupBy("region").agg(F.max(F.struct("agree", "id", "sketch")).alias("m"))
+    middles = written(middles.select("region", F.col("m.id").alias("middle"), F.col("m.sketch").alias("middle_sketch")), "middles")
+    return members.join(middles, "region").select("id", "sketch", "middle", "middle_sketch").mapInArrow(close, "a long, b long, agree int")
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
     """(a, b, agree) of distinct sets that may overlap enough.
 
-    Every tree is one sorted order, dealt out by ranges of the whole key and the id, so equal keys don't gather in one task. In an order, places
-    close to each other have the longest common prefixes: how deep the comparison goes follows from how crowded the region
-    is. Each place is paired with the NEAR ones behind it that share the tree's first minimum, and in crowded regions the middle
-    document, whose sketch is nearest to the majority's, with all of the region.
+    Every tree is one sorted order, dealt out by ranges of the whole key and a hash of key and id, so equal keys don't gather in one task
+    and are mixed anew by each tree. In an order, places close to each other have the longest common prefixes: how deep the
+    comparison goes follows from how crowded the region is. Each place is paired with the NEAR ones behind it that share the
+    tree's first minimum, and in crowded regions the middle document, whose sketch is nearest to the commonest values, with all
+    of the region. Regions inside one batch are settled there; those that reach the edge of a batch are put together over all batches
+    and partitions, their votes summed up per task.
     """
+    names = ["region", "a", "b", "agree", "sketch", "votes"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary()]
+
+    def rows(n: int, **columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(columns[c], t) if c in columns else pa.nulls(n, t) for c, t in zip(names, types, strict=True)], names)
 
     def neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sketch, ids = np.zeros((0, 1 + 4 * DEPTH), np.uint8), np.zeros((0, MINIMA // 2), np.uint8), np.zeros(0, np.int64)
+        votes: dict[int, tuple[int, np.ndarray]] = {}  # of the last region that is not whole, by depth
+
+        def paired(i: np.ndarray, j: np.ndarray, agree: np.ndarray) -> pa.RecordBatch:
+            ok = agree >= AGREE
+            a, b = ids[i[ok]], ids[j[ok]]
+            return rows(len(a), a=np.minimum(a, b), b=np.maximum(a, b), agree=agree[ok].astype(np.int32))
+
         for batch in batches:
+            if not batch.num_rows:
+                continue
             old = len(ids)
             keys = np.concatenate([keys, np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint8).reshape(-1, 1 + 4 * DEPTH)])
-            sketch = np.concatenate([sketch, np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(-1, MINIMA // 2)])
+            sketch = np.concatenate([sketch, _sketches(batch.column(1))])
             ids = np.concatenate([ids, batch.column(2).to_numpy()])
-            for i, j, agree in _pairs(keys, sketch, ids, old):
-                ok = agree >= AGREE
-                a, b = ids[i[ok]], ids[j[ok]]
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b)), pa.array(agree[ok].astype(np.int32))], ["a", "b", "agree"])
+            for found in _pairs(keys, sketch, old):
+                yield paired(*found)
+            for depth in MIDDLES:
+                for first, end, whole in _regions(keys, old, depth):
+                    own = _votes(sketch[first:end])
+                    if whole:
+                        middle = first + int(np.argmax(_agreement(sketch[first:end], _centre(own)[None, :])))
+                        rest = np.delete(np.arange(first, end), middle - first)
+                        yield paired(np.full(len(rest), middle), rest, _agreement(sketch[rest], sketch[[middle]]))
+                        continue
+                    region = int.from_bytes(hashlib.blake2b(keys[first, : 1 + 4 * depth].tobytes(), digest_size=8).digest(), "little", signed=True)
+                    yield rows(end - first, region=np.full(end - first, region), a=ids[first:end], sketch=[x.tobytes() for x in sketch[first:end]])
+                    before, so_far = votes.get(depth, (region, 0))
+                    if before != region:
+                        yield rows(1, region=[before], votes=[so_far.tobytes()])
+                        so_far = 0
+                    votes[depth] = region, so_far + own
             keys, sketch, ids = keys[-NEAR:], sketch[-NEAR:], ids[-NEAR:]
-
-    order = _places(nodes).repartitionByRange("key", "id").sortWithinPartitions("key", "id")
-    return order.mapInArrow(neighbours, "a long, b long, agree int").groupBy("a", "b").agg(F.max("agree").alias("agree"))
+        for region, so_far in votes.values():
+            yield rows(1, region=[region], votes=[so_far.tobytes()])
+
+    turn = F.xxhash64("key", "id")
+    order = _places(nodes).repartitionByRange("key", turn).sortWithinPartitions("key", turn)
+    found = written(order.mapInArrow(neighbours, "region long, a long, b long, agree int, sketch binary, votes binary"), "neighbours")
+    pairs = found.filter("b IS NOT NULL").select("a", "b", "agree").union(_spread(found))
+    return pairs.groupBy("a", "b").agg(F.max("agree").alias("agree"))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
