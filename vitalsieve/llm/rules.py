@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, functions as F
 from vitalsieve.llm.common import located, utf8, written
 from vitalsieve.llm.shingles import mixed
 
-#: A line goes if it is in more than LINE_DOCS different documents of its host and in more than LINE_SHARE of them.
-LINE_DOCS, LINE_SHARE = 100, 0.1
+#: A line goes if it is in more than LINE_DOCS different documents of its host, or in more than LINE_SHARE of them and in LINE_LEAST at least.
+LINE_DOCS, LINE_SHARE, LINE_LEAST = 20, 0.1, 3
 #: A document goes if fewer than this share of its words are left.
 LEAST_LEFT = 0.3
 LEAST_WORDS, MOST_REPEATED = 10, 20
@@ -80,12 +80,14 @@ def measured(docs: DataFrame) -> DataFrame:
 
 
 def frequent_lines(rows: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE) -> DataFrame:
-    """(host, line) of lines above both limits, over all documents. Equal texts count as one document, so copies alone make no line
-    frequent."""
+    """(host, line) of lines above one of the limits, over all documents. Equal texts count as one document, so copies alone make no line
+    frequent. The share decides only for hosts so small that it is below the count; the lines of one of those are few."""
     lines = rows.select("host", "digest", F.explode("lines").alias("l")).select("host", "digest", "l.line")
     docs = lines.groupBy("host", "line").agg(F.countDistinct("digest").alias("docs"))
-    hosts = rows.groupBy("host").agg(F.countDistinct("digest").alias("of"))
-    return docs.filter(F.col("docs") > line_docs).join(hosts, "host").filter(F.col("docs") > F.col("of") * line_share).select("host", "line")
+    docs = written(docs.filter(F.col("docs") >= min(LINE_LEAST, line_docs + 1)), "shared-lines")
+    hosts = rows.groupBy("host").agg(F.countDistinct("digest").alias("of")).filter(F.col("of") * line_share < line_docs)
+    by_share = docs.filter((F.col("docs") <= line_docs) & (F.col("docs") >= LINE_LEAST)).join(hosts, "host").filter(F.col("docs") > F.col("of") * line_share)
+    return docs.filter(F.col("docs") > line_docs).select("host", "line").union(by_share.select("host", "line"))
 
 
 def judged(docs: DataFrame, line_docs: int = LINE_DOCS, line_share: float = LINE_SHARE, least_left: float = LEAST_LEFT) -> DataFrame:
