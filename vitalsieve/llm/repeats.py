@@ -5,7 +5,8 @@ grouped by the runs of places that share an anchor; the passage of a run is what
 
 1. each batch of documents sends 8 bytes for every run: which anchors come more than once, and which of those with different passages;
 2. for anchors that come more than once, passages that agree as a whole are joined by their hash, the others are sent as bytes, and the shard
-   finds equal strings among them in a Burrows-Wheeler transform;
+   finds equal strings among them in a Burrows-Wheeler transform; anchors with very many different passages send the hash of each string
+   instead, to the shard of that hash;
 3. shards answer blocks of documents with the smallest id that has each string, and blocks remove what a smaller id has.
 """
 
@@ -16,16 +17,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitalsieve.llm.common import located, utf8, written
 from vitalsieve.llm.shingles import Powers, mixed
 
 LENGTH, GRAM = 50, 20
-#: Bytes of text for each shard, rows of a block, bits of each of the two maps that are broadcast, at most (16 MB each).
+#: Bytes of text for each shard, rows of a block, bits of each of the three maps that are broadcast, at most (16 MB each).
 SHARD_BYTES, BLOCK_ROWS, MAP_BITS = 1 << 22, 512, 1 << 27
 #: Bytes whose anchors are taken at once, and bytes of passages that one transform holds.
 _PART, _TRANSFORM = 1 << 16, 1 << 18
+#: Different passages from which on an anchor is hot: its strings then go to shards by their own hashes, without their bytes.
+HOT = 1 << 10
 #: Between passages; no UTF-8 text has this byte.
 _END = 0xFF
 _NO_ID = (1 << 63) - 1
@@ -104,6 +108,36 @@ def runs_of(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Runs:
     return Runs(*[np.concatenate(x) for x in zip(*found, strict=True)])
 
 
+def _opened(r: Runs, hot: np.ndarray, texts: list[bytes], length: int) -> Runs:
+    """The runs but the hot ones, then each string of those as a run of its own, whose anchor is a hash of the whole string."""
+    some = np.flatnonzero(hot)
+    kept = [x[~hot] for x in (r.doc, r.first, r.last, r.anchor, r.passage, r.place)]
+    if not len(some):
+        return Runs(*kept)
+    data = np.frombuffer(b"".join(texts[d][f : e + length] for d, f, e in zip(r.doc[some], r.first[some], r.last[some], strict=True)), np.uint8)
+    counts = r.last[some] - r.first[some] + 1
+    run = np.repeat(np.arange(len(some)), counts)
+    within = np.arange(len(run)) - np.repeat(np.cumsum(counts) - counts, counts)
+    at = within + np.repeat(np.cumsum(counts + length - 1) - (counts + length - 1), counts)
+    up, down = _POWERS.upto(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_VALUE[data] * up[:-1], out=total[1:])
+    string = mixed((total[at + length] - total[at]) * down[at] + np.uint64(0x51A7))
+    first = r.first[some][run] + within
+    strings = (r.doc[some][run], first, first, mixed(string + np.uint64(1)), string, first)
+    return Runs(*[np.concatenate(x) for x in zip(kept, strings, strict=True)])
+
+
+def _shard(anchor: np.ndarray, shards: int) -> np.ndarray:
+    return (anchor >> np.uint64(64 - shards.bit_length() + 1)).astype(np.int64) if shards > 1 else np.zeros(len(anchor), np.int64)
+
+
+def _flags(bitmap: bytes, anchor: np.ndarray, shards: int, bits: int) -> np.ndarray:
+    each = bits // shards
+    bit = _shard(anchor, shards) * each + ((anchor << np.uint64(shards.bit_length() - 1) >> np.uint64(32)) * np.uint64(each) >> np.uint64(32)).astype(np.int64)
+    return ((np.frombuffer(bitmap, np.uint8)[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1).astype(bool)
+
+
 def suffixes(text: np.ndarray, upto: int) -> np.ndarray:
     """Places of ``text`` sorted by the ``upto`` bytes from there, by doubling."""
     n = len(text)
@@ -186,8 +220,9 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("locator.file").alias("file"), F.floor(row / BLOCK_ROWS).alias("block"), row.alias("row"), _key(F.col("doc_id")).alias("key"), utf8().alias("text"))
 
 
-def _maps(docs: DataFrame, shards: int, bits: int, length: int) -> tuple[bytes, bytes]:
-    """Two bit maps over hashes of anchors: those that may come more than once, and of them those that may have different passages.
+def _maps(docs: DataFrame, shards: int, bits: int, length: int, hot: int) -> tuple[bytes, bytes, bytes]:
+    """Bit maps over hashes of anchors: those that may come more than once, of them those that may have different passages, and of these
+    those that have ``hot`` different ones or more.
 
     A map has a fixed size whatever the corpus holds; where hashes meet in a bit, more is looked at than need be. Each shard makes its own
     part of the maps.
@@ -220,46 +255,46 @@ def _maps(docs: DataFrame, shards: int, bits: int, length: int) -> tuple[bytes,
         anchor = entries >> np.uint64(32)
         again, other = anchor[1:] == anchor[:-1], entries[1:] != entries[:-1]
         out = []
-        for hit in (again, again & other):
+        different, count_of = np.unique(anchor[np.append(True, other)], return_counts=True)
+        for hit in (anchor[1:][again], anchor[1:][again & other], different[count_of >= hot]):
             flags = np.zeros(each, bool)
-            flags[(anchor[1:][hit] * np.uint64(each) >> np.uint64(32)).astype(np.int64)] = True
+            flags[(hit * np.uint64(each) >> np.uint64(32)).astype(np.int64)] = True
             out.append(np.packbits(flags).tobytes())
-        return pa.table({"shard": group.column("shard")[:1], "again": pa.array([out[0]], pa.binary()), "other": pa.array([out[1]], pa.binary())})
+        return pa.table({"shard": group.column("shard")[:1], **{n: pa.array([x], pa.binary()) for n, x in zip(("again", "other", "hot"), out, strict=True)}})
 
     sent = docs.select(utf8().alias("text")).mapInArrow(send, "shard long, entries binary")
-    made = {r["shard"]: r for r in sent.groupBy("shard").applyInArrow(count, "shard long, again binary, other binary").collect()}
+    made = {r["shard"]: r for r in sent.groupBy("shard").applyInArrow(count, "shard long, again binary, other binary, hot binary").collect()}
     empty = bytes(each // 8)
-    return tuple(b"".join(bytes(made[s][k]) if s in made else empty for s in range(shards)) for k in ("again", "other"))
+    return tuple(b"".join(bytes(made[s][k]) if s in made else empty for s in range(shards)) for k in ("again", "other", "hot"))
 
 
-def _answers(docs: DataFrame, shards: int, bits: int, length: int) -> DataFrame:
-    """(file, block, data): for passages of each block, the smallest id that holds each of their strings, where a smaller one than the block's
-    own may exist. ``data`` packs (passage hash, first string, last string, id)."""
-    spark = docs.sparkSession
-    maps = spark.sparkContext.broadcast(_maps(docs, shards, bits, length))
-    each, shift = bits // shards, np.uint64(64 - shards.bit_length() + 1)
+def _asked(docs: DataFrame, maps: Broadcast, shards: int, bits: int, length: int) -> DataFrame:
+    """(shard, file, block, single, multi, texts): what each block asks each shard. Passages of anchors with others go with their bytes, those of
+    hot anchors as the hashes of their strings, which are dealt to all shards."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        again, other = (np.frombuffer(m, np.uint8) for m in maps.value)
+        again, other, hot = maps.value
         for batch in batches:
             files, blocks = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             cuts = np.flatnonzero(np.concatenate([[True], (files[1:] != files[:-1]) | (blocks[1:] != blocks[:-1])]))
             for a, b in zip(cuts, np.append(cuts[1:], len(files)), strict=True):
                 texts, keys = batch.column(4)[a:b].to_pylist(), batch.column(3)[a:b].to_numpy()
                 r = runs_of(texts, length)
-                shard = (r.anchor >> shift).astype(np.int64) if shards > 1 else np.zeros(len(r.anchor), np.int64)
-                bit = shard * each + ((r.anchor << np.uint64(shards.bit_length() - 1) >> np.uint64(32)) * np.uint64(each) >> np.uint64(32)).astype(np.int64)
-                of = lambda m: (m[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1  # noqa: B023, E731
-                hit = np.flatnonzero(of(again))
-                key = keys[r.doc[hit]]
-                order = hit[np.lexsort((key, r.passage[hit]))]
+                hit = _flags(again, r.anchor, shards, bits)
+                r = Runs(*[x[hit] for x in (r.doc, r.first, r.last, r.anchor, r.passage, r.place)])
+                opened = _flags(hot, r.anchor, shards, bits)
+                differs = _flags(other, r.anchor, shards, bits)[~opened]
+                r = _opened(r, opened, texts, length)
+                differs = np.append(differs, np.zeros(len(r.doc) - len(differs), bool))
+                shard = _shard(r.anchor, shards)
+                order = np.lexsort((keys[r.doc], r.passage))
                 if not len(order):
                     continue
                 passage, key = r.passage[order], keys[r.doc[order]]
                 head = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
                 tail = np.append(head[1:], len(order)) - 1
                 several = key[head] != key[tail]
-                own, shard_of, multi = order[head], shard[order[head]], of(other)[order[head]].astype(bool)
+                own, shard_of, multi = order[head], shard[order[head]], differs[order[head]]
                 rows: dict[str, list] = {"shard": [], "file": [], "block": [], "single": [], "multi": [], "texts": []}
                 for s in np.unique(shard_of):
                     here = shard_of == s
@@ -269,6 +304,13 @@ def _answers(docs: DataFrame, shards: int, bits: int, length: int) -> DataFrame:
                         rows[name].append(x)
                 yield pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in (("shard", pa.int64()), ("file", pa.int64()), ("block", pa.int64()), ("single", pa.binary()), ("multi", pa.binary()), ("texts", pa.list_(pa.binary())))], list(rows))
 
+    return _blocks(docs).select("file", "block", "row", "key", "text").mapInArrow(ask, "shard long, file long, block long, single binary, multi binary, texts array<binary>")
+
+
+def _answers(docs: DataFrame, maps: Broadcast, shards: int, bits: int, length: int) -> DataFrame:
+    """(file, block, data): for passages of each block, the smallest id that holds each of their strings, where a smaller one than the block's
+    own may exist. ``data`` packs (passage hash, first string, last string, id)."""
+
     def answer(group: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []  # (row of the group, passage, first, last, id)
         for kind in ("single", "multi"):
@@ -303,8 +345,7 @@ def _answers(docs: DataFrame, shards: int, bits: int, length: int) -> DataFrame:
         some = np.flatnonzero(counts)
         return pa.table({"file": group.column("file").take(pa.array(some)), "block": group.column("block").take(pa.array(some)), "data": pa.array([parts[i].tobytes() for i in some], pa.binary())})
 
-    asked = _blocks(docs).select("file", "block", "row", "key", "text").mapInArrow(ask, "shard long, file long, block long, single binary, multi binary, texts array<binary>")
-    return asked.groupBy("shard").applyInArrow(answer, "file long, block long, data binary")
+    return _asked(docs, maps, shards, bits, length).groupBy("shard").applyInArrow(answer, "file long, block long, data binary")
 
 
 _ENTRY = np.dtype([("passage", np.uint64), ("id", np.int64), ("several", np.bool_), ("more", np.uint8)])
@@ -315,7 +356,7 @@ def _by_strings(passages: list[bytes], ids: np.ndarray, length: int) -> tuple[np
     """(first, last, id, passage): runs of strings in each passage with one smallest holder.
 
     Passages with equal strings have equal anchors, so they are dealt to transforms of bounded size by the gram they share. A single anchor
-    with more than that is one transform.
+    with more than that is one transform; it has fewer than HOT passages, the others are opened before.
     """
     r = runs_of(passages, length)  # a passage is one run
     anchors = r.anchor.tolist()
@@ -366,9 +407,10 @@ def _transformed(group: list[int], passages: list[bytes], ids: np.ndarray, lengt
     return np.column_stack([np.array(group)[owner[head]], place[head], place[tail], least[head]])
 
 
-def _removed(known: np.ndarray, texts: list[bytes], keys: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _removed(known: np.ndarray, texts: list[bytes], keys: np.ndarray, length: int, hot: bytes, shards: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(text, start, end) of the maximal runs that go, in order, by the answers sorted by passage."""
     r = runs_of(texts, length)
+    r = _opened(r, _flags(hot, r.anchor, shards, bits), texts, length)
     low, high = np.searchsorted(known["passage"], r.passage, side="left"), np.searchsorted(known["passage"], r.passage, side="right")
     run = np.repeat(np.arange(len(low)), high - low)
     answer = known[np.arange(len(run)) - np.repeat(np.cumsum(high - low) - (high - low), high - low) + low[run]]
@@ -384,7 +426,7 @@ def _removed(known: np.ndarray, texts: list[bytes], keys: np.ndarray, length: in
     return doc, start - base[doc], end - base[doc]
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept) for every row: ``kept`` is the text without each byte that is covered by a string of ``length``
     bytes which also starts in a document with a smaller id.
 
@@ -396,14 +438,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     shards = 1 << max(0, (total // SHARD_BYTES).bit_length())
     bits = min(MAP_BITS, max(1 << 16, 1 << int(total).bit_length()))
     shards = min(shards, bits // 8)
-    answers = written(_answers(placed, shards, bits, length), "answers")
+    maps = docs.sparkSession.sparkContext.broadcast(_maps(placed, shards, bits, length, hot))
+    answers = written(_answers(placed, maps, shards, bits, length), "answers")
 
     def clean(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         known = np.concatenate([np.frombuffer(x.as_buffer(), _ANSWER) for x in right.column("data")]) if len(right) else np.zeros(0, _ANSWER)
         known = known[np.argsort(known["passage"], kind="stable")]
         counts, kept = [[], [], []], []
         texts, keys = left.column("text").to_pylist(), left.column("key").to_numpy()
-        doc, start, end = _removed(known, texts, keys, length)
+        doc, start, end = _removed(known, texts, keys, length, maps.value[2], shards, bits)
         cut = np.searchsorted(doc, np.arange(len(texts) + 1))
         for i, text in enumerate(texts):
             spans = [(int(a), int(b)) for a, b in zip(start[cut[i] : cut[i + 1]], end[cut[i] : cut[i + 1]], strict=True)]
