@@ -71,7 +71,8 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int) -> DataFrame:
     """(doc_id, text, label) of at most ``per_class`` labelled documents of each class, chosen by a hash of the id.
 
-    Held-out rows, NULL ids and labels other than 0 and 1 are left out; of repeated labels the larger counts. The ids are at most
+    Held-out rows, NULL ids and labels other than 0 and 1 are left out; of repeated labels the larger counts. Of rows that repeat an id one is
+    taken, by a hash of the text, before the shuffle already. The ids are at most
     ``2 * per_class`` longs, so they are broadcast; texts stay on the executors.
     """
     known = (
@@ -83,4 +84,6 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, per_class: int
     for value in (0, 1):
         part = known.filter(F.col("label") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
         chosen = part if chosen is None else chosen.unionByName(part)
-    return docs.select("doc_id", body().alias("text")).join(F.broadcast(chosen), "doc_id")
+    rows = docs.select("doc_id", body().alias("text")).join(F.broadcast(chosen), "doc_id")
+    one = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("one")
+    return rows.groupBy("doc_id", "label").agg(one).select("doc_id", "one.text", "label")
