@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitalsieve.llm import chat, cnn, exact, forest, merkle, mixing, packing, repeats, rules, tokens, toxicity
+from vitalsieve.llm import audit, chat, cnn, decontamination, exact, forest, merkle, mixing, packing, repeats, rules, tokens, toxicity
 from vitalsieve.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -54,13 +54,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return forest.near_groups(table(spark, sf_dir, "documents"), width=2, percent=80)
 
 
+def op11_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.checked(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_chat_formatting, op2_mixing, op3_toxicity, op4_quality_rules, op5_suffix_dedup, op6_token_counts, op7_exact_dedup,
-    op8_quality_classifier, op9_packing, op10_near_dedup, op13_merkle_manifest,
+    op8_quality_classifier, op9_packing, op10_near_dedup, op11_decontamination, op12_filter_audit, op13_merkle_manifest,
 )}
 
 ORACLE = {
@@ -83,6 +91,46 @@ ORACLE = {
         WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents),
         g AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY norm)
         SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, sha256(n.norm) AS text_sha256 FROM n JOIN g ON n.norm = g.norm""",
+    "op11_decontamination": r"""
+        WITH gap AS (SELECT '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+' AS word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS upper, 'abcdefghijklmnopqrstuvwxyz' AS lower),
+        d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower), (SELECT word FROM gap)) AS w FROM documents, gap),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), upper, lower), (SELECT word FROM gap)) AS w FROM benchmark, gap),
+        g AS (
+            SELECT item_id, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS gram
+            FROM b, unnest(generate_series(1, greatest(len(w) - 9, 1))) u(i) WHERE len(w) > 0),
+        k AS (SELECT DISTINCT n FROM g),
+        o AS (SELECT d.r, u.i, k.n, array_to_string(w[u.i : u.i + k.n - 1], ' ') AS gram FROM d, k, unnest(generate_series(1, len(w) - k.n + 1)) u(i)),
+        h AS (SELECT DISTINCT o.r, o.i, o.n, g.item_id FROM o JOIN g ON g.gram = o.gram AND g.n = o.n),
+        c AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(generate_series(i, i + n - 1)) AS p FROM h) GROUP BY r),
+        m AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS items FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM h WHERE item_id IS NOT NULL) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+            coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN c ON c.r = d.r LEFT JOIN m ON m.r = d.r""",
+    "op12_filter_audit": r"""
+        WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+        w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS capitals,
+            min(doc_id) OVER (PARTITION BY text) AS first_id FROM d),
+        l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+        f AS (
+            SELECT w.part, (CASE WHEN len(words) < 200 THEN 'A' ELSE '' END) || (CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END)
+                || (CASE WHEN 100 * capitals > 3 * length(text) THEN 'C' ELSE '' END) || (CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END)
+                || (CASE WHEN first_id < w.doc_id THEN 'E' ELSE '' END) AS fails, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+            FROM w LEFT JOIN l ON l.doc_id = w.doc_id),
+        p AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+        c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+        o AS (SELECT a.c || b.c || x.c || y.c || z.c AS filter_order FROM c a, c b, c x, c y, c z
+            WHERE len(list_distinct([a.c, b.c, x.c, y.c, z.c])) = 5),
+        s AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS earlier FROM o, generate_series(1, 5) g(step)),
+        r AS (
+            SELECT part, filter_order, step, letter, n, good, toxic, fails, contains(fails, letter) AS here, translate(earlier, fails, '') <> earlier AS before FROM p, s),
+        t AS (
+            SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter, CAST(sum(CASE WHEN NOT here AND NOT before THEN n ELSE 0 END) AS BIGINT) AS kept,
+                CAST(sum(CASE WHEN here AND NOT before THEN n ELSE 0 END) AS BIGINT) AS removed, CAST(sum(CASE WHEN here AND before THEN n ELSE 0 END) AS BIGINT) AS redundant,
+                CAST(sum(CASE WHEN fails = letter THEN n ELSE 0 END) AS BIGINT) AS unique_fails, CAST(sum(CASE WHEN here AND NOT before THEN good ELSE 0 END) AS BIGINT) AS good_lost,
+                CAST(sum(CASE WHEN here AND NOT before THEN toxic ELSE 0 END) AS BIGINT) AS toxic_lost
+            FROM r GROUP BY part, filter_order, step, letter)
+        SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+            CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley FROM t""",
     "op13_merkle_manifest": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, lang, coalesce('=' || lang, '') AS grp, n_chars,
