@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer
 
 from vitalsieve.llm.common import utf8, written
-from vitalsieve.llm.tokens import WordTable, document_ids, id_bytes, tokenizer_text
+from vitalsieve.llm.tokens import document_ids, frequent_words, id_bytes, tokenizer_text, worker_table
 
 SEQUENCE = 2048
 #: Open bins of a task, and pieces a task packs (one bin set each; fewer tasks leave fewer bins half full at the end).
@@ -58,11 +58,12 @@ def pieces(docs: DataFrame, tokenizer_path: str, length: int = SEQUENCE, end_id:
     NULL and empty texts are the closing id alone. Repeated rows give pieces each.
     """
     model = tokenizer_text(docs.sparkSession, tokenizer_path)
+    first = docs.sparkSession.sparkContext.broadcast(frequent_words(Tokenizer.from_str(model.value), make=id_bytes))
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = WordTable(Tokenizer.from_str(model.value), id_bytes)
+        table = worker_table(model.value, id_bytes, first.value)
         step = 4 * length
         for batch in batches:
             out = [[] for _ in names]

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Iterable, Iterator
-from itertools import chain, filterfalse
+import struct
+from collections.abc import Callable, Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark import Broadcast
@@ -19,7 +20,7 @@ from tokenizers import Tokenizer
 
 from vitalsieve.llm.common import utf8
 
-#: Entries of the broadcast table (under 4 MB), and words a worker remembers beside it before it starts anew (about 50 MB).
+#: Entries of the broadcast table (under 4 MB), and words of each of the two generations a worker remembers beside it (about 50 MB each).
 FREQUENT = 65_536
 REMEMBERED = 250_000
 MAX_TOKENS = 2048
@@ -38,60 +39,85 @@ def _encoded(tokenizer: Tokenizer, words: list[bytes]) -> Iterator[list[int]]:
     return (e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False))
 
 
-def frequent_words(tokenizer: Tokenizer, most: int = FREQUENT) -> dict[bytes, int]:
-    """Token counts of the words that the vocabulary itself holds whole, the most frequent first, also with a mark behind.
+def frequent_words(tokenizer: Tokenizer, most: int = FREQUENT, make: Callable = len) -> dict:
+    """What ``make`` says of the ids of words that the vocabulary itself holds whole, the most frequent first, also with a mark behind.
 
     The order of a byte-pair vocabulary is the order of its merges, so low ids are the frequent words of the text it was made
     from. The size is bounded by ``most`` whatever the corpus holds.
     """
     whole = sorted((i, w[:-4]) for w, i in tokenizer.get_vocab().items() if w.endswith("</w>") and w[:-4].isascii() and w[:-4].isalnum())
     words = [x.encode() for _, w in whole[: most // 3] for x in (w, w + ",", w + ".")]
-    return dict(zip(words, map(len, _encoded(tokenizer, words)), strict=True))
+    return dict(zip(words, map(make, _encoded(tokenizer, words)), strict=True))
 
 
-class WordTable(dict):
-    """Word -> what the tokenizer makes of it. ``first`` stays; the rest is bounded by ``most``.
+class WordTable:
+    """Word -> what the tokenizer makes of it. ``first`` stays; the rest is bounded by two generations of ``most`` words.
 
-    Entries must add up: the entry of two neighbouring pieces is the sum (of counts) or the concatenation (of id bytes).
+    When the young generation is full, it becomes the old one and the older one goes; old words that come again move over. Entries must add up: the
+    entry of two neighbouring pieces is the sum (of counts) or the concatenation (of id bytes).
     """
 
-    def __init__(self, tokenizer: Tokenizer, make, first: dict = {}, most: int = REMEMBERED):
-        super().__init__(first)
+    def __init__(self, tokenizer: Tokenizer, make: Callable, first: dict = {}, most: int = REMEMBERED):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
         self.tokenizer, self.make, self.first, self.most = tokenizer, make, first, most
+        self.young, self.old = dict(first), {}
 
     def all(self, words: list[bytes]) -> list:
         """One entry per word."""
-        new = set(filterfalse(self.__contains__, set(words)))
-        if new:
-            if len(self) > len(self.first) + self.most:
-                self.clear()
-                self.update(self.first)
-                new = set(filterfalse(self.__contains__, set(words)))
-            self._learn(new)
-        return list(map(self.__getitem__, words))
+        entries = list(map(self.young.get, words))
+        missing = [i for i, entry in enumerate(entries) if entry is None]
+        if missing:
+            if len(self.young) > len(self.first) + self.most:
+                self.young, self.old = dict(self.first), self.young
+            young, old = self.young, self.old
+            new = {words[i] for i in missing}
+            again = [w for w in new if w in old]
+            for w in again:
+                young[w] = old[w]
+            self._learn(new.difference(again))
+            for i in missing:
+                entries[i] = young[words[i]]
+        return entries
+
+    def _piece(self, piece: bytes) -> object:
+        """Entry of a piece that the tokenizer does not cut further."""
+        table = self.young
+        if (entry := table.get(piece)) is None:
+            shown = piece.decode() if piece.isalnum() else "".join(map(_SHOWN.__getitem__, piece))
+            entry = table[piece] = self.make([t.id for t in self.tokenizer.model.tokenize(shown)])
+        return entry
 
     def _learn(self, new: set[bytes]) -> None:
         """Words of plain letters, digits and marks are cut as the tokenizer cuts them, so that each of their pieces is merged once; other
         words go through the whole tokenizer."""
-        cut, hard = {}, []
+        table, piece, hard = self.young, self._piece, []
         for w in new:
+            if w.isalpha() and w.islower():
+                piece(w)
+                continue
             text = w.decode("utf-8", "replace")
             if _PLAIN.fullmatch(text) and "<|" not in text:
-                cut[w] = [x.encode() for x in _PIECE.findall(text.lower())]
+                entries = [piece(x.encode()) for x in _PIECE.findall(text.lower())]
+                entry = entries[0]
+                for more in entries[1:]:
+                    entry = entry + more
+                table[w] = entry
             else:
                 hard.append(w)
-        pieces = set(filterfalse(self.__contains__, chain.from_iterable(cut.values())))
-        make, tokenize = self.make, self.tokenizer.model.tokenize
-        for x in pieces:
-            self[x] = make([t.id for t in tokenize("".join(map(_SHOWN.__getitem__, x)))])
-        self.update(zip(hard, map(make, _encoded(self.tokenizer, hard)), strict=True))
-        for w, parts in cut.items():
-            if len(parts) > 1 or w not in self:
-                entry = self[parts[0]]
-                for x in parts[1:]:
-                    entry = entry + self[x]
-                self[w] = entry
+        table.update(zip(hard, map(self.make, _encoded(self.tokenizer, hard)), strict=True))
+
+
+#: The table of this worker process, under what it was made from; later tasks of the process go on with it.
+_HELD: dict[tuple, WordTable] = {}
+
+
+def worker_table(model: str, make: Callable, first: dict) -> WordTable:
+    """A table for the tokenizer text ``model``, kept between tasks. Another tokenizer or ``make`` replaces it, so a worker holds one."""
+    key = (model, make, len(first))
+    if key not in _HELD:
+        _HELD.clear()
+        _HELD[key] = WordTable(Tokenizer.from_str(model), make, first)
+    return _HELD[key]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -120,7 +146,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOK
     first = spark.sparkContext.broadcast(frequent_words(Tokenizer.from_str(model.value), frequent))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordTable(Tokenizer.from_str(model.value), len, first.value)
+        words = worker_table(model.value, len, first.value)
         for batch in batches:
             sizes, counts = [], []
             for value in batch.column(1):
@@ -135,7 +161,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, max_tokens: int = MAX_TOK
 
 def id_bytes(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit numbers."""
-    return b"".join(i.to_bytes(4, "little") for i in ids)
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def document_ids(text: bytes, table: WordTable, end: bytes) -> bytes:
