@@ -1,7 +1,7 @@
 """How filters act together: a sparse document-term matrix with global word numbers, and what each filter takes in every order.
 
 Each task counts the words of its documents under local numbers and hands them on as shards of compressed rows. Only the distinct
-words of a shard travel to the global dictionary and back; then each shard is recoded, and its row sums and nonzero counts are
+words of a shard travel to the global dictionary and their numbers back; then each shard is recoded, and its row sums and nonzero counts are
 the documents' words and distinct words.
 """
 
@@ -16,13 +16,14 @@ from itertools import permutations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from vitalsieve.llm.common import utf8, written
+from vitalsieve.llm.common import shared_path, utf8, written
 
 #: Text bytes after which a task closes a shard; one longer text is a shard of its own.
-SHARD_BYTES = 2 << 20
+SHARD_BYTES = 16 << 20
 #: Keys with more than this share of the rows are joined apart; there are at most 1 / HOT of them.
 HOT = 0.001
 
@@ -86,25 +87,39 @@ def _local_shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
     return rows.mapInArrow(count, f"shard long, {_ROWS}, row_ends array<long>, codes array<int>, data array<int>, words array<binary>")
 
 
-def dictionary(words: DataFrame) -> DataFrame:
-    """(word, id): every distinct word with a number from 0 on without gaps. The table lies spread by a hash; no task holds it whole."""
-    numbered = written(words.select("word").distinct().withColumn("at", F.monotonically_increasing_id()), "audit-words").withColumn("part", F.shiftright("at", 33))
-    parts = numbered.groupBy("part").agg(F.count(F.lit(1)).alias("here"))  # a row per task
-    earlier = F.coalesce(F.sum("here").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    starts = parts.select("part", (earlier - F.shiftleft("part", 33)).alias("shift"))
-    return numbered.join(F.broadcast(starts), "part").select("word", (F.col("at") + F.col("shift")).alias("id"))
+def encoded(terms: DataFrame) -> DataFrame:
+    """(shard, code, id) from (shard, code, word): equal words get equal numbers, different words different ones.
+
+    The dictionary lies dealt by the word over all tasks, and none holds its part: words come sorted, so each task counts on where the
+    word changes, from a start of its own. The numbers of a repeated task are the same again.
+    """
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, at = None, (TaskContext.get().partitionId() << 33) - 1
+        for batch in batches:
+            words = batch.column(2)
+            if not len(words):
+                continue
+            changes = np.ones(len(words), np.int64)
+            changes[0] = words[0].as_py() != last
+            changes[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
+            ids = at + np.cumsum(changes)
+            last, at = words[-1].as_py(), int(ids[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids)], ["shard", "code", "id"])
+
+    return terms.repartition("word").sortWithinPartitions("word").mapInArrow(number, "shard long, code int, id long")
 
 
 def term_matrix(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(shard, doc_id, part, marks, digest, row_ends, columns, data): the document-term matrix of all texts, in shards of compressed rows.
 
     Row r of a shard has the word numbers ``columns[row_ends[r] : row_ends[r + 1]]`` and their counts in ``data`` beside them; ``doc_id``,
-    ``part``, ``marks`` and ``digest`` have one entry per row. A word occurs once in a shard's list, so no key of the join with the
-    dictionary has more rows than there are shards. NULL and empty texts are rows without entries; repeated rows are rows each.
+    ``part``, ``marks`` and ``digest`` have one entry per row. A word occurs once in a shard's list, so the commonest word travels
+    once a shard. NULL and empty texts are rows without entries; repeated rows are rows each.
     """
-    shards = written(_local_shards(docs, shard_bytes), "audit-shards")
-    terms = shards.select("shard", F.posexplode("words").alias("code", "word"))
-    numbers = terms.join(dictionary(terms), "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("code", "id"))).alias("at"))
+    path, local = shared_path(docs.sparkSession, "audit-shards"), _local_shards(docs, shard_bytes)
+    local.write.option("compression", "zstd").parquet(path)
+    shards = docs.sparkSession.read.schema(local.schema).parquet(path)
+    numbers = encoded(shards.select("shard", F.posexplode("words").alias("code", "word"))).groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("code", "id"))).alias("at"))
     rows = shards.drop("words").join(numbers.select("shard", F.col("at.id").alias("ids")), "shard", "left")
 
     def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
