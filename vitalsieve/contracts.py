@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 
 @dataclass(frozen=True)
@@ -11,7 +11,8 @@ class FieldRule:
     """How one request field is validated.
 
     ``codes`` maps accepted folded texts to numbers; numbers equal to a code value pass too. Without codes the field is
-    a plain number, optionally in (``above``, ``at_most``].
+    a plain number, optionally in (``above``, ``at_most``]. A ``text`` field takes any single value as a level. A ``nullable`` one
+    may be null, which preparation fills.
     """
 
     name: str
@@ -20,6 +21,8 @@ class FieldRule:
     at_most: float | None = None
     allow_boolean: bool = False
     style: str = "plain"
+    text: bool = False
+    nullable: bool = False
 
 
 @dataclass(frozen=True)
@@ -49,6 +52,10 @@ class TableContract:
     nulls_allowed: bool = True
     rules: Sequence[FieldRule] = ()
     grouped_requests: bool = False
+    lists_missing: bool = False
+    refuses_extra: bool = True
+    model_first: bool = False
+    tiers: str | None = None
     threshold: float = 0.5
     model_name: str = "Logistic Regression"
 
@@ -213,4 +220,33 @@ LIVER = TableContract(
     categorical=("Gender",),
 )
 
+
+
+# The order in which these requests' missing fields are told.
+
+REQUEST_ORDER = {
+    "heart": tuple(HEART.types),
+    "stroke": (
+        "gender", "age", "hypertension", "heart_disease", "ever_married", "work_type", "Residence_type", "avg_glucose_level",
+        "bmi", "smoking_status",
+    ),
+    "asthma": (
+        "Age", "Gender", "BMI", "Smoking_Status", "Family_History", "Allergies", "Air_Pollution_Level",
+        "Physical_Activity_Level", "Occupation_Type", "Comorbidities", "Medication_Adherence", "Number_of_ER_Visits",
+        "Peak_Expiratory_Flow", "FeNO_Level",
+    ),
+}
+
+
+def _screened(contract: TableContract, tiers: str) -> TableContract:
+    """Requests as the pipelines of these tables take them: numbers and levels, nulls filled, other fields ignored, all missing ones told."""
+    texts = set(contract.categorical)
+    order = REQUEST_ORDER.get(contract.name, contract.features)
+    rules = tuple(FieldRule(f, allow_boolean=True, text=f in texts, nullable=True) for f in order)
+    return replace(contract, rules=rules, lists_missing=True, refuses_extra=False, model_first=True, tiers=tiers)
+
+
+HEART, DIABETES, STROKE = (_screened(c, "risk") for c in (HEART, DIABETES, STROKE))
+ASTHMA, PARKINSONS = (_screened(c, "signal") for c in (ASTHMA, PARKINSONS))
+
 CONTRACTS = {c.name: c for c in (HEART, DIABETES, STROKE, ASTHMA, PARKINSONS, BREAST, LUNG, LIVER)}

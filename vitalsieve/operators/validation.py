@@ -228,22 +228,25 @@ def validate_fields(df: DataFrame, data: str, contract: TableContract) -> DataFr
 def grouped_payload(data: Column, groups: Sequence[str]) -> Column:
     """Flatten groups of fields, given as objects or as lists of {name, value}, with loose fields; later ones win.
 
-    The session needs ``spark.sql.mapKeyDedupPolicy`` = LAST_WIN.
+    Items of a list that are no objects with both a name and a value are passed over, as are groups of any other kind.
     """
+    entry = "array<struct<key: string, value: variant>>"
     parts = []
     for g in groups:
-        schema = F.schema_of_variant(data[g])
-        as_map = F.try_variant_get(data[g], "$", "map<string,variant>")
-        items = F.filter(
-            F.try_variant_get(data[g], "$", "array<struct<name: string, value: variant>>"),
-            lambda x: x["name"].isNotNull() & x["value"].isNotNull(),
+        group = F.try_element_at(data, F.lit(g))
+        named = F.map_entries(F.try_variant_get(group, "$", "map<string,variant>"))
+        listed = F.transform(
+            F.try_variant_get(group, "$", "array<variant>"),
+            lambda x: F.struct(F.try_variant_get(x, "$.name", "string").alias("key"), F.try_variant_get(x, "$.value", "variant").alias("value")),
         )
-        listed = F.map_from_entries(F.transform(items, lambda x: F.struct(x["name"], x["value"])))
-        empty = F.from_json(F.lit("{}"), "map<string,variant>")
-        parts.append(F.coalesce(F.when(schema.startswith("OBJECT"), as_map).when(schema.startswith("ARRAY"), listed), empty))
-    loose = F.map_filter(data, lambda k, _: ~k.isin(*groups))
+        listed = F.filter(listed, lambda x: x["key"].isNotNull() & x["value"].isNotNull())
+        parts.append(F.coalesce(named, listed, F.array().cast(entry)))
+    loose = F.map_entries(F.map_filter(data, lambda k, _: ~k.isin(*groups)))
+    entries = F.concat(*parts, loose)
+    names = F.array_distinct(F.transform(entries, lambda x: x["key"]))
+    last = F.transform(names, lambda n: F.element_at(F.filter(entries, lambda x: x["key"] == n), -1)["value"])
     has_groups = F.arrays_overlap(F.map_keys(data), F.array(*[F.lit(g) for g in groups]))
-    return F.when(has_groups, F.map_concat(*parts, loose)).otherwise(data)
+    return F.when(has_groups, F.map_from_arrays(names, last)).otherwise(data)
 
 
 def _first_duplicate(keys: Column) -> Column:

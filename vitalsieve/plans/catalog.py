@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from vitalsieve import contracts
 from vitalsieve.functions import columns as fc
 from vitalsieve.operators import (
-    associations as assoc, cleaning, dedup, distributions as dist, features, metrics, models, profile, scoring, splits, validation,
+    associations as assoc, cleaning, dedup, distributions as dist, features, metrics, models, profile, routing, scoring, splits,
+    validation,
 )
 from vitalsieve.plans import requests, train
 from vitalsieve.session import checkpoint_dir, small_side
@@ -625,6 +626,40 @@ def request_outcomes(spark, sf_dir):
     return scoring.outcome_counts(scoring.respond(_requests(spark, sf_dir), "body", _scorers()))
 
 
+_ANSWER = ("event_id", "status", "disease", "mode", "error_type", "message", "prediction", "prediction_label", "probability", "risk_category", "status_class")
+
+
+def _mixed(spark, sf_dir, body=requests.mixed_body):
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    return table(spark, sf_dir, "events").select("event_id", F.expr(body().format(k=k, text="STRING")).alias("body"))
+
+
+@query
+def answer_mixed_requests(spark, sf_dir):
+    """Requests of seven diseases in one pass; one has no model, one no probability."""
+    return routing.answer(_mixed(spark, sf_dir), "body", requests.mixed_served(), ["event_id"]).select(*_ANSWER)
+
+
+@query
+def grouped_requests(spark, sf_dir):
+    """Grouped breast payloads, flattened so that the later value of a field wins."""
+    return routing.answer(_mixed(spark, sf_dir, requests.grouped_body), "body", requests.mixed_served(), ["event_id"]).select(*_ANSWER)
+
+
+@query
+def missing_model_requests(spark, sf_dir):
+    """Outcomes by disease where three of seven models are missing."""
+    answers = routing.answer(_mixed(spark, sf_dir), "body", requests.mixed_served(("heart", "diabetes", "lung_cancer")))
+    return answers.groupBy("disease", "status_class", "error_type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def strict_requests(spark, sf_dir):
+    """The scored requests alone, passed through the strict check, which fails the job on any rejected row."""
+    answers = routing.answer(_mixed(spark, sf_dir), "body", requests.mixed_served(), ["event_id"])
+    return validation.strict(validation.quarantine(answers)[0]).select("event_id", "disease", "prediction", "risk_category")
+
+
 @query
 def quarantine(spark, sf_dir):
     checked = validation.validate_requests(_requests(spark, sf_dir), "body", {"lung_cancer": contracts.LUNG})

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from vitalsieve.plans.requests import BODY, INTERCEPT, WEIGHTS
+from vitalsieve import contracts
+from vitalsieve.operators import routing
+from vitalsieve.plans.requests import BODY, INTERCEPT, WEIGHTS, grouped_body, mixed_body, mixed_served, request_number
 
 ORACLE: dict[str, str] = {}
 
@@ -511,6 +513,97 @@ ORACLE["quarantine"] = f"{_CHECKED} SELECT event_id, message FROM checked WHERE
 ORACLE["redacted_paths"] = r"""
 SELECT page_id, regexp_replace('failed at ' || url, '\b[A-Za-z]:[\\/]\S+|(?:/[\w.-]+){2,}', '[redacted_path]', 'g') AS message FROM pages"""
 
+# Requests of all diseases: the rules as rows, judged field by field over the parsed bodies.
+
+
+def _text(value) -> str:
+    return "NULL" if value is None else "'" + str(value).replace("'", "''") + "'"
+
+
+def _rule_rows(served) -> str:
+    rows = []
+    for name, one in served.items():
+        for i, r in enumerate(one.contract.rules):
+            say = routing.rule_row(r)[-1]
+            weights = one.weights or {}
+            mine = {k.removeprefix(f"{r.name}="): v for k, v in weights.items() if k.startswith(f"{r.name}=")}
+            levels = "MAP {" + ", ".join(f"{_text(k)}: {v}::DOUBLE" for k, v in mine.items()) + "}" if mine else "NULL"
+            codes = "MAP {" + ", ".join(f"{_text(k)}: {v}::DOUBLE" for k, v in r.codes.items()) + "}" if r.codes else "NULL"
+            bounds = [f"{'NULL' if x is None else x}::DOUBLE" for x in (r.above, r.at_most, weights.get(r.name, 0.0))]
+            texts = [_text(say[k]) for k in ("null", "bool", "text", "number", "nan", "infinite", "low", "high", "other")]
+            values = [_text(name), i, _text(r.name), r.text, r.nullable, r.codes is not None, r.allow_boolean, r.style != "gender", codes, *bounds, levels, _text(one.filled.get(r.name)), *texts]
+            rows.append("(" + ", ".join(map(str, values)) + ")")
+    return ", ".join(rows)
+
+
+def _answered(body: str, served, flat: str = "NULL") -> str:
+    """CTEs up to ``answers``; ``flat`` is SQL for what a grouped payload comes to, as a flat JSON object."""
+    first = {n for n, one in served.items() if one.contract.model_first}
+    lenient = {n for n, one in served.items() if not one.contract.refuses_extra}
+    down = {n for n, one in served.items() if not one.ready}
+    names = lambda items: "(" + ", ".join(_text(n) for n in [*sorted(items), ""]) + ")"
+    listed = "[" + ", ".join(f"'{n}'" for n in sorted(served)) + "]"
+    number = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+    return rf"""
+WITH b AS (SELECT event_id, {body.format(k=_K, text='VARCHAR')} AS body, {flat.format(k=_K, text='VARCHAR')} AS flat FROM events),
+x AS (SELECT event_id, lower(trim(json_extract_string(body, '$.disease'))) AS d, json_extract_string(body, '$.disease') AS sent, coalesce(flat::JSON, json_extract(body, '$.data')) AS data,
+  json_extract_string(body, '$.mode') AS mt FROM b),
+e AS (SELECT event_id, d, data, CASE WHEN d NOT IN {names(served)} THEN 'Unsupported disease ''' || sent || '''. Supported diseases: ' || {_text(listed)} || '.'
+  WHEN lower(trim(coalesce(mt, 'user'))) NOT IN ('user', 'clinical') THEN 'Invalid mode ''' || mt || '''. Supported modes: [''user'', ''clinical''].' END AS envelope,
+  lower(trim(coalesce(mt, 'user'))) AS mode FROM x),
+rules(d, pos, feature, is_text, nullable, coded, booleans, tells_nan, codes, above, at_most, weight, levels, fill, m_null, m_bool, m_text, m_number, m_nan, m_infinite, m_low, m_high, m_other)
+  AS (VALUES {_rule_rows(served)}),
+v AS (SELECT e.event_id, r.*, json_extract(data, '$."' || feature || '"') AS j FROM e JOIN rules r ON r.d = e.d WHERE envelope IS NULL),
+k AS (SELECT *, json_type(j) AS kind, CASE WHEN json_type(j) = 'VARCHAR' THEN json_extract_string(j, '$') ELSE j::VARCHAR END AS t FROM v),
+n AS (SELECT *, CASE WHEN kind = 'BOOLEAN' THEN upper(t[1]) || t[2:] ELSE t END AS shown, CASE
+  WHEN is_text OR kind IN ('OBJECT', 'ARRAY', 'NULL') THEN NULL WHEN kind = 'BOOLEAN' THEN CASE WHEN t = 'true' THEN 1.0 ELSE 0.0 END::DOUBLE
+  WHEN coded AND kind = 'VARCHAR' THEN codes[upper(trim(t))] WHEN coded THEN CASE WHEN list_contains(map_values(codes), try_cast(t AS DOUBLE)) THEN try_cast(t AS DOUBLE) END
+  WHEN lower(trim(t)) IN ('nan', 'infinity', '-infinity') THEN try_cast(trim(t) AS DOUBLE) WHEN regexp_matches(trim(t), '{number}') THEN try_cast(trim(t) AS DOUBLE) END AS num FROM k),
+m AS (SELECT *, CASE WHEN kind = 'NULL' THEN CASE WHEN nullable THEN NULL ELSE m_null END
+  WHEN is_text THEN CASE WHEN kind IN ('OBJECT', 'ARRAY') THEN replace(m_text, '%s', shown) END
+  WHEN kind = 'BOOLEAN' AND NOT booleans THEN replace(m_bool, '%s', shown)
+  WHEN (coalesce(isnan(num), false) OR (coded AND t = 'NaN')) AND tells_nan THEN CASE WHEN nullable THEN NULL ELSE m_nan END
+  WHEN (coalesce(isinf(num), false) OR (coded AND t IN ('Infinity', '-Infinity'))) AND tells_nan THEN m_infinite
+  WHEN num IS NULL AND (NOT coded OR kind = 'VARCHAR') THEN replace(m_text, '%s', shown) WHEN num IS NULL AND kind IN ('OBJECT', 'ARRAY') THEN replace(m_other, '%s', shown)
+  WHEN num IS NULL THEN replace(m_number, '%s', shown) WHEN num <= above THEN replace(m_low, '%s', shown) WHEN num > at_most THEN replace(m_high, '%s', shown) END AS message,
+  CASE WHEN is_text THEN coalesce(levels[coalesce(CASE WHEN kind <> 'NULL' THEN regexp_replace(t, '^([+-]?[0-9]+)\.0+$', '\1') END, fill)], 0)
+    ELSE weight * coalesce(CASE WHEN NOT isnan(num) THEN num END, try_cast(fill AS DOUBLE), 0) END AS term FROM n),
+g AS (SELECT event_id, arg_min(message, pos) FILTER (WHERE message IS NOT NULL) AS fault, list(feature ORDER BY pos) FILTER (WHERE j IS NULL) AS missing, sum(term) AS terms, list(feature) AS expected
+  FROM m GROUP BY event_id),
+w AS (SELECT e.event_id, e.d, mode, envelope, fault, missing, terms, list_filter(json_keys(data), lambda f: NOT list_contains(expected, f)) AS extras FROM e LEFT JOIN g ON g.event_id = e.event_id),
+s AS (SELECT *, CASE WHEN envelope IS NOT NULL THEN envelope WHEN d IN {names(first & down)} THEN '!'
+  WHEN d NOT IN {names(lenient)} AND len(extras) > 0 THEN 'Unexpected feature encountered: ' || extras[1]
+  WHEN len(missing) > 0 AND d IN {names(first)} THEN 'Missing required features: [''' || array_to_string(missing, ''', ''') || ''']' WHEN len(missing) > 0 THEN 'Missing required feature: ' || missing[1]
+  WHEN fault IS NOT NULL THEN fault WHEN d IN {names(down)} THEN '!' END AS said FROM w),
+p AS (SELECT *, CASE WHEN said IS NULL THEN 1.0::DOUBLE / (1.0 + exp(-(0.125 + terms)::DOUBLE)) END AS p FROM s),
+answers AS (SELECT event_id, CASE WHEN said IS NULL THEN 'success' ELSE 'error' END AS status, CASE WHEN d IN {names(served)} THEN d END AS disease, CASE WHEN envelope IS NULL THEN mode END AS mode,
+  CASE WHEN said = '!' THEN 'service_error' WHEN said IS NOT NULL THEN 'validation_error' END AS error_type,
+  CASE WHEN said = '!' THEN 'An internal error occurred in the disease prediction service.' ELSE said END AS message, (p > 0.5)::INT AS prediction,
+  CASE WHEN p IS NULL THEN NULL WHEN d = 'lung_cancer' THEN CASE WHEN p > 0.5 THEN 'YES' ELSE 'NO' END WHEN d = 'breast_cancer' THEN CASE WHEN p > 0.5 THEN 'Malignant' ELSE 'Benign' END
+    WHEN d = 'asthma' THEN CASE WHEN p > 0.5 THEN 'Has asthma' ELSE 'No asthma' END WHEN d = 'parkinsons' THEN CASE WHEN p > 0.5 THEN 'Parkinson''s disease screening positive' ELSE 'Healthy' END
+    WHEN p > 0.5 THEN 'positive' ELSE 'negative' END AS prediction_label,
+  CASE WHEN d <> 'stroke' THEN round(p, 4) END AS probability,
+  CASE WHEN p IS NULL THEN NULL WHEN d = 'stroke' THEN 'unknown' WHEN d IN ('heart', 'diabetes') THEN CASE WHEN p < 0.3 THEN 'low' WHEN p < 0.6 THEN 'moderate' ELSE 'high' END
+    WHEN d IN ('asthma', 'parkinsons') THEN CASE WHEN p >= 0.5 THEN 'elevated_screening_signal' ELSE 'lower_screening_signal' END END AS risk_category,
+  CASE WHEN said IS NULL THEN 200 WHEN said = '!' THEN 503 ELSE 400 END AS status_class FROM p)"""
+
+
+def _flat_grouped() -> str:
+    """The grouped request's fields as they come out: the loose value where there is one, else the listed or grouped one."""
+    loose = {0: "CASE WHEN {k} % 5 = 0 THEN '1000' ELSE _ END", 12: "CASE WHEN {k} % 5 = 1 THEN 'null' ELSE _ END"}
+    values = [loose.get(i, "_").replace("_", request_number(i)) for i in range(30)]
+    pairs = [f"""', "{f}": ' || {v}""" for f, v in zip(contracts.BREAST_FEATURES, values, strict=True)]
+    worst = "CASE WHEN {k} % 7 = 0 THEN '' ELSE " + " || ".join(pairs[20:]) + " END"
+    return "'{{' || substr(" + " || ".join(pairs[:20]) + f""" || {worst}, 3) || CASE WHEN {{k}} % 5 = 2 THEN ', "stranger": 1' ELSE '' END || '}}}}'"""
+
+
+ORACLE["answer_mixed_requests"] = _answered(mixed_body(), mixed_served()) + " SELECT * FROM answers"
+ORACLE["grouped_requests"] = _answered(grouped_body(), mixed_served(), _flat_grouped()) + " SELECT * FROM answers"
+ORACLE["missing_model_requests"] = _answered(mixed_body(), mixed_served(("heart", "diabetes", "lung_cancer"))) + """
+SELECT disease, status_class, error_type, count(*)::BIGINT AS n FROM answers GROUP BY ALL"""
+ORACLE["strict_requests"] = _answered(mixed_body(), mixed_served()) + """
+SELECT event_id, disease, prediction, risk_category FROM answers WHERE status = 'success'"""
+
 # Sources
 
 ORACLE["fingerprint"] = """

@@ -1,5 +1,10 @@
 """Request bodies made from the events table, valid and broken in every way the rules name."""
 
+from __future__ import annotations
+
+from vitalsieve import contracts
+from vitalsieve.operators.routing import Served
+
 # One SQL text builds the same bodies in both engines; {k} is the number inside the event's props.
 
 BODY = """CASE WHEN {k} = 87 THEN '' WHEN {k} = 86 THEN '[1]' ELSE
@@ -33,3 +38,82 @@ WEIGHTS = {
     "shortness_of_breath": -1.25, "swallowing_difficulty": 0.5, "chest_pain": -1.0,
 }
 INTERCEPT = -1.0
+
+
+# Requests of all diseases. {k} is the number inside the event's props; a disease follows from the event's id.
+
+MIXED = ("heart", "diabetes", "stroke", "asthma", "parkinsons", "breast_cancer", "lung_cancer")
+#: No model is there for this one, and this one's score is no probability.
+ABSENT, MARGIN_ONLY = "diabetes", "stroke"
+
+
+def request_number(i: int) -> str:
+    return f"CAST((event_id * {i + 3} + user_id) % 97 AS {{text}}) || CASE WHEN (event_id + {i}) % 5 = 0 THEN '.5' ELSE '' END"
+
+
+def _level(i: int) -> str:
+    return f"""CASE (event_id + {i}) % 4 WHEN 0 THEN '"A"' WHEN 1 THEN '"b c"' WHEN 2 THEN '7' ELSE 'null' END"""
+
+
+def _coded(i: int, rule: contracts.FieldRule) -> str:
+    if rule.style == "gender":
+        return """CASE user_id % 3 WHEN 0 THEN '"MALE"' WHEN 1 THEN '" female"' ELSE '1' END"""
+    return f"""CASE (user_id + {i}) % 4 WHEN 0 THEN '1' WHEN 1 THEN '0' WHEN 2 THEN '"yes"' ELSE '" NO "' END"""
+
+
+def _value(i: int, rule: contracts.FieldRule) -> str:
+    """One field's text; the first three and the last are broken where the event says so."""
+    plain = _level(i) if rule.text else _coded(i, rule) if rule.codes else request_number(i)
+    faults = {0: [(0, '"old"'), (4, "null"), (6, '"NaN"')], 1: [(1, "true"), (2, '"55"')], 2: [(3, "{{}}"), (5, '"Infinity"')]}.get(i, [])
+    cases = "".join(f" WHEN {k} THEN '{v}'" for k, v in faults)
+    return f"CASE {{k}}{cases} ELSE {plain} END" if cases else plain
+
+
+def mixed_body() -> str:
+    """SQL text of a request body, the same in both engines; format it with ``k`` and ``text``."""
+    bodies = []
+    for at, name in enumerate(MIXED):
+        rules = contracts.CONTRACTS[name].rules
+        fields = [f"""'"{r.name}": ' || {_value(i, r)}""" for i, r in enumerate(rules)]
+        last = f"""CASE WHEN {{k}} IN (7, 8) THEN '' WHEN {{k}} = 12 THEN ', "{rules[-1].name}": [1]' ELSE ', ' || {fields[-1]} END"""
+        before = f"""CASE WHEN {{k}} = 8 THEN '' ELSE ', ' || {fields[-2]} END"""
+        bodies.append(f"WHEN {at} THEN " + " || ', ' || ".join(fields[:-2]) + f" || {before} || {last}")
+    disease = " ".join(f"""WHEN {at} THEN '"{name}"'""" for at, name in enumerate(MIXED))
+    return f"""'{{{{"disease": ' || CASE event_id % 9 {disease} WHEN 7 THEN '" Heart "' ELSE '"liver"' END ||
+  CASE {{k}} WHEN 10 THEN ', "mode": "Clinical"' WHEN 11 THEN ', "mode": "expert"' ELSE '' END || ', "data": {{{{' ||
+  CASE event_id % 9 {' '.join(bodies)} {bodies[0].replace('WHEN 0', 'WHEN 7', 1)} ELSE '"Age": 5' END ||
+  CASE WHEN {{k}} = 9 THEN ', "weight": 70' ELSE '' END || '}}}}}}}}'"""
+
+
+def mixed_served(absent: tuple[str, ...] = (ABSENT,)) -> dict[str, Served]:
+    """Weights in 64ths by a field's place, so that sums are exact in any order; nulls become the place, or level A."""
+    served = {}
+    for name in MIXED:
+        contract = contracts.CONTRACTS[name]
+        weights, filled = {}, {}
+        for i, r in enumerate(contract.rules):
+            if r.text:
+                weights |= {f"{r.name}=A": (i % 3 - 1) / 4, f"{r.name}=7": (i % 5 - 2) / 8}
+                filled[r.name] = "A"
+            else:
+                weights[r.name] = (i % 5 - 2) / 64
+                filled[r.name] = i
+        served[name] = Served(contract) if name in absent else Served(contract, weights, 0.125, filled, calibrated=name != MARGIN_ONLY)
+    return served
+
+
+# Grouped payloads: means as an object, errors as a list of items with strangers in it, the rest as an object, and loose fields that win.
+
+
+def grouped_body() -> str:
+    """SQL text of a grouped request; format it with ``k`` and ``text``."""
+    features = contracts.BREAST_FEATURES
+
+    def pairs(lo: int, hi: int) -> str:
+        return " || ', ' || ".join(f"""'"{features[i]}": ' || {request_number(i)}""" for i in range(lo, hi))
+
+    items = " || ', ' || ".join(f"""'{{{{"name": "{features[i]}", "value": ' || {request_number(i)} || '}}}}'""" for i in range(10, 20))
+    loose = f"""CASE {{k}} % 5 WHEN 0 THEN ', "{features[0]}": 1000' WHEN 1 THEN ', "{features[12]}": null' WHEN 2 THEN ', "stranger": 1' ELSE '' END"""
+    strangers = f"""CASE {{k}} % 3 WHEN 0 THEN '5, {{{{"name": "x"}}}}, {{{{"value": 3}}}}, ' WHEN 1 THEN '{{{{"name": "{features[10]}", "value": 77}}}}, ' ELSE '' END"""
+    worst = f"""CASE WHEN {{k}} % 7 = 0 THEN '"worst_features": 5' ELSE '"worst_features": {{{{' || {pairs(20, 30)} || '}}}}' END"""
+    return f"""'{{{{"disease": "breast_cancer", "data": {{{{"mean_features": {{{{' || {pairs(0, 10)} || '}}}}, "se_features": [' || {strangers} || {items} || '], ' || {worst} || {loose} || '}}}}}}}}'"""
