@@ -755,3 +755,51 @@ def model_coefficients(spark, sf_dir):
     rows = _documents(spark, sf_dir)
     model = models.pipeline(features.TablePrep(_DOC_PLAN), models.logistic(C=1.0)).fit(rows)
     return models.coefficients(model, model.stages[0].feature_names(), spark)
+
+
+def _priority_rows(spark, sf_dir):
+    """Orders with a label, one column of levels and one of 0 and 1."""
+    return table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").isin("1-URGENT", "2-HIGH").cast("int").alias("label"), "o_orderstatus",
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM").cast("double").alias("upper"),
+    )
+
+
+#: Models whose scores have a closed form: one free weight per level gives the level's rate, one cut of a 0/1 column the rates of its sides.
+_CLOSED = {
+    "levels": models.Family("levels", models.logistic, fixed={"C": 1e9}),
+    "stump": models.Family("stump", models.forest, fixed={"trees": 1, "depth": 1, "features": "all", "bootstrap": False}),
+}
+
+
+def _closed_scores(spark, sf_dir):
+    rows = train.with_folds(_priority_rows(spark, sf_dir), "o_orderkey", 3)
+    preps = {"levels": [("o_orderstatus", "levels")], "stump": [("upper", "pass")]}
+    parts = []
+    for name, plan in preps.items():
+        store = train.score_store(rows)
+        parts.append(train.score_folds(rows, lambda plan=plan: features.TablePrep(plan), {name: _CLOSED[name].stages}, store, 3, keep=("o_orderkey", "label")))
+    return parts[0].unionByName(parts[1])
+
+
+@query
+def cv_scores(spark, sf_dir):
+    """Held-out scores of every row, by model and fold, from the score table."""
+    return rounded(_closed_scores(spark, sf_dir), 3).select("model", "fold", "o_orderkey", "label", "prediction", "score")
+
+
+@query
+def cv_metrics(spark, sf_dir):
+    """What the stored scores come to per model and fold."""
+    measured = metrics.all_metrics(_closed_scores(spark, sf_dir), "label", "prediction", "score", ["model", "fold"])
+    return rounded(measured, 4).select("model", "fold", "tp", "fp", "tn", "fn", "accuracy", "recall")
+
+
+@query
+def level_coefficients(spark, sf_dir):
+    """Log-odds of each level: the intercept and the level's coefficient."""
+    model = models.pipeline(features.TablePrep([("o_orderstatus", "levels")]), models.logistic(C=1e9)).fit(_priority_rows(spark, sf_dir))
+    found = models.coefficients(model, model.stages[0].feature_names(), spark)
+    base = found.filter("feature = '(intercept)'").select(F.col("coefficient").alias("base"))
+    logits = found.filter("feature <> '(intercept)'").select("feature", (F.col("coefficient") + base.scalar()).alias("log_odds"))
+    return rounded(logits, 3)

@@ -627,3 +627,22 @@ SELECT f.*, f.role <> 'predictor' AS is_excluded, m.missing, m.missing_pct FROM
   SELECT 'l_quantity' AS feature, 'number' AS logical_type, 'predictor' AS role, 'none' AS cleaning_action, 'units' AS reason
   UNION ALL SELECT 'l_discount', 'number', 'predictor', 'zero to missing', 'rate' UNION ALL SELECT 'l_orderkey', 'id', 'identifier', 'drop', 'key') f
 JOIN ({union(f"SELECT '{n}' AS feature, count(*) FILTER (WHERE {c} IS NULL)::BIGINT AS missing, {r(f'count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*)')}::DOUBLE AS missing_pct FROM {_GAPS}" for n, c in (('l_quantity', 'l_quantity'), ('l_discount', 'd'), ('l_orderkey', 'l_orderkey')))}) m USING (feature)"""
+
+# Models with a closed form
+
+_PRIORITY = "SELECT o_orderkey, (o_orderpriority IN ('1-URGENT', '2-HIGH'))::INT AS label, o_orderstatus, (o_orderpriority IN ('1-URGENT', '2-HIGH', '3-MEDIUM'))::INT AS upper FROM orders"
+_CLOSED = f"""
+WITH {_folds(_PRIORITY, 'o_orderkey', 'label', 3)},
+levels AS (SELECT f.o_orderkey, f.fold, avg(t.label) AS score FROM (SELECT DISTINCT o_orderkey, fold, o_orderstatus FROM folds) f
+  JOIN (SELECT k.fold, o_orderstatus, avg(label) AS label FROM folds, (SELECT DISTINCT fold FROM folds) k WHERE folds.fold <> k.fold GROUP BY ALL) t ON t.fold = f.fold AND t.o_orderstatus = f.o_orderstatus GROUP BY ALL),
+stump AS (SELECT f.o_orderkey, f.fold, t.label AS score FROM folds f
+  JOIN (SELECT k.fold, upper, avg(label) AS label FROM folds, (SELECT DISTINCT fold FROM folds) k WHERE folds.fold <> k.fold GROUP BY ALL) t ON t.fold = f.fold AND t.upper = f.upper),
+scores AS (SELECT m.model, f.fold, f.o_orderkey, f.label, (m.score > 0.5)::INT AS prediction, m.score
+  FROM (SELECT 'levels' AS model, * FROM levels UNION ALL SELECT 'stump', * FROM stump) m JOIN folds f USING (o_orderkey))"""
+ORACLE["cv_scores"] = f"{_CLOSED} SELECT model, fold, o_orderkey, label, prediction, {r('score', 3)}::DOUBLE AS score FROM scores"
+ORACLE["cv_metrics"] = f"""{_CLOSED}
+SELECT model, fold, sum((label = 1 AND prediction = 1)::INT)::BIGINT AS tp, sum((label = 0 AND prediction = 1)::INT)::BIGINT AS fp, sum((label = 0 AND prediction = 0)::INT)::BIGINT AS tn,
+  sum((label = 1 AND prediction = 0)::INT)::BIGINT AS fn, {r('avg((label = prediction)::INT)', 4)}::DOUBLE AS accuracy, {r('avg(CASE WHEN label = 1 THEN prediction END)', 4)}::DOUBLE AS recall
+FROM scores GROUP BY model, fold"""
+ORACLE["level_coefficients"] = f"""
+SELECT 'o_orderstatus_' || o_orderstatus AS feature, {r('ln(avg(label) / (1 - avg(label)))', 3)}::DOUBLE AS log_odds FROM ({_PRIORITY}) GROUP BY o_orderstatus"""

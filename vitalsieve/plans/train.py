@@ -7,6 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial, reduce
+from uuid import uuid4
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.sql import DataFrame, functions as F
@@ -16,7 +17,8 @@ from vitalsieve.operators.features import TablePrep
 from vitalsieve.operators.metrics import all_metrics, champion, fold_summary
 from vitalsieve.operators.models import Family, scored
 from vitalsieve.operators.splits import group_folds, stratified_folds, with_group_folds
-from vitalsieve.session import checkpointed
+from vitalsieve.plans.scores import ScoreTable, row_version
+from vitalsieve.session import checkpoint_dir, checkpointed
 
 Stages = Callable[[], list]
 
@@ -31,42 +33,70 @@ def with_folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, group: str |
     return stratified_folds(df, [key], "label", k, seed)
 
 
+def score_folds(
+    df: DataFrame, prep: Callable[[], TablePrep], candidates: Mapping[str, Stages], store: ScoreTable, k: int = 5, parallelism: int = 4,
+    keep: Sequence[str] = ("label",),
+) -> DataFrame:
+    """Held-out scores per (model, fold), with the columns of ``keep``, in ``store``.
+
+    The preparation is fitted on the training rows of each fold, once for all candidates, and the prepared rows are kept for
+    their fits, which run side by side. A model lives until its scores are committed: at most ``parallelism`` at a time, however
+    large the grid. A run that starts again fits what is missing only; a fold without gaps is not prepared.
+    """
+    done = store.committed()
+    missing = {fold: [name for name in candidates if (name, fold) not in done] for fold in range(k)}
+    if any(missing.values()):
+        rows = df.persist()
+        partitions = 1 + rows.count() // ROWS_PER_PARTITION
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for fold, names in missing.items():
+                if names:
+                    fitted = prep().fit(rows.filter(F.col("fold") != fold))
+                    train = fitted.transform(rows.filter(F.col("fold") != fold)).coalesce(partitions).persist()
+                    test = fitted.transform(rows.filter(F.col("fold") == fold)).coalesce(partitions)
+
+                    def one(name: str) -> None:
+                        store.commit(scored(Pipeline(stages=candidates[name]()).fit(train), test, keep), name, fold)
+
+                    list(pool.map(one, names))
+                    train.unpersist()
+        rows.unpersist()
+    return store.scores().filter(F.col("model").isin(*candidates))
+
+
+def score_store(df: DataFrame, path: str | None = None, settings: str = "") -> ScoreTable:
+    """The score table of these rows and settings: below ``path``, or in the shared folder for this run alone."""
+    home = path or f"{checkpoint_dir(df.sparkSession).rstrip('/')}/scores-{uuid4().hex}"
+    return ScoreTable(df.sparkSession, home, f"{row_version(df)} {settings}" if path else "")
+
+
 def cross_validate(
-    df: DataFrame, prep: Callable[[], TablePrep], candidates: Mapping[str, Stages], k: int = 5, parallelism: int = 4
+    df: DataFrame, prep: Callable[[], TablePrep], candidates: Mapping[str, Stages], k: int = 5, parallelism: int = 4,
+    path: str | None = None, settings: str = "",
 ) -> DataFrame:
-    """Metrics per (model, fold).
+    """Metrics per (model, fold), all measured together in two aggregations over the stored scores.
 
-    The preparation is fitted on the training rows of each fold, once for all candidates, and the prepared rows are
-    kept for their fits, which run side by side. All held-out scores are then measured together in two aggregations.
+    With ``path`` the scores stay there, and a later run over equal rows and ``settings`` goes on from them.
     """
-    rows = df.persist()
-    partitions = 1 + rows.count() // ROWS_PER_PARTITION
-    parts = []
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for fold in range(k):
-            fitted = prep().fit(rows.filter(F.col("fold") != fold))
-            train = fitted.transform(rows.filter(F.col("fold") != fold)).coalesce(partitions).persist()
-            test = fitted.transform(rows.filter(F.col("fold") == fold)).coalesce(partitions)
-
-            def one(name: str) -> DataFrame:
-                model = Pipeline(stages=candidates[name]()).fit(train)
-                return scored(model, test).withColumns({"model": F.lit(name), "fold": F.lit(fold)})
-
-            parts += list(pool.map(one, candidates))
-            train.unpersist()
-    held_out = checkpointed(reduce(DataFrame.unionByName, parts))
-    rows.unpersist()
+    held_out = score_folds(df, prep, candidates, score_store(df, path, settings), k, parallelism)
     return all_metrics(held_out, "label", "prediction", "score", ["model", "fold"])
 
 
-def compare_models(df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], k: int = 5, parallelism: int = 4) -> DataFrame:
+def _fixed(families: Mapping[str, Family]) -> str:
+    return json.dumps({name: [f.build.__name__, dict(f.fixed)] for name, f in families.items()}, sort_keys=True, default=str)
+
+
+def compare_models(
+    df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], k: int = 5, parallelism: int = 4, path: str | None = None
+) -> DataFrame:
     """Mean and deviation of every metric per family, with the family's fixed settings."""
     candidates = {name: f.stages for name, f in families.items()}
-    return fold_summary(cross_validate(df, prep, candidates, k, parallelism))
+    return fold_summary(cross_validate(df, prep, candidates, k, parallelism, path, _fixed(families)))
 
 
 def tune(
-    df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], metric: str = "roc_auc", k: int = 5, parallelism: int = 4
+    df: DataFrame, families: Mapping[str, Family], prep: Callable[[], TablePrep], metric: str = "roc_auc", k: int = 5, parallelism: int = 4,
+    path: str | None = None,
 ) -> DataFrame:
     """Search every family's grid: one row per family with its best setting and all its mean metrics.
 
@@ -78,7 +108,7 @@ def tune(
             text = json.dumps(params, sort_keys=True)
             candidates[f"{name} {text}"] = partial(family.stages, **params)
             names[f"{name} {text}"] = (name, text)
-    summary = fold_summary(cross_validate(df, prep, candidates, k, parallelism))
+    summary = fold_summary(cross_validate(df, prep, candidates, k, parallelism, path, _fixed(families)))
     lookup = df.sparkSession.createDataFrame([(key, *v) for key, v in names.items()], "model string, family string, best_parameters string")
     ranked = summary.join(F.broadcast(lookup), "model")
     best = ranked.groupBy("family").agg(
