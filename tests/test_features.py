@@ -82,3 +82,27 @@ def test_methods_agree(spark):
     two = {r.feature: r for r in features.numeric_statistics(df, ["a", "b"], "hash").collect()}
     for name in ("a", "b"):
         assert one[name].median == two[name].median and one[name].scale == pytest.approx(two[name].scale)
+
+
+def test_many_levels_have_the_slots_of_few(spark, monkeypatch, tmp_path):
+    rows = [(float(i % 5), f"level{i % 37}" if i % 3 else "common", i % 23 if i % 7 else None, "x" if i % 2 else None) for i in range(400)]
+    df = spark.createDataFrame(rows, "x double, c string, n int, few string")
+    new = spark.createDataFrame([(1.0, "unseen", 99, "x"), (None, None, None, None), (2.0, "level5", 22, "y"), (3.0, "", 0, "")], df.schema)
+    plan = [("few", "levels"), ("c", "levels"), ("x", "scale"), ("n", "levels")]
+    few = TablePrep(plan).fit(df)
+    monkeypatch.setattr(features, "MAX_LEVELS", 12)
+    many = TablePrep(plan, dictionaries=str(tmp_path)).fit(df)
+    assert [s["how"] for s in many.fitted()] == ["levels", "dictionary", "scale", "dictionary"]
+    assert len(many.feature_names()) == len(few.feature_names())
+    many.write().overwrite().save(str(tmp_path / "prep"))
+    again = features.TablePrepModel.load(str(tmp_path / "prep"))
+    for rows in (df, new):
+        want, got, loaded = (sorted(tuple(r.f) for r in m.transform(rows).select(vector_to_array("features").alias("f")).collect()) for m in (few, many, again))
+        assert want == got == loaded
+    assert many.transform(new).columns == [*new.columns, "features"]
+
+
+def test_dictionary_of_nothing(spark, monkeypatch):
+    monkeypatch.setattr(features, "MAX_LEVELS", 1)
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "x double, c string")
+    assert len(TablePrep([("x", "scale"), ("c", "levels")]).fit(df).feature_names()) == 1

@@ -9,8 +9,11 @@ from __future__ import annotations
 import json
 import warnings
 from collections.abc import Sequence
+from itertools import groupby
+from uuid import uuid4
 
 from pyspark.ml import Estimator, Model
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
@@ -18,9 +21,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 
 from vitalsieve.contracts import TableContract
 from vitalsieve.functions.columns import col, quoted, tall
+from vitalsieve.operators.levels import level_dictionary, read_dictionary, slots, with_level_index
 from vitalsieve.operators.quantiles import quantiles
-from vitalsieve.session import small_side
+from vitalsieve.session import checkpoint_dir, checkpointed, small_side
 
+#: Levels of a column that are kept as texts in the fitted model; a column with more has a dictionary as a table.
 MAX_LEVELS = 10_000
 
 
@@ -73,6 +78,7 @@ class _PrepParams(Params):
     plan = Param(Params._dummy(), "plan", "JSON list of [column, scale|fill|pass|levels]", TypeConverters.toString)
     outputCol = Param(Params._dummy(), "outputCol", "feature vector column", TypeConverters.toString)
     method = Param(Params._dummy(), "method", "quantile method of the medians", TypeConverters.toString)
+    dictionaries = Param(Params._dummy(), "dictionaries", "folder of level dictionaries; empty: the shared scratch folder", TypeConverters.toString)
 
 
 class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -80,13 +86,14 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
 
     ``scale``: median for gaps, then (x - mean) / population deviation, deviation 0 divides by 1. ``fill``: median
     only. ``pass``: as is. ``levels``: most frequent level for gaps, then one 0/1 slot per level seen in training;
-    other levels give zeros.
+    other levels give zeros. Columns with more than ``MAX_LEVELS`` levels have the same slots, in a sparse vector, from a dictionary
+    that stays a table: name a lasting folder in ``dictionaries`` when the fitted model is to be saved.
     """
 
-    def __init__(self, plan: Sequence[tuple[str, str]] = (), outputCol: str = "features", method: str = "select"):
+    def __init__(self, plan: Sequence[tuple[str, str]] = (), outputCol: str = "features", method: str = "select", dictionaries: str = ""):
         super().__init__()
-        self._setDefault(outputCol="features", method="select")
-        self._set(plan=json.dumps([list(p) for p in plan]), outputCol=outputCol, method=method)
+        self._setDefault(outputCol="features", method="select", dictionaries="")
+        self._set(plan=json.dumps([list(p) for p in plan]), outputCol=outputCol, method=method, dictionaries=dictionaries)
 
     @classmethod
     def for_contract(cls, contract: TableContract, method: str = "select") -> "TablePrep":
@@ -103,22 +110,25 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
             for r in numeric_statistics(dataset, filled, self.getOrDefault("method")).collect():
                 numbers[r.feature] = [r.median, r.mean, r.scale]
         if leveled:
-            limit = MAX_LEVELS * len(leveled)
-            rows = category_levels(dataset, leveled).limit(limit + 1).collect()
-            if len(rows) > limit:
-                raise ValueError(f"more than {MAX_LEVELS} levels per column: drop identifiers from the categories")
             kinds = {f.name: f.dataType for f in dataset.schema.fields}
+            numeric = [c for c in leveled if isinstance(kinds[c], T.NumericType)]
+            counts = category_levels(dataset, leveled)
+            rows = counts.limit(MAX_LEVELS + 1).collect()
+            if len(rows) > MAX_LEVELS:
+                counts, levels = self._dictionary(counts, numeric)
+                rows = counts.collect()  # of columns with at most MAX_LEVELS
             for c in leveled:
+                if c in levels:
+                    continue
                 mine = [r for r in rows if r.feature == c]
-                as_number = isinstance(kinds[c], T.NumericType)
-                mine.sort(key=lambda r: (float(r.level), r.level) if as_number else r.level)
+                mine.sort(key=lambda r: (float(r.level), r.level) if c in numeric else r.level)
                 levels[c] = {"levels": [r.level for r in mine], "mode": next((r.level for r in mine if r.is_mode), None)}
         steps = []
         for c, how in plan:
             if how == "pass":
                 steps.append({"column": c, "how": how})
             elif how == "levels":
-                steps.append({"column": c, "how": how, **levels[c]})
+                steps.append({"column": c, "how": "dictionary" if "path" in levels[c] else how, **levels[c]})
             else:
                 median, mean, scale = numbers.get(c, [None] * 3)
                 if median is None:
@@ -127,6 +137,17 @@ class TablePrep(Estimator, _PrepParams, DefaultParamsReadable, DefaultParamsWrit
                 steps.append({"column": c, "how": how, "median": median, "mean": mean, "scale": scale})
         return TablePrepModel(steps, self.getOrDefault("outputCol"))
 
+    def _dictionary(self, counts: DataFrame, numeric: Sequence[str]) -> tuple[DataFrame, dict]:
+        """The counts of columns with few levels, and where the dictionaries of the others are. The driver sees a row per column."""
+        home = self.getOrDefault("dictionaries") or checkpoint_dir(counts.sparkSession)
+        path = f"{home.rstrip('/')}/levels-{uuid4().hex}"
+        held = checkpointed(counts)
+        sizes = held.groupBy("feature").agg(F.count(F.lit(1)).alias("size"), F.max(F.when(F.col("is_mode"), F.col("level"))).alias("mode")).collect()
+        many = {r.feature: {"path": path, "size": r.size, "mode": r.mode} for r in sizes if r.size > MAX_LEVELS}
+        if many:
+            level_dictionary(held.filter(F.col("feature").isin(*many)), [c for c in numeric if c in many], path)
+        return held.filter(~F.col("feature").isin(*many, "")), many
+
 
 class TablePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWritable):
     steps = Param(Params._dummy(), "steps", "JSON of the fitted steps", TypeConverters.toString)
@@ -138,12 +159,14 @@ class TablePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWri
     def fitted(self) -> list[dict]:
         return json.loads(self.getOrDefault("steps"))
 
-    def columns(self) -> list[Column]:
-        """One named double column per output feature."""
+    def columns(self, steps: list[dict] | None = None) -> list[Column]:
+        """One named double column per output feature of the steps; those with a dictionary have none."""
         out = []
-        for s in self.fitted():
+        for s in self.fitted() if steps is None else steps:
             name, how = s["column"], s["how"]
             value = col(name)
+            if how == "dictionary":
+                continue
             if how == "pass":
                 out.append(value.cast("double").alias(name))
             elif how == "levels":
@@ -159,7 +182,10 @@ class TablePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWri
     def feature_names(self) -> list[str]:
         names = []
         for s in self.fitted():
-            names += [f"{s['column']}_{v}" for v in s["levels"]] if s["how"] == "levels" else [s["column"]]
+            if s["how"] == "dictionary":
+                names += [f"{s['column']}#{i}" for i in range(s["size"])]
+            else:
+                names += [f"{s['column']}_{v}" for v in s["levels"]] if s["how"] == "levels" else [s["column"]]
         return names
 
     def statistics(self, spark) -> DataFrame:
@@ -171,7 +197,20 @@ class TablePrepModel(Model, _PrepParams, DefaultParamsReadable, DefaultParamsWri
         return spark.createDataFrame(rows, "feature string, stat string, value double")
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getOrDefault("outputCol"), array_to_vector(F.array(*self.columns())))
+        steps, out = self.fitted(), self.getOrDefault("outputCol")
+        if all(s["how"] != "dictionary" for s in steps):
+            return dataset.withColumn(out, array_to_vector(F.array(*self.columns())))
+        rows, pieces = dataset, []
+        for many, run in groupby(steps, key=lambda s: s["how"] == "dictionary"):
+            if not many:
+                pieces.append(f"_piece{len(pieces)}")
+                rows = rows.withColumn(pieces[-1], array_to_vector(F.array(*self.columns(list(run)))))
+                continue
+            for s in run:
+                pieces.append(f"_piece{len(pieces)}")
+                table = read_dictionary(rows.sparkSession, s["path"])
+                rows = slots(with_level_index(rows, s["column"], table, s["size"], s["mode"], "_index"), "_index", s["size"], pieces[-1]).drop("_index")
+        return VectorAssembler(inputCols=pieces, outputCol=out).transform(rows).drop(*pieces)
 
 
 class BalancedWeights(Estimator, DefaultParamsReadable, DefaultParamsWritable):

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from vitalsieve import contracts
 from vitalsieve.functions import columns as fc
 from vitalsieve.operators import (
-    associations as assoc, cleaning, dedup, distributions as dist, features, metrics, models, profile, routing, scoring, splits,
+    associations as assoc, cleaning, dedup, distributions as dist, features, levels, metrics, models, profile, routing, scoring, splits,
     validation,
 )
 from vitalsieve.plans import requests, train
@@ -721,6 +721,17 @@ def feature_dictionary(spark, sf_dir):
     return rounded(profile.feature_dictionary(measured, entries))
 
 
+@query
+def encode_many_levels(spark, sf_dir):
+    """Level numbers of a column with as many levels as rows nearly, one of them a fourth of the rows; gaps take that one."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 4 == 0, "common").when(F.col("o_orderkey") % 50 != 1, F.col("o_orderkey").cast("string")).alias("level"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/levels-{uuid.uuid4().hex}"
+    dictionary = levels.level_dictionary(features.category_levels(orders.filter("o_orderkey % 11 <> 0"), ["level"]), [], path)
+    size = dictionary.count()
+    return levels.with_level_index(orders, "level", dictionary, size, "common", "slot").select("o_orderkey", F.col("slot").cast("long").alias("slot"), F.lit(size).cast("long").alias("n_slots"))
+
+
 # Models
 
 

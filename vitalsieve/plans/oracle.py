@@ -646,3 +646,7 @@ SELECT model, fold, sum((label = 1 AND prediction = 1)::INT)::BIGINT AS tp, sum(
 FROM scores GROUP BY model, fold"""
 ORACLE["level_coefficients"] = f"""
 SELECT 'o_orderstatus_' || o_orderstatus AS feature, {r('ln(avg(label) / (1 - avg(label)))', 3)}::DOUBLE AS log_odds FROM ({_PRIORITY}) GROUP BY o_orderstatus"""
+ORACLE["encode_many_levels"] = """
+WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'common' WHEN o_orderkey % 50 <> 1 THEN o_orderkey::VARCHAR END AS level FROM orders),
+d AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS slot FROM (SELECT DISTINCT level FROM o WHERE level IS NOT NULL AND o_orderkey % 11 <> 0))
+SELECT o_orderkey, coalesce(slot, (SELECT count(*) FROM d)) AS slot, (SELECT count(*) FROM d) AS n_slots FROM o LEFT JOIN d ON d.level = coalesce(o.level, 'common')"""
