@@ -140,3 +140,30 @@ def content_hash(columns: Sequence[Column]) -> Column:
     """Hash of several values that tells NULL from text and one value from the next."""
     parts = [F.coalesce(F.concat(F.length(c.cast("string")).cast("string"), F.lit(":"), c.cast("string")), F.lit("-")) for c in columns]
     return F.sha2(F.concat_ws(",", *parts), 256)
+
+
+def _written(value: Column, kind: T.DataType) -> Column:
+    """A value as text that no other value of its type has: zeros have no sign, elements of collections keep apart, maps have no order."""
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        return F.when(value == 0, F.lit("0.0")).otherwise(value.cast("string"))
+    if isinstance(kind, T.BinaryType):
+        return F.hex(value)
+    if isinstance(kind, T.MapType):
+        entries = T.ArrayType(T.StructType([T.StructField("key", kind.keyType), T.StructField("value", kind.valueType)]))
+        return F.array_join(F.array_sort(F.transform(F.map_entries(value), lambda x: _held(x, entries.elementType))), "")
+    if isinstance(kind, T.ArrayType):
+        return F.array_join(F.transform(value, lambda x: _held(x, kind.elementType)), "")
+    if isinstance(kind, T.StructType):
+        return F.when(value.isNotNull(), F.concat(*[_held(value[f.name], f.dataType) for f in kind.fields]))
+    return value.cast("string")
+
+
+def _held(value: Column, kind: T.DataType) -> Column:
+    text = _written(value, kind)
+    return F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+
+
+def row_hash(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Hash of these columns of ``df``, equal for rows that are equal and for no others: by type, NULL apart from everything."""
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    return F.sha2(F.concat(F.lit(""), *[_held(col(c), kinds[c]) for c in columns]), 256)

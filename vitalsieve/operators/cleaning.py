@@ -125,8 +125,9 @@ def check_cleaned(df: DataFrame, contract: TableContract) -> DataFrame:
 def clean(df: DataFrame, contract: TableContract, report: bool = False):
     """Apply a contract to a raw table: headers, text, null tokens, duplicates, codes, types, zeros, label.
 
-    The result holds the row id, the features in contract order and ``label``. Lazy, apart from the subject-id rule.
-    With ``report`` also returns an audit table (see ``CleaningAudit``).
+    The result holds the row id, the features in contract order and ``label``. Lazy, apart from the subject-id rule and the check
+    that columns with real zeros still hold some. With ``report`` also returns an audit of what was there before duplicates went and
+    after unknown targets did.
     """
     raw = strip_headers(df)
     if contract.normalise:
@@ -138,13 +139,14 @@ def clean(df: DataFrame, contract: TableContract, report: bool = False):
     if contract.drop_duplicates:
         content = [c for c in out.columns if c != contract.row_id or contract.row_id_is_data]
         out = drop_duplicate_rows(out, content, contract.row_id)
-    after = out
     if contract.keep_only_known_targets:
         lenient = col(contract.target).cast("string").try_cast("double")
         out = out.filter(lenient.isin(*[float(k) for k in contract.target_codes]))
     if contract.group_from:
         out = subject_id(out, contract.group_from, contract.group)
     out = zeros_to_null(out, contract.zero_means_missing)
+    after = out
+    out = require_zeros(out, [c for c in contract.valid_zero if c != contract.target])
     for name, codes in contract.codes.items():
         out = out.withColumn(name, recode(col(name), codes, what=f"value in '{name}'"))
     out = out.withColumn("label", recode(col(contract.target), contract.target_codes, what=f"target in '{contract.target}'").cast("int"))
@@ -165,6 +167,7 @@ def cleaning_audit(before: DataFrame, after: DataFrame, contract: TableContract)
         return tall(df, names, as_type="string").groupBy("feature").agg(
             F.count(F.lit(1)).alias(f"rows_{tag}"),
             F.count_if(F.col("value").isNull()).alias(f"missing_{tag}"),
+            F.count_if(F.col("value").try_cast("double") == 0).alias(f"zeros_{tag}"),
         )
 
     joined = side(before, "before").join(side(after, "after"), "feature", "full_outer")

@@ -6,24 +6,26 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from vitalsieve.functions.columns import col, content_hash, quoted
+from vitalsieve.functions.columns import col, quoted, row_hash
 
 
 def drop_duplicate_rows(df: DataFrame, content: Sequence[str], row_id: str | None = None) -> DataFrame:
     """Keep one row of each set of equal rows, the one with the smallest ``row_id`` if there is one.
 
-    Only a hash and the row id are shuffled to find the first rows, combined before the shuffle, so a row repeated in
-    a third of the table is one record per task. The rows themselves come back by a semi join on the unique id.
+    Rows without an id come after those with one; of rows that share the smallest id one stays. The rows themselves are combined before
+    the shuffle, so a row repeated in a third of the table is one record per task, and no row is shuffled twice.
     """
     if row_id is None or row_id in content:
         return df.dropDuplicates(list(content))
-    first = df.groupBy(content_hash([col(c) for c in content]).alias("_h")).agg(F.min(col(row_id)).alias(row_id))
-    return df.join(first.select(quoted(row_id)), row_id, "left_semi")
+    rest = [c for c in df.columns if c != row_id]
+    place = F.struct(col(row_id).isNull(), col(row_id), row_hash(df, rest))
+    kept = df.groupBy(row_hash(df, content).alias("_h")).agg(F.min_by(F.struct(*map(quoted, df.columns)), place).alias("_row"))
+    return kept.select("_row.*")
 
 
 def duplicate_count(df: DataFrame, content: Sequence[str]) -> DataFrame:
     """One row: rows, distinct rows, duplicate rows."""
-    groups = df.groupBy(content_hash([col(c) for c in content]).alias("_h")).agg(F.count(F.lit(1)).alias("n"))
+    groups = df.groupBy(row_hash(df, content).alias("_h")).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(
         F.sum("n").alias("n_rows"),
         F.count(F.lit(1)).alias("n_distinct"),
@@ -33,7 +35,7 @@ def duplicate_count(df: DataFrame, content: Sequence[str]) -> DataFrame:
 
 def with_group_id(df: DataFrame, content: Sequence[str], out: str = "group_id") -> DataFrame:
     """Id shared by rows with equal values in ``content``; NULL equals NULL. Needs no shuffle."""
-    return df.withColumn(out, content_hash([col(c) for c in content]))
+    return df.withColumn(out, row_hash(df, content))
 
 
 def duplicate_groups(df: DataFrame, content: Sequence[str], row_id: str, label: str | None = None) -> DataFrame:

@@ -354,6 +354,18 @@ def drop_duplicate_rows(spark, sf_dir):
     return dedup.drop_duplicate_rows(table(spark, sf_dir, "documents"), ["text"], "doc_id").select("doc_id", "lang", "source", "n_chars")
 
 
+@query
+def dedup_null_ids(spark, sf_dir):
+    """First rows where ids are missing or repeated, texts in arrays look alike when joined, and zeros have signs."""
+    k = F.col("user_id") % 5
+    tags = F.when(k == 0, F.array(F.lit("a, b"))).when(k == 1, F.array(F.lit("a"), F.lit("b"))).when(k == 2, F.array().cast("array<string>")).when(k == 3, F.array(F.lit(None).cast("string")))
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 3 != 0, F.col("event_id") % 50).alias("row_id"), "event_type", tags.alias("tags"),
+        F.when(F.col("event_id") % 2 == 0, F.lit(-0.0)).otherwise(F.col("event_id") % 7 * 0.5).alias("amount"))
+    kept = dedup.drop_duplicate_rows(rows, ["event_type", "tags", "amount"], "row_id")
+    return kept.select("row_id", "event_type", F.coalesce(F.size("tags"), F.lit(-1)).alias("n_tags"), F.array_join("tags", "|", "?").alias("tags"), (F.col("amount") + 0.0).alias("amount"))
+
+
 @query
 def dup_groups(spark, sf_dir):
     groups = dedup.duplicate_groups(table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id", "left"), ["text"], "doc_id", "quality")
@@ -700,7 +712,7 @@ def input_schema(spark, sf_dir):
 
 @query
 def cleaning_audit(spark, sf_dir):
-    before = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.md5("text").alias("text"))
+    before = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", F.md5("text").alias("text"), F.nullif("n_chars", F.lit(5)).alias("n_chars"))
     after = dedup.drop_duplicate_rows(fc.tokens_to_null(before, ["fr"]), ["text"], "doc_id")
     return rounded(cleaning.cleaning_audit(before, after, contracts.TableContract("docs", "lang", {}, row_id="doc_id")))
 

@@ -243,6 +243,12 @@ ORACLE["duplicate_rows"] = """
 SELECT count(*)::BIGINT AS n_rows, count(DISTINCT text)::BIGINT AS n_distinct, (count(*) - count(DISTINCT text))::BIGINT AS n_duplicates FROM documents"""
 ORACLE["drop_duplicate_rows"] = """
 SELECT doc_id, lang, source, n_chars FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text)"""
+ORACLE["dedup_null_ids"] = """
+WITH e AS (SELECT CASE WHEN event_id % 3 <> 0 THEN event_id % 50 END AS row_id, event_type,
+  CASE user_id % 5 WHEN 0 THEN ['a, b'] WHEN 1 THEN ['a', 'b'] WHEN 2 THEN CAST([] AS VARCHAR[]) WHEN 3 THEN [NULL] END AS tags,
+  CASE WHEN event_id % 2 = 0 THEN 0.0 ELSE event_id % 7 * 0.5 END::DOUBLE AS amount FROM events)
+SELECT min(row_id) AS row_id, event_type, coalesce(len(tags), -1)::INT AS n_tags, CASE WHEN tags IS NULL THEN NULL WHEN tags = [NULL] THEN '?' ELSE coalesce(array_to_string(tags, '|'), '') END AS tags, amount
+FROM e GROUP BY event_type, tags, amount"""
 ORACLE["dup_groups"] = """
 SELECT min(d.doc_id) AS first_row, count(*)::BIGINT AS n_rows, count(DISTINCT b.quality)::BIGINT AS n_labels
 FROM documents d LEFT JOIN labels b ON d.doc_id = b.doc_id GROUP BY d.text"""
@@ -616,10 +622,11 @@ SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'I
 FROM (DESCRIBE lineitem) WHERE column_name <> 'l_shipdate'"""
 _AFTER = "(SELECT * FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text))"
 ORACLE["cleaning_audit"] = union(
-    f"""SELECT '{c}' AS feature, (SELECT count(*) FROM documents)::BIGINT AS rows_before, (SELECT count(*) FILTER (WHERE {c} IS NULL) FROM documents)::BIGINT AS missing_before,
-  count(*)::BIGINT AS rows_after, count(*) FILTER (WHERE {c} IS NULL OR {c} = 'fr')::BIGINT AS missing_after,
+    f"""SELECT '{c}' AS feature, (SELECT count(*) FROM documents)::BIGINT AS rows_before, (SELECT count(*) FILTER (WHERE {c} IS NULL OR {gap}) FROM documents)::BIGINT AS missing_before,
+  (SELECT count(*) FILTER (WHERE {zero}) FROM documents)::BIGINT AS zeros_before,
+  count(*)::BIGINT AS rows_after, count(*) FILTER (WHERE {c} IS NULL OR {gap} OR {c}::VARCHAR = 'fr')::BIGINT AS missing_after, count(*) FILTER (WHERE {zero})::BIGINT AS zeros_after,
   (round(count(*) * 100.0 / (SELECT count(*) FROM documents), 2))::DOUBLE AS preserved_pct FROM {_AFTER}"""
-    for c in ("lang", "source", "text")
+    for c, gap, zero in (("lang", "false", "false"), ("source", "false", "false"), ("text", "false", "try_cast(md5(text) AS DOUBLE) = 0"), ("n_chars", "n_chars = 5", "n_chars = 0"))
 )
 ORACLE["comparison_rows"] = f"""{_FOLD} SELECT model, format('| {{}} | {{:.4f}} ± {{:.4f}} | {{:.4f}} ± {{:.4f}} |', model, roc_auc_mean, roc_auc_std, f1_mean, f1_std) AS line FROM summary"""
 ORACLE["feature_dictionary"] = f"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from vitalsieve.contracts import TableContract
-from vitalsieve.functions.columns import col, content_hash, nan_to_null, normalise_headers, quoted, strip_headers
+from vitalsieve.functions.columns import col, nan_to_null, normalise_headers, quoted, row_hash, strip_headers
 from vitalsieve.operators.cleaning import check_table
 
 
@@ -49,7 +49,7 @@ def with_row_id(df: DataFrame, out: str = "row_id", chunk: int = 1_000_000) -> D
     n, start = F.col("_n"), F.col("_c") * chunk
     return (
         df.groupBy(*map(quoted, names)).agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_h", content_hash([col(c) for c in names]))
+        .withColumn("_h", row_hash(df, names))
         .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / chunk))))
         .repartition("_h", "_c")
         .withColumn("_i", F.explode(F.sequence(F.lit(1).cast("long"), F.least(n - start, F.lit(chunk)))))
