@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from vitalsieve.contracts import BREAST_GROUPS, FieldRule, TableContract
 from vitalsieve.functions.columns import col, computed_once
+from vitalsieve.functions.json import repeated_key
 
 # Modes, message texts and the error types of each outcome class.
 
@@ -249,11 +250,6 @@ def grouped_payload(data: Column, groups: Sequence[str]) -> Column:
     return F.when(has_groups, F.map_from_arrays(names, last)).otherwise(data)
 
 
-def _first_duplicate(keys: Column) -> Column:
-    later = F.filter(keys, lambda k, i: F.array_position(keys, k) <= i)
-    return F.when(F.size(F.array_distinct(keys)) < F.size(keys), F.get(later, F.lit(0)))
-
-
 def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
     """Check request bodies. Adds ``disease``, ``mode``, ``data``, ``error_type`` and ``message`` (NULL when well-formed)."""
     text = col(body)
@@ -262,11 +258,9 @@ def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
     known = F.array(*[F.lit(d) for d in diseases])
     read = computed_once(df, _top=parsed)
     top_data = F.try_element_at("_top", F.lit("data"))
-    inner_keys = F.json_object_keys(F.get_json_object(text, "$.data"))
     read = computed_once(
         read,
         _keys=F.coalesce(F.map_keys("_top"), F.json_object_keys(text)),
-        _inner=F.when(F.col("_top").isNull(), inner_keys),
         _single=F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))).eqNullSafe(F.lit(1)),
         _disease=_viewed(F.try_element_at("_top", F.lit("disease"))),
         _entries=F.try_variant_get(top_data, "$", "map<string,variant>"),
@@ -275,7 +269,7 @@ def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
     disease, mode = F.col("_disease"), F.col("_mode")
     read = computed_once(
         read,
-        _dup=F.coalesce(_first_duplicate(F.col("_inner")), _first_duplicate(F.col("_keys"))),
+        _dup=F.when(F.col("_top").isNull() | (F.size(F.array_distinct("_keys")) < F.size("_keys")), F.when(F.col("_keys").isNotNull(), repeated_key(text))),
         _folded=F.lower(F.trim(disease["text"])),
         _kind=F.when(F.col("_entries").isNotNull(), "OBJECT").otherwise(_kind(top_data)),
         _chosen=F.when(mode["kind"] == "STRING", F.lower(F.trim(mode["text"]))).otherwise(F.lit("user")),
@@ -312,7 +306,7 @@ def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:
         fault = F.when(failed, F.struct(F.lit(error).alias("type"), message.alias("message"))).otherwise(fault)
     judged = computed_once(read, _fault=fault)
     fine = F.col("_fault").isNull()
-    temps = ["_top", "_keys", "_single", "_inner", "_disease", "_mode", "_dup", "_folded", "_entries", "_kind", "_chosen", "_fault"]
+    temps = ["_top", "_keys", "_single", "_disease", "_mode", "_dup", "_folded", "_entries", "_kind", "_chosen", "_fault"]
     return judged.withColumns({
         "error_type": F.col("_fault")["type"],
         "message": F.col("_fault")["message"],

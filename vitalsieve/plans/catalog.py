@@ -665,6 +665,16 @@ def missing_model_requests(spark, sf_dir):
     return answers.groupBy("disease", "status_class", "error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query
+def nested_duplicates(spark, sf_dir):
+    """What repeated keys are told as, at whatever depth they repeat."""
+    k = "CAST(get_json_object(props, '$.k') AS INT)"
+    body = requests.nested_body().replace("\\", "\\\\").format(k=k)
+    rows = table(spark, sf_dir, "events").select("event_id", F.expr(body).alias("body"))
+    checked = validation.envelope(rows, "body", ["heart"])
+    return checked.select("event_id", "error_type", "message")
+
+
 @query
 def strict_requests(spark, sf_dir):
     """The scored requests alone, passed through the strict check, which fails the job on any rejected row."""

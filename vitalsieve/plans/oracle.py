@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vitalsieve import contracts
 from vitalsieve.operators import routing
-from vitalsieve.plans.requests import BODY, INTERCEPT, WEIGHTS, grouped_body, mixed_body, mixed_served, request_number
+from vitalsieve.plans.requests import BODY, INTERCEPT, WEIGHTS, grouped_body, mixed_body, mixed_served, request_number, NESTED
 
 ORACLE: dict[str, str] = {}
 
@@ -657,3 +657,6 @@ ORACLE["encode_many_levels"] = """
 WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'common' WHEN o_orderkey % 50 <> 1 THEN o_orderkey::VARCHAR END AS level FROM orders),
 d AS (SELECT level, row_number() OVER (ORDER BY level) - 1 AS slot FROM (SELECT DISTINCT level FROM o WHERE level IS NOT NULL AND o_orderkey % 11 <> 0))
 SELECT o_orderkey, coalesce(slot, (SELECT count(*) FROM d)) AS slot, (SELECT count(*) FROM d) AS n_slots FROM o LEFT JOIN d ON d.level = coalesce(o.level, 'common')"""
+ORACLE["nested_duplicates"] = f"""
+SELECT event_id, 'validation_error' AS error_type, coalesce('Duplicate JSON field: ' || CASE {_K} % {len(NESTED)} {' '.join(f"WHEN {i} THEN {_text(key)}" for i, (_, key) in enumerate(NESTED))} END,
+  'Unsupported disease ''unknown''. Supported diseases: [''heart''].') AS message FROM events"""

@@ -117,3 +117,22 @@ def grouped_body() -> str:
     strangers = f"""CASE {{k}} % 3 WHEN 0 THEN '5, {{{{"name": "x"}}}}, {{{{"value": 3}}}}, ' WHEN 1 THEN '{{{{"name": "{features[10]}", "value": 77}}}}, ' ELSE '' END"""
     worst = f"""CASE WHEN {{k}} % 7 = 0 THEN '"worst_features": 5' ELSE '"worst_features": {{{{' || {pairs(20, 30)} || '}}}}' END"""
     return f"""'{{{{"disease": "breast_cancer", "data": {{{{"mean_features": {{{{' || {pairs(0, 10)} || '}}}}, "se_features": [' || {strangers} || {items} || '], ' || {worst} || {loose} || '}}}}}}}}'"""
+
+
+# Keys that repeat below the first level, look-alikes that do not, and what each is told as.
+
+NESTED = (
+    ('{"disease": "heart", "data": {"a": {"b": [1, {"c": 1, "c": 2}]}}}', "c"),
+    ('{"disease": "heart", "disease": "heart", "data": {"x": 1, "y": {"x": 2}, "x": 3}}', "x"),
+    ('{"disease": "he\\"{,art", "data": {"k": "a,:{", "k": [{"k": 1}]}}', "k"),
+    ('{"disease": "heart", "data": {"\\u0061": 1, "a": {"a": "a"}}}', "a"),
+    ('{"disease": "unknown", "data": [{"k": 1}, {"k": 2}, "k", "k"], "k": {"disease": {"data": []}}}', None),
+    ('{"data": {"p": {"q": {}, "q": []}, "p": 1}, "disease": null, "data": 1}', "q"),
+    ('{"disease": "heart", "mode": "user", "mode": "user", "data": {"a": [[], [{}]]}}', "mode"),
+)
+
+
+def nested_body() -> str:
+    """SQL text of a body with nested keys; format it with ``k``."""
+    cases = " ".join(f"WHEN {i} THEN '{body}'" for i, (body, _) in enumerate(NESTED)).replace("{", "{{").replace("}", "}}")
+    return f"CASE {{k}} % {len(NESTED)} {cases} END"
