@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from vitalsieve.functions.columns import col, columns_of_type, percent, quoted, tall
 from vitalsieve.operators.dedup import duplicate_count
 from vitalsieve.operators.quantiles import quantiles
+from vitalsieve.operators.summaries import exact_distincts
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -46,11 +47,17 @@ def distinct_values(df: DataFrame, columns: Sequence[str], null_is_value: bool =
     """(feature, n_distinct). ``exact=False`` uses sketches: one pass and no shuffle of values."""
     aggs = []
     for i, c in enumerate(columns):
-        n = F.count_distinct(col(c)) if exact else F.approx_count_distinct(col(c))
+        n = F.lit(0).cast("long") if exact else F.approx_count_distinct(col(c))
         extra = F.coalesce(F.max(col(c).isNull().cast("int")), F.lit(0)) if null_is_value else F.lit(0)
         aggs.append((n + extra).alias(f"d{i}"))
     rows = [F.struct(F.lit(c).alias("feature"), F.col(f"d{i}").alias("n_distinct")) for i, c in enumerate(columns)]
-    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if exact and not null_is_value:
+        return exact_distincts(df, columns)
+    extra = df.agg(*aggs).select(F.inline(F.array(*rows)))
+    if not exact:
+        return extra
+    exact_counts = exact_distincts(df, columns).withColumnRenamed("n_distinct", "known")
+    return extra.join(F.broadcast(exact_counts), "feature").select("feature", (F.col("known") + F.col("n_distinct")).alias("n_distinct"))
 
 
 def constant_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -86,7 +93,7 @@ def column_profile(
 ) -> DataFrame:
     """Profile row per column: dtype, target flag, distinct, missing, zeros, min, mean, median, sample std, max.
 
-    Text columns have NULL statistics. One aggregate for everything but the medians, which come from ``quantiles``.
+    Text columns have NULL statistics. One aggregate for everything but the distinct counts and the medians.
     """
     names = list(columns or df.columns)
     kinds = dict(df.select(*map(quoted, names)).dtypes)
@@ -96,9 +103,8 @@ def column_profile(
     for i, c in enumerate(names):
         is_num = c in numeric
         value = col(c).cast("double") if is_num else F.lit(None).cast("double")
-        distinct = F.count_distinct(col(c)) if exact else F.approx_count_distinct(col(c))
         parts = {
-            "n_distinct": distinct,
+            "n_distinct": F.lit(None).cast("long") if exact else F.approx_count_distinct(col(c)),
             "missing": F.count_if(col(c).isNull()),
             "zeros": F.count_if(col(c) == 0) if is_num else F.lit(None).cast("long"),
             "min": F.min(value), "mean": F.avg(value), "std": F.stddev_samp(value), "max": F.max(value),
@@ -111,6 +117,8 @@ def column_profile(
             )
         )
     base = df.agg(*aggs).select("n", F.inline(F.array(*rows)))
+    if exact:
+        base = base.drop("n_distinct").join(F.broadcast(exact_distincts(df, names)), "feature")
     base = base.withColumn("missing_pct", percent(F.col("missing"), F.col("n"))).withColumn("zero_pct", percent(F.col("zeros"), F.col("n")))
     if numeric:
         medians = quantiles(df, numeric, [0.5], method=method).select("feature", F.col("value").alias("median"))
@@ -160,8 +168,12 @@ def feature_dictionary(profile: DataFrame, entries: Sequence[Mapping[str, str]])
 
 
 def input_schema(df: DataFrame) -> DataFrame:
-    """(name, dtype) of every column."""
-    return df.sparkSession.createDataFrame(df.dtypes, "name string, dtype string")
+    """(name, dtype, n_present, widest) of every column: its type, how many values it holds, and the longest as text."""
+    aggs, rows = [], []
+    for i, (name, kind) in enumerate(df.dtypes):
+        aggs += [F.count(col(name)).alias(f"n{i}"), F.max(F.length(col(name).cast("string"))).alias(f"w{i}")]
+        rows.append(F.struct(F.lit(name).alias("name"), F.lit(kind).alias("dtype"), F.col(f"n{i}").alias("n_present"), F.col(f"w{i}").alias("widest")))
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 
 def verification_summary(df: DataFrame, target: str, columns: Sequence[str] | None = None) -> DataFrame:
@@ -193,13 +205,13 @@ def table_summary(name: str, df: DataFrame, target: str, positive: object, id_co
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(col(target) == F.lit(positive)).alias("n_positive"),
         F.sum(cells).alias("n_missing"),
-        (F.count_distinct(col(id_column)) == F.count(F.lit(1))).alias("id_is_unique") if id_column else F.lit(None).cast("boolean").alias("id_is_unique"),
     )
+    unique = exact_distincts(df, [id_column]).select("n_distinct").scalar() == F.col("n_rows") if id_column else F.lit(None).cast("boolean")
     duplicates = duplicate_count(df, content).select("n_duplicates").scalar()
     return base.select(
         F.lit(name).alias("table_name"), "n_rows", F.lit(len(names)).alias("n_columns"), F.lit(target).alias("target"),
         "n_positive", percent(F.col("n_positive"), F.col("n_rows")).alias("positive_pct"), "n_missing",
-        duplicates.alias("n_duplicates"), "id_is_unique",
+        duplicates.alias("n_duplicates"), unique.alias("id_is_unique"),
     )
 
 

@@ -11,7 +11,7 @@ from vitalsieve import contracts
 from vitalsieve.functions import columns as fc
 from vitalsieve.operators import (
     associations as assoc, cleaning, dedup, distributions as dist, features, levels, metrics, models, profile, routing, scoring, splits,
-    validation,
+    summaries, validation,
 )
 from vitalsieve.plans import requests, train
 from vitalsieve.session import checkpoint_dir, small_side
@@ -45,13 +45,12 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
 
 @query
 def column_profile(spark, sf_dir):
-    cols = [*MEASURES, "l_linenumber", "l_returnflag", "l_linestatus"]
-    return rounded(profile.column_profile(table(spark, sf_dir, "lineitem"), cols, target="l_returnflag"), 4)
+    return rounded(profile.column_profile(table(spark, sf_dir, "lineitem"), target="l_returnflag"), 4)
 
 
 @query
 def column_profile_customer(spark, sf_dir):
-    return rounded(profile.column_profile(table(spark, sf_dir, "customer"), ["c_nationkey", "c_acctbal", "c_mktsegment"]), 4)
+    return rounded(profile.column_profile(table(spark, sf_dir, "customer")), 4)
 
 
 @query
@@ -67,18 +66,30 @@ def missing_values(spark, sf_dir):
 
 @query
 def distinct_values(spark, sf_dir):
-    return profile.distinct_values(table(spark, sf_dir, "part"), ["p_name", "p_brand", "p_type", "p_size"], null_is_value=True)
+    parts = table(spark, sf_dir, "part")
+    return profile.distinct_values(parts, parts.columns, null_is_value=True)
 
 
 @query
 def constant_columns(spark, sf_dir):
     conversations = table(spark, sf_dir, "conversations").withColumn("kind", F.lit("chat"))
-    return profile.constant_columns(conversations, ["conv_id", "turn", "role", "kind"])
+    return profile.constant_columns(conversations, conversations.columns)
 
 
 @query
 def identifier_columns(spark, sf_dir):
-    return profile.identifier_columns(table(spark, sf_dir, "customer"), ["c_custkey", "c_name", "c_nationkey"])
+    customers = table(spark, sf_dir, "customer")
+    return profile.identifier_columns(customers, customers.columns)
+
+
+@query
+def merged_summaries(spark, sf_dir):
+    """Whole-table summaries from sketches kept per month of shipping; the estimated distinct count only as within 5 % or not."""
+    lines = table(spark, sf_dir, "lineitem").withColumn("month", F.date_format("l_shipdate", "yyyy-MM"))
+    found = summaries.summarised(summaries.merged_sketches(summaries.column_sketches(lines, by=["month"])))
+    exact = summaries.exact_distincts(lines.drop("month"), lines.drop("month").columns).withColumnRenamed("n_distinct", "exact")
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.greatest(0.05 * F.col("exact"), F.lit(1.0))
+    return rounded(found.join(F.broadcast(exact), "feature").select("feature", "n", "missing", "missing_pct", "zeros", "min", "max", "mean", "std", close.alias("n_distinct_close")), 4)
 
 
 @query
@@ -717,7 +728,7 @@ def fingerprint(spark, sf_dir):
 
 @query
 def input_schema(spark, sf_dir):
-    return profile.input_schema(table(spark, sf_dir, "lineitem").drop("l_shipdate"))
+    return profile.input_schema(table(spark, sf_dir, "orders"))
 
 
 @query

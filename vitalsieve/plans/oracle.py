@@ -37,10 +37,11 @@ FROM {table}""")
     return union(parts)
 
 
-_LINE = [(m, "double", True) for m in MEASURES] + [("l_linenumber", "int", True), ("l_returnflag", "string", False), ("l_linestatus", "string", False)]
+_LINE = [(k, "bigint", True) for k in ("l_orderkey", "l_partkey", "l_suppkey")] + [(m, "double", True) for m in MEASURES] + [
+    ("l_linenumber", "int", True), ("l_returnflag", "string", False), ("l_linestatus", "string", False), ("l_shipdate", "timestamp_ntz", False)]
 ORACLE["column_profile"] = _profile("lineitem", _LINE, "l_returnflag")
 ORACLE["column_profile_customer"] = _profile(
-    "customer", [("c_nationkey", "int", True), ("c_acctbal", "double", True), ("c_mktsegment", "string", False)]
+    "customer", [("c_custkey", "bigint", True), ("c_name", "string", False), ("c_nationkey", "int", True), ("c_acctbal", "double", True), ("c_mktsegment", "string", False)]
 )
 ORACLE["summary_statistics"] = union(
     f"""SELECT '{c}' AS feature, count({c})::BIGINT AS count, {r(f'avg({c}::DOUBLE)')} AS mean, {r(f'stddev_samp({c}::DOUBLE)')} AS std,
@@ -56,15 +57,15 @@ SELECT * FROM ({union(
 )}) WHERE missing > 0"""
 ORACLE["distinct_values"] = union(
     f"SELECT '{c}' AS feature, (count(DISTINCT {c}) + coalesce(max(({c} IS NULL)::INT), 0))::BIGINT AS n_distinct FROM part"
-    for c in ("p_name", "p_brand", "p_type", "p_size")
+    for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
 )
 ORACLE["constant_columns"] = "SELECT feature FROM (" + union(
     f"SELECT '{n}' AS feature, count(DISTINCT {c}) + max(({c} IS NULL)::INT) AS n FROM conversations"
-    for n, c in (("conv_id", "conv_id"), ("turn", "turn"), ("role", "role"), ("kind", "'chat'"))
+    for n, c in (("conv_id", "conv_id"), ("turn", "turn"), ("role", "role"), ("text", "text"), ("kind", "'chat'"))
 ) + ") WHERE n <= 1"
 ORACLE["identifier_columns"] = union(
     f"SELECT '{c}' AS feature, count(DISTINCT {c})::BIGINT AS n_distinct, count(*)::BIGINT AS n_rows, count(DISTINCT {c}) = count(*) AS is_identifier FROM customer"
-    for c in ("c_custkey", "c_name", "c_nationkey")
+    for c in ("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment")
 )
 ORACLE["table_shape"] = "SELECT count(*)::BIGINT AS n_rows, 6 AS n_columns FROM events"
 ORACLE["zero_audit"] = union(
@@ -617,9 +618,10 @@ SELECT count(*)::BIGINT AS n_rows, sum(h)::DECIMAL(38, 0) AS checksum, bit_xor(h
 FROM (SELECT ('0x' || substr(md5(concat_ws('|', """ + ", ".join(
     f"coalesce(length({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "text", "lang", "source", "n_chars")
 ) + """)), 1, 14))::BIGINT AS h FROM documents)"""
-ORACLE["input_schema"] = """
-SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double' ELSE 'string' END AS dtype
-FROM (DESCRIBE lineitem) WHERE column_name <> 'l_shipdate'"""
+ORACLE["input_schema"] = union(
+    f"SELECT '{c}' AS name, '{kind}' AS dtype, count({c})::BIGINT AS n_present, max(length({c}::VARCHAR))::INT AS widest FROM orders"
+    for c, kind in (("o_orderkey", "bigint"), ("o_custkey", "bigint"), ("o_orderstatus", "string"), ("o_totalprice", "double"), ("o_orderdate", "timestamp_ntz"), ("o_orderpriority", "string"))
+)
 _AFTER = "(SELECT * FROM documents WHERE doc_id IN (SELECT min(doc_id) FROM documents GROUP BY text))"
 ORACLE["cleaning_audit"] = union(
     f"""SELECT '{c}' AS feature, (SELECT count(*) FROM documents)::BIGINT AS rows_before, (SELECT count(*) FILTER (WHERE {c} IS NULL OR {gap}) FROM documents)::BIGINT AS missing_before,
@@ -660,3 +662,9 @@ SELECT o_orderkey, coalesce(slot, (SELECT count(*) FROM d)) AS slot, (SELECT cou
 ORACLE["nested_duplicates"] = f"""
 SELECT event_id, 'validation_error' AS error_type, coalesce('Duplicate JSON field: ' || CASE {_K} % {len(NESTED)} {' '.join(f"WHEN {i} THEN {_text(key)}" for i, (_, key) in enumerate(NESTED))} END,
   'Unsupported disease ''unknown''. Supported diseases: [''heart''].') AS message FROM events"""
+ORACLE["merged_summaries"] = union(
+    f"""SELECT '{c}' AS feature, count(*)::BIGINT AS n, count(*) FILTER (WHERE {c} IS NULL)::BIGINT AS missing, {r(f'count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*)', 4)}::DOUBLE AS missing_pct,
+  {f'count(*) FILTER (WHERE {c} = 0)' if numeric else 'NULL'}::BIGINT AS zeros, {f'{r(f"min({c})::DOUBLE", 4)}' if numeric else 'NULL'}::DOUBLE AS min, {f'{r(f"max({c})::DOUBLE", 4)}' if numeric else 'NULL'}::DOUBLE AS max,
+  {f'{r(f"avg({c}::DOUBLE)", 4)}' if numeric else 'NULL'}::DOUBLE AS mean, {f'{r(f"stddev_samp({c}::DOUBLE)", 4)}' if numeric else 'NULL'}::DOUBLE AS std, true AS n_distinct_close FROM lineitem"""
+    for c, _, numeric in _LINE
+)
