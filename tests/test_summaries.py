@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vitalsieve.operators import profile, summaries
+from vitalsieve.operators import associations, profile, summaries
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +19,7 @@ def test_exact_distincts(spark, rows):
 
 
 def test_no_copy_of_rows_per_column(rows):
-    plan = profile.column_profile(rows)._jdf.queryExecution().optimizedPlan().toString()
+    plan = profile.distinct_values(rows, rows.columns, null_is_value=True)._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" not in plan
 
 
@@ -40,3 +40,14 @@ def test_sketches_merge_to_the_whole(spark, rows):
 def test_input_schema_reads_the_rows(rows):
     got = {r.name: (r.dtype, r.n_present, r.widest) for r in profile.input_schema(rows).collect()}
     assert got["t"] == ("string", 240, 3) and got["nothing"] == ("int", 0, None)
+
+
+def test_gram_matrix_equals_pairwise_correlation(spark):
+    rows = spark.range(500).select(
+        *[F.when(F.col("id") % (k + 2) != 0, 1e6 * k + (F.col("id") * (k + 3)) % 41).alias(f"c{k}") for k in range(6)], F.lit(3.0).alias("flat"), F.lit(None).cast("double").alias("none"))
+    few = {(r.row, r.column): r.corr for r in associations.correlation_matrix(rows, rows.columns).collect()}
+    many = {(r.row, r.column): r.corr for r in associations.gram_correlations(rows, rows.columns).collect()}
+    assert few.keys() == many.keys()
+    for key, want in few.items():
+        assert (want is None) == (many[key] is None) and (want is None or many[key] == pytest.approx(want, abs=1e-9)), key
+    assert {r.corr for r in associations.gram_correlations(rows.limit(0), ["c0", "c1"]).collect()} == {None}

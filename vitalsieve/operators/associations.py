@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitalsieve.functions.columns import col, percent, quoted, tall
@@ -16,9 +18,59 @@ def pearson(x: Column, y: Column) -> Column:
     return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a) * F.stddev_pop(b))
 
 
+#: Above so many columns, pairs are worked out as matrices and not as aggregates of their own.
+FEW_COLUMNS = 12
+
+
+def _moments(columns: int, pivots: Sequence[float]):
+    """Sums per pair of columns over a task's rows: rows that have both, and of those x, x² and xy, all around the pivots.
+
+    With the values X, gaps as 0, and their mask M these are the four products M'M, X'M, (X²)'M and X'X: two blocks in, one set of matrices out.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums, seen = np.zeros((4, columns, columns)), False
+        for batch in batches:
+            block = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns]).astype(np.float64) - pivots
+            mask = ~np.isnan(block)
+            values, present = np.where(mask, block, 0.0), mask.astype(np.float64)
+            sums += np.stack([present.T @ present, values.T @ present, (values * values).T @ present, values.T @ values])
+            seen = True
+        if seen:
+            i, j = (x.ravel() for x in np.indices((columns, columns)))
+            yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(x.ravel()) for x in sums]], ["i", "j", "n", "x", "xx", "xy"])
+
+    return task
+
+
+def gram_correlations(df: DataFrame, columns: Sequence[str], lower_only: bool = False) -> DataFrame:
+    """The same as ``correlation_matrix`` for very many columns: one pass, one set of matrices summed per task.
+
+    A pair's correlation is over the rows that have both values. Sums are taken around the columns' means, so that large values with little
+    spread lose nothing. NaN counts as a gap. The driver holds a mean per column.
+    """
+    names = list(columns)
+    numbers = df.select(*[F.nanvl(col(c).cast("double"), F.lit(None).cast("double")).alias(f"c{i}") for i, c in enumerate(names)])
+    means = [m or 0.0 for m in numbers.agg(*[F.avg(c) for c in numbers.columns]).first()]
+    parts = numbers.mapInArrow(_moments(len(names), means), "i int, j int, n double, x double, xx double, xy double")
+    sums = parts.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in ("n", "x", "xx", "xy")])
+    other = sums.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("x").alias("y"), F.col("xx").alias("yy"))
+    both = F.col("xy") - F.try_divide(F.col("x") * F.col("y"), F.col("n"))
+    spreads = [F.col(f"{v}{v}") - F.try_divide(F.col(v) * F.col(v), F.col("n")) for v in "xy"]
+    real = (spreads[0] > 1e-12 * F.col("xx")) & (spreads[1] > 1e-12 * F.col("yy"))
+    corr = F.when(real, both / F.sqrt(spreads[0] * spreads[1]))
+    labels = df.sparkSession.createDataFrame([(i, j, names[i], names[j]) for i in range(len(names)) for j in range(i if lower_only else len(names))], "i int, j int, row string, column string")
+    found = sums.join(other, ["i", "j"]).select("i", "j", corr.alias("corr"))
+    return labels.join(found, ["i", "j"], "left").select("row", "column", "i", "j", "corr")
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str], lower_only: bool = False) -> DataFrame:
-    """(row, column, i, j, corr) from one aggregate over the pairs i > j; mirrored and completed unless ``lower_only``."""
+    """(row, column, i, j, corr) from one aggregate over the pairs i > j; mirrored and completed unless ``lower_only``.
+
+    More than ``FEW_COLUMNS`` go through ``gram_correlations``, whose plan does not grow with the pairs.
+    """
     names = list(columns)
+    if len(names) > FEW_COLUMNS:
+        return gram_correlations(df, names, lower_only)
     pairs = [(i, j) for i in range(len(names)) for j in range(i)]
     wide = df.agg(
         *[pearson(col(names[i]), col(names[j])).alias(f"r{i}_{j}") for i, j in pairs],

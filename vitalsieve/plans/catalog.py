@@ -92,6 +92,14 @@ def merged_summaries(spark, sf_dir):
     return rounded(found.join(F.broadcast(exact), "feature").select("feature", "n", "missing", "missing_pct", "zeros", "min", "max", "mean", "std", close.alias("n_distinct_close")), 4)
 
 
+@query
+def corr_many_columns(spark, sf_dir):
+    """Correlations of sixteen columns with gaps of their own."""
+    gaps = [F.when(F.col("l_orderkey") % d != 0, F.col(m)).alias(f"{m}_{d}") for m in MEASURES for d in (2, 3, 5, 7)]
+    lines = table(spark, sf_dir, "lineitem").select(*gaps)
+    return rounded(assoc.correlation_matrix(lines, lines.columns, lower_only=True), 5)
+
+
 @query
 def table_shape(spark, sf_dir):
     return profile.shape(table(spark, sf_dir, "events"))

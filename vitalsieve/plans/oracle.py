@@ -668,3 +668,8 @@ ORACLE["merged_summaries"] = union(
   {f'{r(f"avg({c}::DOUBLE)", 4)}' if numeric else 'NULL'}::DOUBLE AS mean, {f'{r(f"stddev_samp({c}::DOUBLE)", 4)}' if numeric else 'NULL'}::DOUBLE AS std, true AS n_distinct_close FROM lineitem"""
     for c, _, numeric in _LINE
 )
+_MANY = [(f"{m}_{d}", f"CASE WHEN l_orderkey % {d} <> 0 THEN {m} END") for m in MEASURES for d in (2, 3, 5, 7)]
+ORACLE["corr_many_columns"] = f"WITH c AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _MANY)} FROM lineitem) " + union(
+    f"SELECT '{a}' AS row, '{b}' AS column, {i} AS i, {j} AS j, {r(f'corr({a}, {b})', 5)}::DOUBLE AS corr FROM c"
+    for i, (a, _) in enumerate(_MANY) for j, (b, _) in enumerate(_MANY[:i])
+)
