@@ -11,9 +11,10 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 #: No source gives more than this many times its own words.
 MOST_PASSES = 2
-#: Words of a block, unless the schedule would exceed MOST_SLOTS slots; then blocks grow with the corpus.
+#: Words of a block; a source's last block is cut to what its target leaves.
 BLOCK_WORDS = 64
-MOST_SLOTS = 1 << 24
+#: Sources whose goals are broadcast (a few MB); goals of more sources are joined by shuffle.
+MOST_SOURCES = 20_000
 GOLDEN = 0.6180339887498949
 #: Pieces of a source that order its documents, cells of the unit interval, slots ranked by one task.
 BUCKETS, CELLS, CHUNK = 4096, 1024, 1 << 16
@@ -91,30 +92,40 @@ def schedule(docs: DataFrame, share: float = SHARE, block_words: int = BLOCK_WOR
     """The mix of ``docs`` (doc_id, text, source): places (doc_id, size, src, start), goals (src, source_size, target), and
     pieces (slot, doc_id, src, start, words): what each slot takes of each document, in the order of the slots.
 
-    Slot k of a source takes the k-th block of its stream, which runs through the shuffled documents up to twice. NULL texts have
-    no words, a NULL source is a source, repeated rows are documents of their own. A column ``locator`` goes along in places.
+    Slot k of a source takes the k-th block of its stream, which runs through the shuffled documents up to twice. A source takes as many
+    slots as its target fills, the last one in part; where the sequence has dealt it fewer, which is off by a few slots at most, the rest
+    follow at the end. So every source, also one smaller than a block, ends on its target. NULL texts have no words, a NULL source is a
+    source, repeated rows are documents of their own. A column ``locator`` goes along in places.
     """
     sizes = written(docs.select(
         F.col("doc_id").cast("long").alias("doc_id"), n_words().alias("size"), _key(F.col("source")).alias("src"),
         F.xxhash64(F.lit("mix"), "doc_id").alias("order"), *[c for c in docs.columns if c == "locator"],
     ), "mix-sizes")
-    goals = targets(sizes, share)
+    goals = written(targets(sizes, share).withColumn("aim", F.round("target").cast("long")), "mix-goals")
+    by_source = F.broadcast(goals) if goals.count() <= MOST_SOURCES else goals
     total = (sizes.agg(F.sum("size")).first()[0] or 0) * share
-    block = max(block_words, -int(-total // MOST_SLOTS))
     places = written(positions(sizes), "mix-places")
-    passes = places.filter("size > 0").join(goals, "src").select(
-        "doc_id", "src", "start", F.col("source_size"),
+    passes = places.filter("size > 0").join(by_source, "src").select(
+        "doc_id", "src", "start", "source_size", "aim",
         F.explode(F.array(*[F.struct((F.col("start") + F.col("source_size") * i).alias("at"), (F.col("start") + F.col("size") + F.col("source_size") * i).alias("end")) for i in range(MOST_PASSES)])).alias("run"))
-    blocks = passes.select("doc_id", "src", "start", "run", F.explode(F.sequence(F.floor(F.col("run.at") / block), F.floor((F.col("run.end") - 1) / block))).alias("k"))
-    words = F.least(F.col("run.end"), (F.col("k") + 1) * block) - F.greatest(F.col("run.at"), F.col("k") * block)
-    pieces = slots(goals, total, block).join(blocks.withColumn("words", words.cast("long")), ["src", "k"]).select("slot", "doc_id", "src", "start", "words")
-    return places, goals, pieces
+    block = block_words
+    end = F.least(F.col("run.end"), F.col("aim"))
+    blocks = passes.filter(F.col("run.at") < F.col("aim")).select(
+        "doc_id", "src", "start", "run", "aim", F.explode(F.sequence(F.floor(F.col("run.at") / block), F.floor((end - 1) / block))).alias("k"))
+    words = F.least(F.col("run.end"), (F.col("k") + 1) * block, F.col("aim")) - F.greatest(F.col("run.at"), F.col("k") * block)
+    wanted = F.ceil(F.col("aim") / block)
+    dealt = written(slots(goals, total, block), "mix-slots")
+    counts = dealt.groupBy("src").agg((F.max("k") + 1).alias("dealt"))
+    late = goals.join(counts, "src", "left").withColumn("first", F.coalesce("dealt", F.lit(0))).filter(F.col("first") < wanted).select(
+        "src", F.explode(F.sequence(F.col("first"), (wanted - 1).cast("long"))).alias("k")).select((F.lit(round(total / block)) + F.col("k")).alias("slot"), "src", "k")
+    pieces = dealt.unionByName(late).join(blocks.withColumn("words", words.cast("long")), ["src", "k"]).select("slot", "doc_id", "src", "start", "words")
+    return places, goals.drop("aim"), pieces
 
 
 def mixed(docs: DataFrame, share: float = SHARE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(doc_id, size, source, source_size, target, taken) for every row of ``docs``: the words that the mix takes of it."""
     places, goals, pieces = schedule(docs.select("doc_id", "text", "source"), share, block_words)
-    rows = _taken(places, pieces).join(goals, "src")
+    rows = _taken(places, pieces).join(F.broadcast(goals) if goals.count() <= MOST_SOURCES else goals, "src")
     source = F.when(F.col("src") != "~", F.substring("src", 2, 1 << 30))
     return rows.select("doc_id", "size", source.alias("source"), "source_size", "target", "taken")
 
