@@ -16,7 +16,7 @@ from vitalsieve.operators import (
 from vitalsieve.plans import requests, train
 from vitalsieve.session import checkpoint_dir, small_side
 from vitalsieve.sources import documents, tables
-from vitalsieve.streaming import scoring as stream
+from vitalsieve.streaming import registry as model_registry_, scoring as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -684,6 +684,36 @@ def missing_model_requests(spark, sf_dir):
     return answers.groupBy("disease", "status_class", "error_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _served_contracts():
+    return {name: contracts.CONTRACTS[name] for name in requests.MIXED}
+
+
+@query
+def stream_model_swap(spark, sf_dir):
+    """The mixed requests as a stream of several batches, whose models are turned round when half of them are answered."""
+    home = f"{checkpoint_dir(spark).rstrip('/')}/swap-{uuid.uuid4().hex}"
+    bodies = _mixed(spark, sf_dir)
+    for version, served in ((1, requests.mixed_served()), (2, requests.turned(requests.mixed_served()))):
+        model_registry_.publish(spark, f"{home}/registry", version, served)
+        bodies.filter(F.col("event_id") % 2 == version - 1).repartition(4, "event_id").write.mode("append").parquet(f"{home}/in")
+        rows = stream.read_table_stream(spark, f"{home}/in", bodies.schema, 2)
+        run = model_registry_.answer_stream(rows, "body", f"{home}/registry", _served_contracts(), f"{home}/out", f"{home}/state", ["event_id"])
+        run.awaitTermination()
+    answers = spark.read.parquet(f"{home}/out")
+    return answers.select("event_id", "model_version", "disease", "status", "prediction", F.round("probability", 3).alias("probability"))
+
+
+@query
+def model_registry(spark, sf_dir):
+    """What is registered, in which version and state, and how many requests ask for it."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/registry-{uuid.uuid4().hex}"
+    model_registry_.publish(spark, path, 1, requests.mixed_served())
+    model_registry_.publish(spark, path, 2, {"stroke": requests.mixed_served(("stroke",))["stroke"], "diabetes": requests.mixed_served(())["diabetes"]})
+    info = model_registry_.model_info(spark, path, _served_contracts())
+    asked = validation.envelope(_mixed(spark, sf_dir), "body", list(requests.MIXED)).groupBy("disease").agg(F.count(F.lit(1)).alias("n_requests"))
+    return info.drop("class_mapping").join(asked, "disease", "left")
+
+
 @query
 def nested_duplicates(spark, sf_dir):
     """What repeated keys are told as, at whatever depth they repeat."""

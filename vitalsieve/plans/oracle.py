@@ -673,3 +673,12 @@ ORACLE["corr_many_columns"] = f"WITH c AS (SELECT {', '.join(f'{e} AS {n}' for n
     f"SELECT '{a}' AS row, '{b}' AS column, {i} AS i, {j} AS j, {r(f'corr({a}, {b})', 5)}::DOUBLE AS corr FROM c"
     for i, (a, _) in enumerate(_MANY) for j, (b, _) in enumerate(_MANY[:i])
 )
+ORACLE["stream_model_swap"] = _answered(mixed_body(), mixed_served()) + """
+SELECT a.event_id, CASE WHEN a.disease IS NOT NULL THEN 1 + a.event_id % 2 END::INT AS model_version, a.disease, a.status,
+  CASE WHEN a.event_id % 2 = 0 THEN p > 0.5 ELSE p < 0.5 END::INT AS prediction,
+  CASE WHEN a.disease <> 'stroke' THEN round(round(CASE WHEN a.event_id % 2 = 0 THEN p ELSE 1 - p END, 4), 3) END AS probability
+FROM answers a JOIN p USING (event_id)"""
+ORACLE["model_registry"] = _answered(mixed_body(), mixed_served()) + ", info(disease, version, model, threshold, feature_count, status) AS (VALUES " + ", ".join(
+    f"('{n}', {2 if n in ('stroke', 'diabetes') else 1}, {_text(one.contract.model_name)}, 0.5::DOUBLE, {len(one.contract.rules)}, '{'unavailable' if n == 'stroke' else 'ready'}')"
+    for n, one in mixed_served().items()) + """)
+SELECT info.*, n AS n_requests FROM info LEFT JOIN (SELECT disease, count(*)::BIGINT AS n FROM answers GROUP BY 1) c USING (disease)"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from vitalsieve import contracts
 from vitalsieve.operators.routing import Served
 
@@ -102,6 +104,11 @@ def mixed_served(absent: tuple[str, ...] = (ABSENT,)) -> dict[str, Served]:
     return served
 
 
+def turned(served: dict[str, Served]) -> dict[str, Served]:
+    """The same models with every weight and the intercept negated."""
+    return {n: s if s.weights is None else replace(s, weights={k: -v for k, v in s.weights.items()}, intercept=-s.intercept) for n, s in served.items()}
+
+
 # Grouped payloads: means as an object, errors as a list of items with strangers in it, the rest as an object, and loose fields that win.
 
 
