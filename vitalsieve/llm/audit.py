@@ -35,10 +35,19 @@ _MARKS = re.compile(rb"[#$%&*|]")
 _ROWS = "doc_id array<long>, part array<string>, marks array<int>, digest array<binary>"
 _SHARD = pa.schema([
     ("shard", pa.int64()), ("doc_id", pa.list_(pa.int64())), ("part", pa.list_(pa.string())), ("marks", pa.list_(pa.int32())), ("digest", pa.list_(pa.binary())),
-    ("row_ends", pa.list_(pa.int64())), ("codes", pa.list_(pa.int32())), ("data", pa.list_(pa.int32())), ("words", pa.list_(pa.binary())),
+    ("row_ends", pa.list_(pa.int64())), ("codes", pa.binary()), ("data", pa.binary()), ("words", pa.list_(pa.binary())),
 ])
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """Small 32-bit numbers byte place by byte place: the high places are zeros nearly throughout, which any codec takes out."""
+    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(data: bytes) -> np.ndarray:
+    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+
+
 def text_marks(text: bytes) -> int:
     """Bits of the filters that read characters: 4 for C (over 3 % capitals), 8 for D (a mark)."""
     capitals = len(text) - len(text.translate(None, _CAPITALS))
@@ -60,14 +69,17 @@ class _Shard:
 
     def add(self, doc_id: int | None, part: str, text: bytes) -> None:
         words = Counter(text.split())
-        self.columns.append(np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words)))
-        self.data.append(np.fromiter(words.values(), np.int32, len(words)))
+        codes = np.fromiter(map(self.codes.__getitem__, words), np.int32, len(words))
+        order = np.argsort(codes)
+        self.columns.append(codes[order])
+        self.data.append(np.fromiter(words.values(), np.int32, len(words))[order])
         self.ends.append(self.ends[-1] + len(words))
         self.rows.append((doc_id, part, text_marks(text), hashlib.sha256(text).digest()))
         self.size += len(text)
 
     def batch(self, number: int) -> pa.RecordBatch:
-        values = [number, *map(list, zip(*self.rows, strict=True)), self.ends, np.concatenate(self.columns), np.concatenate(self.data), list(self.codes)]
+        steps = np.diff(np.concatenate(self.columns), prepend=np.int32(0))  # rows ascend, so steps are small
+        values = [number, *map(list, zip(*self.rows, strict=True)), self.ends, _planes(steps), _planes(np.concatenate(self.data)), list(self.codes)]
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _SHARD, strict=True)], schema=_SHARD)
 
 
@@ -84,7 +96,7 @@ def _local_shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
             yield shard.batch(number)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"), utf8().alias("text"))
-    return rows.mapInArrow(count, f"shard long, {_ROWS}, row_ends array<long>, codes array<int>, data array<int>, words array<binary>")
+    return rows.mapInArrow(count, f"shard long, {_ROWS}, row_ends array<long>, codes binary, data binary, words array<binary>")
 
 
 def encoded(terms: DataFrame) -> DataFrame:
@@ -124,9 +136,12 @@ def term_matrix(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
 
     def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, codes = batch.column("ids"), batch.column("codes")
-            columns = [x.values.to_numpy(zero_copy_only=False)[c.values.to_numpy()] if len(c.values) else [] for x, c in zip(ids, codes, strict=True)]
-            named = {n: batch.column(n) for n in batch.schema.names} | {"columns": pa.array(columns, pa.list_(pa.int64()))}
+            columns, data = [], []
+            for ids, codes, counts in zip(batch.column("ids"), batch.column("codes"), batch.column("data"), strict=True):
+                places = np.cumsum(_from_planes(codes.as_py()), dtype=np.int32)
+                columns.append(ids.values.to_numpy(zero_copy_only=False)[places] if len(places) else [])
+                data.append(_from_planes(counts.as_py()))
+            named = {n: batch.column(n) for n in batch.schema.names} | {"columns": pa.array(columns, pa.list_(pa.int64())), "data": pa.array(data, pa.list_(pa.int32()))}
             yield pa.RecordBatch.from_arrays([named[n] for n in order], order)
 
     order = ["shard", "doc_id", "part", "marks", "digest", "row_ends", "columns", "data"]
