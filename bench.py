@@ -13,6 +13,7 @@ HEADLINE = (
     "iqr_outliers", "column_profile", "summary_statistics", "box_by_class", "corr_matrix", "histogram_by_class", "kde_grid",
     "prevalence_by_category", "flag_rate_gap", "dup_groups", "conflicts", "stratified_split_orders", "stratified_folds", "group_split",
     "impute_scale_onehot", "threshold_metrics", "ranking_metrics", "fold_summary", "linear_score", "answer_requests", "fingerprint",
+    "answer_mixed_requests", "cv_metrics", "corr_many_columns",
 )
 
 
