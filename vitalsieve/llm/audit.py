@@ -1,8 +1,8 @@
 """How filters act together: a sparse document-term matrix with global word numbers, and what each filter takes in every order.
 
 Each task counts the words of its documents under local numbers and hands them on as shards of compressed rows. Only the distinct
-words of a shard travel to the global dictionary and their numbers back; then each shard is recoded, and its row sums and nonzero counts are
-the documents' words and distinct words.
+words of a shard travel to the global dictionary and their numbers back, packed by shard; then each shard is unpacked and recoded alone, and
+its row sums and nonzero counts are the documents' words and distinct words.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ from vitalsieve.llm.common import shared_path, utf8, written
 
 #: Text bytes after which a task closes a shard; one longer text is a shard of its own.
 SHARD_BYTES = 16 << 20
+#: Numbered words that a task holds before it packs them by shard.
+PACKED = 1 << 20
 #: Keys with more than this share of the rows are joined apart; there are at most 1 / HOT of them.
 HOT = 0.001
 
@@ -40,12 +42,14 @@ _SHARD = pa.schema([
 
 
 def _planes(numbers: np.ndarray) -> bytes:
-    """Small 32-bit numbers byte place by byte place: the high places are zeros nearly throughout, which any codec takes out."""
-    return numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes()
+    """Small 32-bit numbers byte place by byte place, compressed: the high places are zeros nearly throughout."""
+    return pa.compress(numbers.astype("<i4").view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True) if len(numbers) else b""
 
 
-def _from_planes(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
+def _from_planes(data: bytes, n: int) -> np.ndarray:
+    """The ``n`` numbers of ``_planes``."""
+    plain = pa.decompress(data, decompressed_size=4 * n, codec="zstd", asbytes=True) if n else b""
+    return np.frombuffer(plain, np.uint8).reshape(4, -1).T.copy().view("<i4").ravel()
 
 
 def text_marks(text: bytes) -> int:
@@ -100,13 +104,14 @@ def _local_shards(docs: DataFrame, shard_bytes: int) -> DataFrame:
 
 
 def encoded(terms: DataFrame) -> DataFrame:
-    """(shard, code, id) from (shard, code, word): equal words get equal numbers, different words different ones.
+    """(shard, n, codes, first, steps) from (shard, code, word): equal words get equal numbers, different words different ones.
 
-    The dictionary lies dealt by the word over all tasks, and none holds its part: words come sorted, so each task counts on where the
-    word changes, from a start of its own. The numbers of a repeated task are the same again.
+    A row has ``n`` words of a shard: their codes, and their numbers as the first one and the steps to the others. The dictionary lies dealt
+    by the word over all tasks, and none holds its part: words come sorted, so each task counts on where the word changes, from a start of
+    its own. The numbers of a repeated task are the same again.
     """
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, at = None, (TaskContext.get().partitionId() << 33) - 1
+        last, at, held, size = None, (TaskContext.get().partitionId() << 33) - 1, [], 0
         for batch in batches:
             words = batch.column(2)
             if not len(words):
@@ -116,9 +121,64 @@ def encoded(terms: DataFrame) -> DataFrame:
             changes[1:] = pc.not_equal(words[1:], words[:-1]).to_numpy(zero_copy_only=False)
             ids = at + np.cumsum(changes)
             last, at = words[-1].as_py(), int(ids[-1])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids)], ["shard", "code", "id"])
+            held.append((batch.column(0).to_numpy(), batch.column(1).to_numpy(), ids))
+            size += len(ids)
+            if size >= PACKED:
+                yield _packed(held)
+                held, size = [], 0
+        if held:
+            yield _packed(held)
+
+    return terms.repartition("word").sortWithinPartitions("word").mapInArrow(number, "shard long, n int, codes binary, first long, steps binary")
+
+
+def _packed(held: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    """One row per shard. A shard's words differ, so their numbers ascend; steps are below the rows held."""
+    shards, codes, ids = map(np.concatenate, zip(*held, strict=True))
+    order = np.argsort(shards, kind="stable")
+    shards, codes, ids = shards[order], codes[order], ids[order]
+    cuts = np.flatnonzero(shards[1:] != shards[:-1]) + 1
+    first, end = np.concatenate([[0], cuts]), np.concatenate([cuts, [len(shards)]])
+    spans = list(zip(first, end, strict=True))
+    values = [
+        pa.array(shards[first]), pa.array((end - first).astype(np.int32)), pa.array([_planes(codes[i:j]) for i, j in spans], pa.binary()),
+        pa.array(ids[first]), pa.array([_planes(np.diff(ids[i:j], prepend=ids[i])) for i, j in spans], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays(values, ["shard", "n", "codes", "first", "steps"])
+
+
+def _numbered(docs: DataFrame, shard_bytes: int) -> DataFrame:
+    """Local shards with ``at``: the numbers of their words, as ``encoded`` packs them; NULL for shards without words."""
+    path, local = shared_path(docs.sparkSession, "audit-shards"), _local_shards(docs, shard_bytes)
+    local.write.option("compression", "zstd").parquet(path)
+    shards = docs.sparkSession.read.schema(local.schema).parquet(path)
+    numbers = encoded(shards.select("shard", F.posexplode("words").alias("code", "word")))
+    numbers = numbers.groupBy("shard").agg(F.collect_list(F.struct("n", "codes", "first", "steps")).alias("at"))
+    return shards.drop("words").join(numbers, "shard", "left")
+
+
+_MATRIX = f"shard long, {_ROWS}, row_ends array<long>, columns array<long>, data array<int>"
+_MATRIX_COLUMNS = ["shard", "doc_id", "part", "marks", "digest", "row_ends", "columns", "data"]
 
-    return terms.repartition("word").sortWithinPartitions("word").mapInArrow(number, "shard long, code int, id long")
+
+def _recoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shards of ``_numbered`` with global numbers, one at a time."""
+    for batch in batches:
+        for i in range(len(batch)):
+            row = batch.slice(i, 1)
+            size, parts = row.column("row_ends")[0].values[-1].as_py(), row.column("at")[0].as_py() or []
+            ids = np.empty(sum(p["n"] for p in parts), np.int64)
+            for p in parts:
+                ids[_from_planes(p["codes"], p["n"])] = p["first"] + np.cumsum(_from_planes(p["steps"], p["n"]), dtype=np.int64)
+            columns = ids[np.cumsum(_from_planes(row.column("codes")[0].as_py(), size), dtype=np.int32)]
+            counts = _from_planes(row.column("data")[0].as_py(), size)
+            named = {n: row.column(n) for n in row.schema.names} | {"columns": _listed(columns, pa.int64()), "data": _listed(counts, pa.int32())}
+            yield pa.RecordBatch.from_arrays([named[n] for n in _MATRIX_COLUMNS], _MATRIX_COLUMNS)
+
+
+def _listed(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """All values as one list."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values, kind))
 
 
 def term_matrix(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -128,38 +188,28 @@ def term_matrix(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     ``part``, ``marks`` and ``digest`` have one entry per row. A word occurs once in a shard's list, so the commonest word travels
     once a shard. NULL and empty texts are rows without entries; repeated rows are rows each.
     """
-    path, local = shared_path(docs.sparkSession, "audit-shards"), _local_shards(docs, shard_bytes)
-    local.write.option("compression", "zstd").parquet(path)
-    shards = docs.sparkSession.read.schema(local.schema).parquet(path)
-    numbers = encoded(shards.select("shard", F.posexplode("words").alias("code", "word"))).groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("code", "id"))).alias("at"))
-    rows = shards.drop("words").join(numbers.select("shard", F.col("at.id").alias("ids")), "shard", "left")
+    return _numbered(docs, shard_bytes).mapInArrow(_recoded, _MATRIX)
 
-    def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns, data = [], []
-            for ids, codes, counts in zip(batch.column("ids"), batch.column("codes"), batch.column("data"), strict=True):
-                places = np.cumsum(_from_planes(codes.as_py()), dtype=np.int32)
-                columns.append(ids.values.to_numpy(zero_copy_only=False)[places] if len(places) else [])
-                data.append(_from_planes(counts.as_py()))
-            named = {n: batch.column(n) for n in batch.schema.names} | {"columns": pa.array(columns, pa.list_(pa.int64())), "data": pa.array(data, pa.list_(pa.int32()))}
-            yield pa.RecordBatch.from_arrays([named[n] for n in order], order)
 
-    order = ["shard", "doc_id", "part", "marks", "digest", "row_ends", "columns", "data"]
-    return rows.mapInArrow(recode, f"shard long, {_ROWS}, row_ends array<long>, columns array<long>, data array<int>")
+_COUNTS = "doc_id long, part string, marks int, digest binary, n_words long, n_distinct long"
 
 
-def row_counts(matrix: DataFrame) -> DataFrame:
-    """(doc_id, part, marks, digest, n_words, n_distinct) of every row of the matrix: its sum and its number of entries."""
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(len(batch)):
-                ends = batch.column("row_ends")[i].values.to_numpy()
-                totals = np.concatenate(([0], np.cumsum(batch.column("data")[i].values.to_numpy(), dtype=np.int64)))[ends]
-                rows = [batch.column(n)[i].values for n in ("doc_id", "part", "marks", "digest")]
-                yield pa.RecordBatch.from_arrays([*rows, pa.array(np.diff(totals)), pa.array(np.diff(ends))], names)
-
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["doc_id", "part", "marks", "digest", "n_words", "n_distinct"]
-    return matrix.mapInArrow(sums, "doc_id long, part string, marks int, digest binary, n_words long, n_distinct long")
+    for batch in batches:
+        for i in range(len(batch)):
+            ends = batch.column("row_ends")[i].values.to_numpy()
+            totals = np.concatenate(([0], np.cumsum(batch.column("data")[i].values.to_numpy(), dtype=np.int64)))[ends]
+            rows = [batch.column(n)[i].values for n in ("doc_id", "part", "marks", "digest")]
+            yield pa.RecordBatch.from_arrays([*rows, pa.array(np.diff(totals)), pa.array(np.diff(ends))], names)
+
+
+def row_counts(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(doc_id, part, marks, digest, n_words, n_distinct) of every row of the matrix: its sum and its number of entries.
+
+    A worker makes each shard of the matrix and reads it on the spot, so that recoded shards do not travel between processes.
+    """
+    return _numbered(docs, shard_bytes).mapInArrow(lambda batches: _sums(_recoded(batches)), _COUNTS)
 
 
 def attached(rows: DataFrame, facts: DataFrame, key: str, total: int) -> DataFrame:
@@ -181,7 +231,7 @@ def document_flags(docs: DataFrame, labels: DataFrame, shard_bytes: int = SHARD_
     E compares SHA-256 digests; a row without doc_id is no smaller one and has none. Of repeated labels the largest counts; labels without
     doc_id count for no row.
     """
-    rows = written(row_counts(term_matrix(docs.select("doc_id", "lang", "text"), shard_bytes)), "audit-rows")
+    rows = written(row_counts(docs.select("doc_id", "lang", "text"), shard_bytes), "audit-rows")
     total = rows.count()
     copies = rows.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     known = labels.filter(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
