@@ -17,6 +17,8 @@ FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 ARITY = 2
 LEVELS = 6
 DIGEST = 64
+#: Nodes (a few MB) that a task folds and writes as one file. Up to so many are ordered and folded without shuffles.
+PER_TASK = 16_384
 _STEPS = "array<struct<left:string,right:string>>"
 
 
@@ -31,15 +33,17 @@ def _key(group: Column) -> Column:
     return F.when(group.isNull(), F.lit("")).otherwise(F.concat(F.lit("="), group.cast("string")))
 
 
-def _placed(rows: DataFrame, order: list[str]) -> DataFrame:
+def _placed(rows: DataFrame, order: list[str], few: bool) -> DataFrame:
     """``rows`` (tree, digest, ...) with their place ``pos`` in the tree and its size ``m``.
 
     Rows are dealt in ranges of (tree, order), so a tree of any size lies over as many tasks as it fills; rows that are equal
-    in all of it may take each other's places, and a running number deals them out too.
+    in all of it may take each other's places, and a running number deals them out too. A ``few`` rows stay in one task.
     """
     sort = ["tree", *order, "digest", "spread"]
-    dealt = rows.withColumn("spread", F.monotonically_increasing_id()).repartitionByRange(*sort).sortWithinPartitions(*sort).drop("spread")
+    spread = rows.withColumn("spread", F.monotonically_increasing_id())
+    dealt = (spread.coalesce(1) if few else spread.repartitionByRange(*sort)).sortWithinPartitions(*sort).drop("spread")
     ordered = written(dealt.withColumn("at", F.monotonically_increasing_id()), "merkle-order").withColumn("part", F.shiftright("at", 33))
+    ordered = ordered.coalesce(1) if few else ordered
     tree = Window.partitionBy("tree")
     earlier = F.sum("here").over(tree.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
     parts = ordered.groupBy("tree", "part").agg(F.count(F.lit(1)).alias("here"), F.min("at").alias("first")).select(
@@ -107,13 +111,19 @@ class Trees:
 
 
 def trees(rows: DataFrame, order: list[str], arity: int = ARITY, levels: int = LEVELS) -> Trees:
-    """Trees over ``rows`` (tree, digest, order columns ...): every ``arity`` consecutive nodes become one, until one is left."""
-    size, nodes, rounds = arity**levels, _placed(rows, order), []
+    """Trees over ``rows`` (tree, digest, order columns ...), a written table: every ``arity`` consecutive nodes become one, until one is left.
+
+    A round has as many tasks and files as its nodes need, and rounds shrink by ``arity ** levels``.
+    """
+    here = rows.count()
+    size, nodes, rounds = arity**levels, _placed(rows, order, here <= PER_TASK), []
     while True:
-        blocks = written(_blocks(nodes, arity, levels), "merkle-blocks")
+        near = nodes.coalesce(1) if here <= PER_TASK else nodes
+        blocks = written(_blocks(near, arity, levels).coalesce(1 + here // PER_TASK), "merkle-blocks")
         rounds.append(blocks)
         left = F.expr(f"(m + {size - 1}) div {size}")
-        if (blocks.agg(F.max(left)).first()[0] or 1) <= 1:
+        most, here = blocks.agg(F.max(left), F.count(F.lit(1))).first()
+        if (most or 1) <= 1:
             return Trees(rounds, arity, levels)
         nodes = blocks.select("tree", "pos", left.alias("m"), F.col("root").alias("digest"))
 
