@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -43,6 +43,11 @@ def computed_once(df: DataFrame, **values: Column) -> DataFrame:
     return held.select(*[col(c) for c in held.columns if c != "_once"], *[F.col("_once")[n].alias(n) for n in values])
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, however often and in whatever lambdas it is referred to."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip_headers(df: DataFrame) -> DataFrame:
     return df.toDF(*[c.strip() for c in df.columns])
 

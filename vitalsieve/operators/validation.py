@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from vitalsieve.contracts import BREAST_GROUPS, FieldRule, TableContract
-from vitalsieve.functions.columns import col, computed_once
+from vitalsieve.functions.columns import bound, col, computed_once
 from vitalsieve.functions.json import repeated_key
 
 # Modes, message texts and the error types of each outcome class.
@@ -243,11 +243,19 @@ def grouped_payload(data: Column, groups: Sequence[str]) -> Column:
         listed = F.filter(listed, lambda x: x["key"].isNotNull() & x["value"].isNotNull())
         parts.append(F.coalesce(named, listed, F.array().cast(entry)))
     loose = F.map_entries(F.map_filter(data, lambda k, _: ~k.isin(*groups)))
-    entries = F.concat(*parts, loose)
-    names = F.array_distinct(F.transform(entries, lambda x: x["key"]))
-    last = F.transform(names, lambda n: F.element_at(F.filter(entries, lambda x: x["key"] == n), -1)["value"])
+
+    def flattened(entries: Column) -> Column:
+        keys = F.transform(entries, lambda x: x["key"])
+        seen = F.struct(keys.alias("all"), F.array_distinct(keys).alias("names"), F.reverse(keys).alias("back"))
+
+        def by_name(k: Column) -> Column:
+            last = F.transform(k["names"], lambda n: F.get(entries, (F.size(k["all"]) - F.array_position(k["back"], n)).cast("int"))["value"])
+            return F.when(F.size(k["names"]) == F.size(k["all"]), F.map_from_entries(entries)).otherwise(F.map_from_arrays(k["names"], last))
+
+        return bound(seen, by_name)
+
     has_groups = F.arrays_overlap(F.map_keys(data), F.array(*[F.lit(g) for g in groups]))
-    return F.when(has_groups, F.map_from_arrays(names, last)).otherwise(data)
+    return F.when(has_groups, bound(F.concat(*parts, loose), flattened)).otherwise(data)
 
 
 def envelope(df: DataFrame, body: str, diseases: Sequence[str]) -> DataFrame:

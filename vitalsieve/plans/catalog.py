@@ -14,7 +14,7 @@ from vitalsieve.operators import (
     summaries, validation,
 )
 from vitalsieve.plans import requests, train
-from vitalsieve.session import checkpoint_dir, small_side
+from vitalsieve.session import checkpoint_dir, small_side, spread
 from vitalsieve.sources import documents, tables
 from vitalsieve.streaming import registry as model_registry_, scoring as stream
 
@@ -662,7 +662,7 @@ _ANSWER = ("event_id", "status", "disease", "mode", "error_type", "message", "pr
 
 def _mixed(spark, sf_dir, body=requests.mixed_body):
     k = "CAST(get_json_object(props, '$.k') AS INT)"
-    return table(spark, sf_dir, "events").select("event_id", F.expr(body().format(k=k, text="STRING")).alias("body"))
+    return spread(table(spark, sf_dir, "events")).select("event_id", F.expr(body().format(k=k, text="STRING")).alias("body"))
 
 
 @query

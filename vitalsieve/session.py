@@ -58,3 +58,9 @@ def small_side(df: DataFrame, limit: int = SMALL_ROWS) -> DataFrame:
     if len(rows) > limit:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """The rows of a scan dealt over all cores, where its files give fewer parts than that: for work that costs much more than moving its rows."""
+    parts = 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= parts else df.repartition(parts)
