@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+import time
 from uuid import uuid4
 
 from pyspark.errors import AnalysisException
@@ -28,6 +30,14 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files of queries that nothing refers to any more; else they stay until the driver happens to collect its garbage."""
+    for _ in range(2):  # objects of the driver's Python first, which hold those of its JVM
+        gc.collect()
+        time.sleep(0.3)
+        spark.sparkContext._jvm.System.gc()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

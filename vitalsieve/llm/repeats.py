@@ -20,14 +20,16 @@ import pyarrow as pa
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from vitalsieve.llm.common import located, utf8, written
+from vitalsieve.llm.common import free_shuffles, located, utf8, written
 from vitalsieve.llm.shingles import Powers, mixed
 
 LENGTH, GRAM = 50, 20
-#: Bytes of text for each shard, rows of a block, bits of each of the three maps that are broadcast, at most (16 MB each).
-SHARD_BYTES, BLOCK_ROWS, MAP_BITS = 1 << 22, 512, 1 << 27
-#: Bytes whose anchors are taken at once, and bytes of passages that one transform holds.
-_PART, _TRANSFORM = 1 << 16, 1 << 18
+#: Bytes of text for each shard, rows of a block, bits of each of the three maps that are broadcast, at most (32 MB each).
+SHARD_BYTES, BLOCK_ROWS, MAP_BITS = 1 << 22, 512, 1 << 28
+#: Shards from which on they grow to four times their bytes before there are more: each block writes to each shard.
+_FEW = 1 << 8
+#: Bytes whose anchors are taken at once, bytes of passages that are compared at once, and that one transform holds.
+_PART, _COMPARED, _TRANSFORM = 1 << 16, 1 << 21, 1 << 18
 #: Different passages from which on an anchor is hot: its strings then go to shards by their own hashes, without their bytes.
 HOT = 1 << 10
 #: Between passages; no UTF-8 text has this byte.
@@ -128,6 +130,30 @@ def _opened(r: Runs, hot: np.ndarray, texts: list[bytes], length: int) -> Runs:
     return Runs(*[np.concatenate(x) for x in zip(kept, strings, strict=True)])
 
 
+def _packed(records: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Records behind one another as binary values of so many records each."""
+    offsets = np.zeros(len(counts) + 1, np.int32)
+    np.cumsum(counts * records.itemsize, out=offsets[1:])
+    return pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(offsets), pa.py_buffer(records.tobytes())])
+
+
+def _unpacked(column: pa.ChunkedArray, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
+    """(records, counts): the records of all values of a column, and how many each value has."""
+    kind, parts, counts = np.dtype(kind), [np.zeros(0, kind)], [np.zeros(0, np.int64)]
+    for x in column.chunks:
+        offsets = np.frombuffer(x.buffers()[1], np.int64 if pa.types.is_large_binary(x.type) else np.int32)[x.offset : x.offset + len(x) + 1].astype(np.int64) if len(x) else np.zeros(1, np.int64)
+        counts.append(np.diff(offsets) // kind.itemsize)
+        if offsets[-1] > offsets[0]:
+            parts.append(np.frombuffer(x.buffers()[2], kind, (offsets[-1] - offsets[0]) // kind.itemsize, offsets[0]))
+    return np.concatenate(parts), np.concatenate(counts)
+
+
+def _shards(total: int) -> int:
+    """Shards of so many bytes of text, a power of two."""
+    of = lambda size: 1 << (total // size).bit_length()
+    return of(SHARD_BYTES) if of(SHARD_BYTES) <= _FEW else max(_FEW, of(4 * SHARD_BYTES))
+
+
 def _shard(anchor: np.ndarray, shards: int) -> np.ndarray:
     return (anchor >> np.uint64(64 - shards.bit_length() + 1)).astype(np.int64) if shards > 1 else np.zeros(len(anchor), np.int64)
 
@@ -244,14 +270,13 @@ def _maps(docs: DataFrame, shards: int, bits: int, length: int, hot: int) -> tup
             third = np.zeros(len(entry), bool)
             third[2:] = (shard[2:] == shard[:-2]) & (entry[2:] == entry[:-2])  # two of a kind say that it comes again
             shard, entry = shard[~third], entry[~third]
-            names, cut = np.unique(shard, return_index=True)
-            parts = np.split(entry, cut[1:])
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array([p.tobytes() for p in parts[: len(names)]], pa.binary())], ["shard", "entries"])
+            names, counts = np.unique(shard, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), _packed(entry, counts)], ["shard", "entries"])
 
     each = bits // shards
 
     def count(group: pa.Table) -> pa.Table:
-        entries = np.sort(np.concatenate([np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("entries")]))
+        entries = np.sort(_unpacked(group.column("entries"), np.uint64)[0])
         anchor = entries >> np.uint64(32)
         again, other = anchor[1:] == anchor[:-1], entries[1:] != entries[:-1]
         out = []
@@ -294,15 +319,20 @@ def _asked(docs: DataFrame, maps: Broadcast, shards: int, bits: int, length: int
                 head = np.flatnonzero(np.concatenate([[True], passage[1:] != passage[:-1]]))
                 tail = np.append(head[1:], len(order)) - 1
                 several = key[head] != key[tail]
-                own, shard_of, multi = order[head], shard[order[head]], differs[order[head]]
-                rows: dict[str, list] = {"shard": [], "file": [], "block": [], "single": [], "multi": [], "texts": []}
-                for s in np.unique(shard_of):
-                    here = shard_of == s
-                    one, many = here & ~multi, here & multi
-                    pack = lambda x: np.rec.fromarrays([passage[head][x], key[head][x], several[x], (r.last - r.first)[own[x]]], dtype=_ENTRY).tobytes()  # noqa: B023, E731
-                    for name, x in zip(rows, (s, files[a], blocks[a], pack(one), pack(many), [texts[d][f : e + length] for d, f, e in zip(r.doc[own[many]], r.first[own[many]], r.last[own[many]], strict=True)]), strict=True):
-                        rows[name].append(x)
-                yield pa.RecordBatch.from_arrays([pa.array(rows[n], t) for n, t in (("shard", pa.int64()), ("file", pa.int64()), ("block", pa.int64()), ("single", pa.binary()), ("multi", pa.binary()), ("texts", pa.list_(pa.binary())))], list(rows))
+                by = np.lexsort((differs[order[head]], shard[order[head]]))  # by shard, so that a block's work does not grow with their number
+                own = order[head][by]
+                entries, multi = np.empty(len(by), _ENTRY), differs[own]
+                for name, x in zip(_ENTRY.names, (passage[head][by], key[head][by], several[by], (r.last - r.first)[own]), strict=True):
+                    entries[name] = x
+                names, shard_of = np.unique(shard[own], return_inverse=True)
+                ones, many = (np.bincount(shard_of[x], minlength=len(names)) for x in (~multi, multi))
+                passages = pa.array([texts[d][f : e + length] for d, f, e in zip(r.doc[own[multi]], r.first[own[multi]], r.last[own[multi]], strict=True)], pa.binary())
+                columns = {
+                    "shard": pa.array(names, pa.int64()), "file": pa.array(np.full(len(names), files[a]), pa.int64()), "block": pa.array(np.full(len(names), blocks[a]), pa.int64()),
+                    "single": _packed(entries[~multi], ones), "multi": _packed(entries[multi], many),
+                    "texts": pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(many)]), pa.int32()), passages),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return _blocks(docs).select("file", "block", "row", "key", "text").mapInArrow(ask, "shard long, file long, block long, single binary, multi binary, texts array<binary>")
 
@@ -314,9 +344,8 @@ def _answers(docs: DataFrame, maps: Broadcast, shards: int, bits: int, length: i
     def answer(group: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []  # (row of the group, passage, first, last, id)
         for kind in ("single", "multi"):
-            entries = [np.frombuffer(x.as_buffer(), _ENTRY) for x in group.column(kind)]
-            row = np.repeat(np.arange(len(entries)), [len(e) for e in entries])
-            e = np.concatenate(entries)
+            e, counts = _unpacked(group.column(kind), _ENTRY)
+            row = np.repeat(np.arange(len(counts)), counts)
             if not len(e):
                 continue
             order = np.argsort(e["passage"], kind="stable")
@@ -341,9 +370,8 @@ def _answers(docs: DataFrame, maps: Broadcast, shards: int, bits: int, length: i
         row, passage, first, last, ids = (np.concatenate(x) for x in zip(*found, strict=True)) if found else [np.zeros(0, np.int64)] * 5
         data = np.rec.fromarrays([passage, first, last, ids], dtype=_ANSWER)[np.argsort(row, kind="stable")]
         counts = np.bincount(row, minlength=len(group))
-        parts = np.split(data, np.cumsum(counts)[:-1])
         some = np.flatnonzero(counts)
-        return pa.table({"file": group.column("file").take(pa.array(some)), "block": group.column("block").take(pa.array(some)), "data": pa.array([parts[i].tobytes() for i in some], pa.binary())})
+        return pa.table({"file": group.column("file").take(pa.array(some)), "block": group.column("block").take(pa.array(some)), "data": _packed(data, counts[some])})
 
     return _asked(docs, maps, shards, bits, length).groupBy("shard").applyInArrow(answer, "file long, block long, data binary")
 
@@ -360,8 +388,13 @@ def _by_strings(passages: list[bytes], ids: np.ndarray, length: int) -> tuple[np
     """
     r = runs_of(passages, length)  # a passage is one run
     anchors = r.anchor.tolist()
-    near = _akin(passages, r.place, length)
-    order = sorted(np.flatnonzero(near).tolist(), key=anchors.__getitem__)
+    sorted_, sizes = np.argsort(r.anchor, kind="stable"), np.array([len(p) for p in passages])
+    new = np.flatnonzero(np.concatenate([[True], r.anchor[sorted_][1:] != r.anchor[sorted_][:-1]]))
+    lot = (np.cumsum(sizes[sorted_]) - sizes[sorted_])[new] // _COMPARED  # whole anchors are compared at once, as many as have so many bytes
+    near = np.zeros(len(passages), bool)
+    for some in np.split(sorted_, new[1:][lot[1:] != lot[:-1]]):
+        near[some] = _akin([passages[i] for i in some], r.place[some], length)
+    order = sorted_[near[sorted_]].tolist()
     out: list[np.ndarray] = []
     group, size = [], 0
     for i in order:
@@ -435,14 +468,17 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> Da
     """
     placed = located(docs.select("doc_id", "text"))
     total = placed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shards = 1 << max(0, (total // SHARD_BYTES).bit_length())
+    shards = _shards(total)
     bits = min(MAP_BITS, max(1 << 16, 1 << int(total).bit_length()))
     shards = min(shards, bits // 8)
-    maps = docs.sparkSession.sparkContext.broadcast(_maps(placed, shards, bits, length, hot))
+    spark = docs.sparkSession
+    maps = spark.sparkContext.broadcast(_maps(placed, shards, bits, length, hot))
+    free_shuffles(spark)  # of the runs: the passages take as much disk again
     answers = written(_answers(placed, maps, shards, bits, length), "answers")
+    free_shuffles(spark)
 
     def clean(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        known = np.concatenate([np.frombuffer(x.as_buffer(), _ANSWER) for x in right.column("data")]) if len(right) else np.zeros(0, _ANSWER)
+        known = _unpacked(right.column("data"), _ANSWER)[0]
         known = known[np.argsort(known["passage"], kind="stable")]
         counts, kept = [[], [], []], []
         texts, keys = left.column("text").to_pylist(), left.column("key").to_numpy()
